@@ -91,7 +91,7 @@ def match_all_columns(rows: DataFrame, target: DataFrame, how: str = "left_semi"
 
 
 def _plan_bytes(df: DataFrame) -> int:
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _broadcast_limit(df: DataFrame) -> int:
