@@ -85,9 +85,14 @@ def reader_options(d: Dialect, header: bool, encoding: str = "UTF-8", multi_line
     return out
 
 
-def _needs_text_path(d: Dialect) -> bool:
-    strict_null = d.quote_mode in (ALL_NON_NULL, NON_NUMERIC) and d.null is not None
-    return d.quote is None or d.keep_blank_lines or strict_null
+def strict_null(d: Dialect) -> bool:
+    """A quoted cell is never null, so a quoted marker or empty cell stays text."""
+    return d.quote_mode in (ALL_NON_NULL, NON_NUMERIC)
+
+
+def _needs_text_path(d: Dialect, multi_line: bool) -> bool:
+    """Unquoted dialects always; kept blank lines and quoted markers when no cell spans lines."""
+    return d.quote is None or (not multi_line and (d.keep_blank_lines or strict_null(d)))
 
 
 # ----------------------------------------------------------------- text path
@@ -129,22 +134,23 @@ def _unescape(text: Column, d: Dialect) -> Column:
 
 def parse_cells(line: Column, d: Dialect) -> Column:
     """A line as ``array<struct<value, quoted>>``."""
-    s, q, e = re.escape(d.sep), d.quote and re.escape(d.quote), d.escape and re.escape(d.escape)
-    plain = f"(?:[^{s}{e}]|{e}.|{e}$)*" if e and d.escape != d.quote else f"[^{s}]*"
+    s, q = re.escape(d.sep), d.quote and re.escape(d.quote)
+    e = re.escape(d.escape) if d.escape and d.escape != d.quote else ""
+    # possessive loops: they neither backtrack nor recurse, so a cell may be of any length
+    plain = f"[^{s}{e}]*+(?:{e}(?:.|\\z)[^{s}{e}]*+)*+" if e else f"[^{s}]*+"
+    cell, whole = f"{s}({plain})", None
     if q:
-        inner = f"[^{q}{e}]|{q}{q}|{e}." if e and d.escape != d.quote else f"[^{q}]|{q}{q}"
-        blank = r"[ \t]*" if d.sep != "\t" else "[ ]*"
-        quoted = f"{blank}{q}(?:{inner})*{q}{blank}(?={s}|$)"
-        cell = f"{s}({quoted}|{plain})"
-    else:
-        cell = f"{s}({plain})"
+        pair = f"(?:{q}{q}|{e}.)" if e else f"{q}{q}"
+        whole = f"{q}[^{q}{e}]*+(?:{pair}[^{q}{e}]*+)*+{q}"
+        blank = "[ ]*+" if d.sep == "\t" else "[ \t]*+"
+        cell = f"{s}({blank}{whole}{blank}(?={s}|\\z)|{plain})"
     # a leading separator gives every cell, the first included, one separator to match
     cells = F.regexp_extract_all(F.concat(F.lit(d.sep), line), F.lit(f"(?s){cell}"), F.lit(1))
 
     def build(c: Column) -> Column:
         if q:
             t = F.btrim(c, F.lit(" \t" if d.sep != "\t" else " "))
-            is_quoted = (F.length(t) > 1) & t.startswith(d.quote) & t.endswith(d.quote) & t.rlike(f"(?s)\\A{q}(?:{inner})*{q}\\z")
+            is_quoted = (F.length(t) > 1) & t.startswith(d.quote) & t.endswith(d.quote) & t.rlike(f"(?s)\\A{whole}\\z")
             body = F.substring(t, F.lit(2), F.length(t) - 2)
             if d.escape != d.quote:
                 body = F.replace(body, F.lit(d.quote * 2), F.lit(d.quote))
@@ -154,8 +160,8 @@ def parse_cells(line: Column, d: Dialect) -> Column:
         if d.trim:
             value = F.btrim(value, F.lit(casts.BLANKS))
         if d.null is not None:
-            strict = d.quote_mode in (ALL_NON_NULL, NON_NUMERIC)
-            value = F.when((value == d.null) & (~is_quoted if strict else F.lit(True)), F.lit(None)).otherwise(value)
+            marked = (value == d.null) & (~is_quoted if strict_null(d) else F.lit(True))
+            value = F.when(~marked, value)
         return F.struct(value.alias("value"), is_quoted.alias("quoted"))
 
     return F.transform(cells, build)
@@ -244,29 +250,36 @@ def csv_scan(
         raise ValueError(f"header must be names, ignored or none, not {header!r}")
     if header != "names" and not names:
         raise ValueError("column names are needed unless the header provides them")
-    first = read_header(spark, path, d, encoding) if header == "names" or _needs_text_path(d) else []
+    as_text = _needs_text_path(d, multi_line) or unknown != "drop"
     if header == "names":
-        check_header(first, duplicates, d.blank_header_names)
+        first = check_header(read_header(spark, path, d, encoding), duplicates, d.blank_header_names)
         at = (rightmost if duplicate_values == "rightmost" else shifted)(first)
-        width = first
+        width = len(first)
     else:
         at = {n: i for i, n in enumerate(names)}
-        width = list(names)
+        width = len(names)
 
-    if _needs_text_path(d):
+    if as_text:
         lines = read_lines(spark, path, d, encoding)
         if header != "none":
-            raw = read_lines(spark, path, d.but(keep_blank_lines=False), encoding).limit(1).first()
             # every file of the set starts with the same header line
-            lines = lines.filter(F.col("line") != F.lit(raw["line"] if raw else ""))
+            top = read_lines(spark, path, d.but(keep_blank_lines=False), encoding).limit(1).first()
+            lines = lines.filter(F.col("line") != F.lit(top["line"] if top else ""))
         parsed = parse_lines(lines, d)
         if unknown != "drop":
             return cells_to_columns(parsed, list(at), unknown)
-        # with strict quote rules only the marker is null, so an empty cell stays text
-        return parsed.select(*[F.get("cells", F.lit(i)).alias(n) for n, i in at.items()])
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(width))])
-    raw = spark.read.options(**reader_options(d, header != "none", encoding, multi_line)).schema(schema).csv(path)
-    return raw.select(*[F.nullif(F.col(f"c{i}"), F.lit("")).alias(n) for n, i in at.items()])
+        cells = {n: F.get("cells", F.lit(i)) for n, i in at.items()}
+    else:
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+        parsed = spark.read.options(**reader_options(d, header != "none", encoding, multi_line)).schema(schema).csv(path)
+        cells = {n: F.col(f"c{i}") for n, i in at.items()}
+        if d.trim:
+            cells = {n: F.btrim(c, F.lit(casts.BLANKS)) for n, c in cells.items()}
+            if d.null is not None:
+                cells = {n: F.nullif(c, F.lit(d.null)) for n, c in cells.items()}
+    if not strict_null(d):
+        cells = {n: F.nullif(c, F.lit("")) for n, c in cells.items()}
+    return parsed.select(*[c.alias(n) for n, c in cells.items()])
 
 
 def bind_types(df: DataFrame, types: dict[str, str], keep_unknown: bool = True) -> DataFrame:
@@ -324,45 +337,46 @@ NUMBER_PATTERN = r"\A-?([0-9]+(\.[0-9]+)?|\.[0-9]+)\z"
 CANDIDATES = ("int", "bigint", "double", "boolean", "timestamp", "date", "time")
 
 
-def _fits(c: Column, type_name: str, formats: dict[str, str]) -> Column:
-    if type_name in ("int", "bigint"):
-        ok = c.rlike(NUMBER_PATTERN) & c.try_cast(type_name).isNotNull() & ~c.contains(".")
-    elif type_name == "double":
-        whole = ~c.contains(".")
-        ok = c.rlike(NUMBER_PATTERN) & (~whole | c.try_cast("bigint").isNotNull())
-    elif type_name == "boolean":
-        ok = casts.to_boolean(c).isNotNull()
-    else:
-        parse = {"date": cast_date, "time": cast_time, "timestamp": cast_timestamp}[type_name]
-        ok = parse(c, formats[type_name]).isNotNull() & ~c.rlike(NUMBER_PATTERN)
-    return F.coalesce(ok, F.lit(False))
+def narrowest(c: Column, formats: dict[str, str]) -> Column:
+    """Name of the narrowest candidate a value fits, ``string`` if none, null for a null."""
+    number = F.when(c.contains("."), F.lit("double")).when(c.try_cast("int").isNotNull(), F.lit("int")).when(
+        c.try_cast("bigint").isNotNull(), F.lit("bigint")
+    ).otherwise(F.lit("string"))
+    kind = F.when(c.isNull(), F.lit(None)).when(c.rlike(NUMBER_PATTERN), number)
+    kind = kind.when(casts.to_boolean(c).isNotNull(), F.lit("boolean"))
+    for name, parse in (("timestamp", cast_timestamp), ("date", cast_date), ("time", cast_time)):
+        kind = kind.when(parse(c, formats[name]).isNotNull(), F.lit(name))
+    return kind.otherwise(F.lit("string"))
 
 
-def type_counts(df: DataFrame, columns: list[str] | None = None, formats: dict[str, str] | None = None) -> DataFrame:
-    """One row: per column the number of values and how many fit each candidate type."""
-    formats = formats or DEFAULT_FORMATS
-    columns = columns or df.columns
-    aggs = []
-    for n in columns:
-        value = F.nullif(unquote(F.col(f"`{n}`")), F.lit(""))
-        aggs.append(F.struct(
-            F.count(value).alias("values"), *[F.count_if(_fits(value, t, formats)).alias(t) for t in CANDIDATES]
-        ).alias(n))
-    return df.agg(*aggs)
+# a candidate also fits the values of the narrower ones
+NARROWER = {"bigint": ("int",), "double": ("int", "bigint")}
 
 
 def column_type_profile(df: DataFrame, columns: list[str] | None = None,
                         formats: dict[str, str] | None = None) -> DataFrame:
-    """One row per column: values, fits per candidate type, and the chosen type (one pass over the data)."""
+    """One row per column: values, fits per candidate type, and the chosen type.
+
+    One pass: each value is classified once, and the counts are combined before
+    the shuffle.
+    """
+    formats = formats or DEFAULT_FORMATS
     columns = columns or df.columns
-    one = type_counts(df, columns, formats)
-    rows = one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(f"`{n}`").alias("c")) for n in columns])).alias("r"))
-    c = F.col("r.c")
+    values = df.select(*[F.nullif(unquote(F.col(f"`{n}`")), F.lit("")).alias(n) for n in columns])
+    kinds = values.select(*[narrowest(F.col(f"`{n}`"), formats).alias(n) for n in columns])
+    one = kinds.agg(*[
+        F.struct(
+            F.lit(n).alias("name"), F.count(F.col(f"`{n}`")).alias("values"),
+            *[F.count_if(F.col(f"`{n}`").isin(t, *NARROWER.get(t, ()))).alias(t) for t in CANDIDATES],
+        ).alias(f"c{i}")
+        for i, n in enumerate(columns)
+    ])
+    c = F.col("c")
     chosen = F.when(c["values"] == 0, F.lit("string"))
     for t in CANDIDATES:
         chosen = chosen.when(c[t] == c["values"], F.lit(t))
-    return rows.select(
-        F.col("r.column_name").alias("column_name"), c["values"].alias("value_count"),
+    return one.select(F.explode(F.array(*[F.col(f"c{i}") for i in range(len(columns))])).alias("c")).select(
+        c["name"].alias("column_name"), c["values"].alias("value_count"),
         *[c[t].alias(f"fits_{t}") for t in CANDIDATES], chosen.otherwise("string").alias("chosen_type"),
     )
 
@@ -465,12 +479,18 @@ def csv_write(df: DataFrame, path: str, dialect_name: str | Dialect = "custom",
     first row of each task, so there is no separate header file or driver step.
     """
     d = dialect(dialect_name)
-    line = render_lines(df, d, quote_mode, formats)
-    if header:
-        top = header_line(df.columns, d, quote_mode or d.quote_mode or MINIMAL) + d.line_sep
+    top = header_line(df.columns, d, quote_mode or d.quote_mode or MINIMAL) if header else None
+    write_lines(df.select(render_lines(df, d, quote_mode, formats).alias("line")), path, top, d.line_sep, mode, compression)
+
+
+def write_lines(lines: DataFrame, path: str, top: str | None = None, line_sep: str = "\n", mode: str = "errorifexists",
+                compression: str | None = None) -> None:
+    """Write column ``line``, with ``top`` as the first line of every file."""
+    line = F.col("line")
+    if top is not None:
         first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
-        line = F.when(first, F.concat(F.lit(top), line)).otherwise(line)
-    out = df.select(line.alias("value")).write.mode(mode).option("lineSep", d.line_sep)
+        line = F.when(first, F.concat(F.lit(top + line_sep), line)).otherwise(line)
+    out = lines.select(line.alias("value")).write.mode(mode).option("lineSep", line_sep)
     if compression:
         out = out.option("compression", compression)
     out.text(path)
