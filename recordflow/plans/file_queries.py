@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from recordflow.operators.batches import shared_dir
 from recordflow.plans.registry import query, table
@@ -200,12 +200,15 @@ def csv_field_count(spark, sf_dir):
 
 @query("csv_quarantine", """
 SELECT CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') THEN 'bad' ELSE 'good' END AS part, c_custkey AS id,
-  CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') THEN CAST(c_acctbal AS DOUBLE) END AS balance FROM customer""")
+  CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') THEN CAST(c_acctbal AS DOUBLE) END AS balance,
+  CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'wrong number of cells' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'not a valid double' END AS reason
+FROM customer""")
 def csv_quarantine(spark, sf_dir):
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("label", T.StringType()), T.StructField("balance", T.DoubleType())])
-    good, bad = csv.csv_quarantine(csv.scan_with_corrupt(spark, _uneven(spark, sf_dir), schema, multi_line=False))
-    return good.select(F.lit("good").alias("part"), "id", "balance").unionByName(
-        bad.select(F.lit("bad").alias("part"), "id", F.lit(None).cast("double").alias("balance")))
+    types = {"id": "bigint", "label": "string", "balance": "double"}
+    good, bad = csv.csv_quarantine(csv.scan_with_rejects(spark, _uneven(spark, sf_dir), types, multi_line=False))
+    return good.select(F.lit("good").alias("part"), "id", "balance", F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select(F.lit("bad").alias("part"), "id", F.lit(None).cast("double").alias("balance"),
+                   F.get("_rejects", F.lit(0))["reason"].alias("reason")))
 
 
 @query("csv_skip_blank_comment", """

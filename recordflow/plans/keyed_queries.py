@@ -180,6 +180,10 @@ UNION ALL SELECT 'reject', o_orderkey, o_totalprice, o_orderdate, NULL, 'unknown
   WHERE op = 'TRUNCATE' AND o_orderkey IS NOT NULL"""
 
 
+def mixed_fold_table() -> str:
+    return f"SELECT o_orderkey, o_totalprice, o_orderdate, o_orderpriority FROM ({_fold(False)}) WHERE part = 'table'"
+
+
 @query("keyed_mixed_ops", _fold(False))
 def keyed_mixed_ops(spark, sf_dir):
     done = keyed.apply_mixed(_orders(spark, sf_dir), changes(spark, sf_dir), KEYS, ORDER, "op", operations=keyed.ROW_OPERATIONS)

@@ -294,19 +294,27 @@ def bind_types(df: DataFrame, types: dict[str, str], keep_unknown: bool = True)
     return casts.convert(df.select(*cells), known)
 
 
-def scan_with_corrupt(spark: SparkSession, path, schema: T.StructType, dialect_name: str | Dialect = "custom",
+def scan_with_rejects(spark: SparkSession, path, types: dict[str, str], dialect_name: str | Dialect = "custom",
                       header: bool = True, multi_line: bool = True) -> DataFrame:
-    """Typed scan whose ``_corrupt`` column holds the text of rows with a wrong cell count or a bad value."""
+    """Typed columns plus ``_rejects``: one entry for a wrong number of cells, one per bad value.
+
+    Cells are read as text and converted here, so that every value counts no
+    matter which columns a query goes on to use.
+    """
     d = dialect(dialect_name)
-    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    options = reader_options(d, header, multi_line=multi_line)
-    return spark.read.options(**options).option("columnNameOfCorruptRecord", CORRUPT).schema(wide).csv(path)
+    names = list(types)
+    text = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
+    options = {**reader_options(d, header, multi_line=multi_line), "columnNameOfCorruptRecord": CORRUPT}
+    scanned = spark.read.options(**options).schema(text).csv(path)
+    uneven = casts.reject_entry(CORRUPT, F.col(CORRUPT), F.col(CORRUPT).isNotNull(), "wrong number of cells")
+    marked = scanned.select(*names, casts.collect_rejects([uneven]).alias(casts.REJECTS))
+    cleaned = marked.select(*[empty_to_null(unquote(F.col(n))).alias(n) for n in names], casts.REJECTS)
+    return casts.convert(cleaned, types)
 
 
 def csv_quarantine(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, bad rows) of :func:`scan_with_corrupt`."""
-    bad = F.col(CORRUPT).isNotNull()
-    return scanned.filter(~bad).drop(CORRUPT), scanned.filter(bad)
+    """(good rows, bad rows with their reasons) of :func:`scan_with_rejects`."""
+    return casts.split_rejects(scanned)
 
 
 class FieldCountError(ValueError):
@@ -357,33 +365,31 @@ def column_type_profile(df: DataFrame, columns: list[str] | None = None,
                         formats: dict[str, str] | None = None) -> DataFrame:
     """One row per column: values, fits per candidate type, and the chosen type.
 
-    One pass: each value is classified once, and the counts are combined before
-    the shuffle.
+    One pass: each value is classified once, by one expression for all columns,
+    and the counts are combined before the shuffle.
     """
     formats = formats or DEFAULT_FORMATS
     columns = columns or df.columns
-    values = df.select(*[F.nullif(unquote(F.col(f"`{n}`")), F.lit("")).alias(n) for n in columns])
-    kinds = values.select(*[narrowest(F.col(f"`{n}`"), formats).alias(n) for n in columns])
-    one = kinds.agg(*[
-        F.struct(
-            F.lit(n).alias("name"), F.count(F.col(f"`{n}`")).alias("values"),
-            *[F.count_if(F.col(f"`{n}`").isin(t, *NARROWER.get(t, ()))).alias(t) for t in CANDIDATES],
-        ).alias(f"c{i}")
-        for i, n in enumerate(columns)
-    ])
-    c = F.col("c")
-    chosen = F.when(c["values"] == 0, F.lit("string"))
-    for t in CANDIDATES:
-        chosen = chosen.when(c[t] == c["values"], F.lit(t))
-    return one.select(F.explode(F.array(*[F.col(f"c{i}") for i in range(len(columns))])).alias("c")).select(
-        c["name"].alias("column_name"), c["values"].alias("value_count"),
-        *[c[t].alias(f"fits_{t}") for t in CANDIDATES], chosen.otherwise("string").alias("chosen_type"),
+    cells = F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"`{n}`").alias("v")) for n in columns])
+    long = df.select(F.explode(cells).alias("c")).select(
+        F.col("c.n").alias("column_name"), F.nullif(unquote(F.col("c.v")), F.lit("")).alias("value")
     )
+    counts = long.groupBy("column_name", narrowest(F.col("value"), formats).alias("kind")).agg(F.count("value").alias("n"))
+    kind, n = F.col("kind"), F.col("n")
+    fits = {t: F.sum(F.when(kind.isin(t, *NARROWER.get(t, ())), n).otherwise(0)) for t in CANDIDATES}
+    profile = counts.groupBy("column_name").agg(
+        F.sum("n").alias("value_count"), *[c.alias(f"fits_{t}") for t, c in fits.items()]
+    )
+    chosen = F.when(F.col("value_count") == 0, F.lit("string"))
+    for t in CANDIDATES:
+        chosen = chosen.when(F.col(f"fits_{t}") == F.col("value_count"), F.lit(t))
+    return profile.withColumn("chosen_type", chosen.otherwise("string"))
 
 
 def csv_infer_schema(df: DataFrame, formats: dict[str, str] | None = None) -> dict[str, str]:
     """{column: type} from every row; an empty table is all text."""
-    return {r["column_name"]: r["chosen_type"] for r in column_type_profile(df, formats=formats).collect()}
+    found = {r["column_name"]: r["chosen_type"] for r in column_type_profile(df, formats=formats).collect()}
+    return {c: found.get(c, "string") for c in df.columns}
 
 
 def apply_inferred(df: DataFrame, types: dict[str, str], formats: dict[str, str] | None = None) -> DataFrame:
