@@ -211,18 +211,45 @@ def caster(type_name: str):
 
 # ------------------------------------------------------------ strict and soft
 def reject_entry(column: str, value: Column, bad: Column, reason: str) -> Column:
-    return F.when(
-        bad,
-        F.struct(
-            F.lit(column).alias("column"), value.cast("string").alias("value"), F.lit(reason).alias("reason")
-        ),
+    """An array of one ``(column, value, reason)`` entry where ``bad`` holds, else an empty one."""
+    entry = F.struct(
+        F.lit(column).alias("column"), value.cast("string").alias("value"), F.lit(reason).alias("reason")
     )
+    return F.when(bad, F.array(entry).cast(REJECT_TYPE)).otherwise(F.array().cast(REJECT_TYPE))
 
 
 def collect_rejects(entries: list[Column]) -> Column:
-    if not entries:
-        return F.array().cast(REJECT_TYPE)
-    return F.array_compact(F.array(*entries)).cast(REJECT_TYPE)
+    """All entries of a row; plain concatenation, so the projection stays in generated code."""
+    return F.concat(*entries) if entries else F.array().cast(REJECT_TYPE)
+
+
+def evaluate_once(df: DataFrame, made: dict[str, Column]) -> DataFrame:
+    """Add columns whose expressions are evaluated exactly once per row.
+
+    They come out of a one-row ``inline``: what reads them later (a reject
+    test, a filter) uses the result, where a plain projection would have its
+    expressions copied into every filter pushed below it.
+    """
+    if not made:
+        return df
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))))
+
+
+VALUE = "_value_"
+
+
+def replace_checked(df: DataFrame, made: dict[str, Column], entries: list[Column]) -> DataFrame:
+    """Replace columns by converted ones and extend ``_rejects``.
+
+    ``entries`` may refer to the original column by its name and to the
+    converted one by ``_value_<name>``.
+    """
+    once = evaluate_once(df, {VALUE + n: c for n, c in made.items()})
+    found = collect_rejects(entries)
+    if REJECTS in df.columns:
+        found = F.concat(F.col(REJECTS), found)
+    out = [F.col(f"`{VALUE}{c}`").alias(c) if c in made else F.col(f"`{c}`") for c in df.columns if c != REJECTS]
+    return once.select(*out, found.alias(REJECTS))
 
 
 def convert(df: DataFrame, types: dict[str, str], required: tuple[str, ...] = ()) -> DataFrame:
@@ -232,23 +259,16 @@ def convert(df: DataFrame, types: dict[str, str], required: tuple[str, ...] = ()
     column, each add a ``(column, value, reason)`` entry.  Rejects found by an
     earlier call are kept.
     """
-    entries, out = [], []
+    entries, made = [], {}
     for name in df.columns:
-        if name == REJECTS:
-            continue
         c = F.col(f"`{name}`")
         if name in types:
-            v = caster(types[name])(c)
-            out.append(v.alias(name))
-            entries.append(reject_entry(name, c, c.isNotNull() & v.isNull(), f"not a valid {types[name]}"))
-        else:
-            out.append(c)
+            made[name] = caster(types[name])(c)
+            bad = c.isNotNull() & F.col(f"`{VALUE}{name}`").isNull()
+            entries.append(reject_entry(name, c, bad, f"not a valid {types[name]}"))
         if name in required:
             entries.append(reject_entry(name, c, c.isNull(), "must not be null"))
-    found = collect_rejects(entries)
-    if REJECTS in df.columns:
-        found = F.concat(F.col(REJECTS), found)
-    return df.select(*out, found.alias(REJECTS))
+    return replace_checked(df, made, entries)
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordflow.functions.casts import REJECTS, collect_rejects, reject_entry, strip_blanks
+from recordflow.functions.casts import VALUE, reject_entry, replace_checked, strip_blanks
 
 # --- fixed values ----------------------------------------------------------
 DEFAULT_TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
@@ -45,8 +45,6 @@ TIME_FIELDS = set("HmsS")
 # letters that have no meaning in a parse here
 UNSUPPORTED = set("YWwecqQLDAnNp")
 
-MAX_EPOCH_MILLIS = 9223372036854775
-
 
 @dataclass(frozen=True)
 class _Part:
@@ -112,65 +110,34 @@ def _numeric_regex(parts: list[_Part]) -> str | None:
     return r"\A" + "".join(out) + r"\z"
 
 
-def _field(text: Column, parts: list[_Part], regex: str, kinds: str) -> Column | None:
-    """The digits of a field, by position when every earlier field has a fixed width."""
-    start, group, fixed = 1, 0, True
-    for p in parts:
-        if p.kind == "text":
-            start += len(p.text)
-            continue
-        group += 1
-        variable = p.kind in "MdHms" and p.width == 1
-        if p.kind in kinds:
-            if fixed and not variable:
-                return F.substring(text, start, p.width)
-            return F.regexp_extract(text, regex, group)
-        if variable:
-            fixed = False
-        start += p.width
-    return None
-
-
 def _iso_parse(text: Column, pattern: str, need_time: bool, need_date: bool) -> Column | None:
     """NTZ timestamp of a purely numeric pattern; None where that is not possible."""
     parts = split_pattern(pattern)
     regex = _numeric_regex(parts)
-    if regex is None:
+    fields = [p for p in parts if p.kind != "text"]
+    at = {p.kind.replace("u", "y"): f"${i + 1}" for i, p in enumerate(fields)}
+    if regex is None or len(at) != len(fields):
         return None
-    kinds = [p.kind for p in parts if p.kind != "text"]
-    if len(set(kinds)) != len(kinds):
-        return None
-    have_date = {"M", "d"} <= set(kinds) and ("y" in kinds or "u" in kinds)
-    if need_date and not have_date or need_time and "H" not in kinds:
+    have_date = {"y", "M", "d"} <= set(at)
+    if need_date and not have_date or need_time and "H" not in at:
         # the text cannot hold what is asked for, so nothing ever parses
         return F.lit(None).cast("timestamp_ntz")
 
-    def digits(kind: str, width: int, default: str) -> Column:
-        c = _field(text, parts, regex, kind)
-        if c is None:
-            return F.lit(default)
-        return F.lpad(c, width, "0")
-
-    if have_date:
-        year_width = next(p.width for p in parts if p.kind in "yu")
-        year = _field(text, parts, regex, "yu")
-        if year_width == 2:
-            year = F.concat(F.lit("20"), year)
-        month, day = digits("M", 2, "01"), digits("d", 2, "01")
-    else:
-        year, month, day = F.lit("1970"), F.lit("01"), F.lit("01")
-    frac = _field(text, parts, regex, "S")
-    time = F.concat(
-        digits("H", 2, "00"), F.lit(":"), digits("m", 2, "00"), F.lit(":"), digits("s", 2, "00"),
-        F.lit("."), F.lit("000000") if frac is None else F.substring(F.rpad(frac, 9, "0"), 1, 6),
-    )
-    whole = F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), time)
-    value = whole.try_cast("timestamp_ntz")
+    century = "20" if any(p.kind in "yu" and p.width == 2 for p in fields) else ""
+    year, month, day = (century + at["y"], at["M"], at["d"]) if have_date else ("1970", "01", "01")
+    time = f" {at.get('H', '00')}:{at.get('m', '00')}:{at.get('s', '00')}"
+    if "S" in at:
+        time += "." + at["S"]
+    iso = F.regexp_replace(text, regex, f"{year}-{month}-{day}{time}")
+    if re.fullmatch(r"yyyy-MM-dd HH:mm:ss(\.S+)?", pattern):
+        iso = text   # already in the order the cast reads
+    value = iso.try_cast("timestamp_ntz")
     if have_date:
         # a day past the end of its month (up to 31) means the last day
-        first = F.concat(year, F.lit("-"), month, F.lit("-01 "), time).try_cast("timestamp_ntz")
-        last = F.concat(F.date_format(F.last_day(first), "yyyy-MM-dd"), F.lit(" "), time).try_cast("timestamp_ntz")
-        value = F.coalesce(value, F.when(day.between("29", "31") & first.isNotNull(), last))
+        number = F.regexp_replace(text, regex, day).try_cast("int")
+        first = F.regexp_replace(text, regex, f"{year}-{month}-01{time}").try_cast("timestamp_ntz")
+        last = first + F.make_dt_interval(F.dayofmonth(F.last_day(first)) - 1)
+        value = F.coalesce(value, F.when(number.between(29, 31), last))
     return F.when(text.rlike(regex), value)
 
 
@@ -208,9 +175,8 @@ def micros_of_day(ts: Column) -> Column:
 
 
 def from_epoch_millis(millis: Column) -> Column:
-    """NTZ timestamp in UTC; null outside the representable range."""
-    ok = millis.between(-MAX_EPOCH_MILLIS, MAX_EPOCH_MILLIS)
-    return F.when(ok, F.timestamp_millis(millis).cast("timestamp_ntz"))
+    """NTZ timestamp; null outside the representable range."""
+    return F.timestamp_micros(F.try_multiply(millis, F.lit(1000))).cast("timestamp_ntz")
 
 
 def _millis_text(text: Column) -> Column:
@@ -283,14 +249,11 @@ def parse_timestamp_columns(
     schema-property precedence applies instead.
     """
     patterns = patterns or {}
-    out, entries = [], []
+    made, entries = {}, []
     for field in df.schema.fields:
         name = field.name
-        if name == REJECTS:
-            continue
         c = F.col(f"`{name}`")
         if name not in columns:
-            out.append(c)
             continue
         if props is not None:
             pattern = pattern_from_props(props, name)
@@ -299,14 +262,10 @@ def parse_timestamp_columns(
                 patterns.get(name) or default_pattern or (field.metadata or {}).get("format")
                 or DEFAULT_TIMESTAMP_PATTERN
             )
-        v = cast_timestamp(c, pattern, hours)
-        out.append(v.alias(name))
-        bad = c.isNotNull() & v.isNull() & ~is_blank(c)
+        made[name] = cast_timestamp(c, pattern, hours)
+        bad = c.isNotNull() & F.col(f"`{VALUE}{name}`").isNull() & ~is_blank(c)
         entries.append(reject_entry(name, c, bad, f"not a timestamp of pattern {pattern}"))
-    found = collect_rejects(entries)
-    if REJECTS in df.columns:
-        found = F.concat(F.col(REJECTS), found)
-    return df.select(*out, found.alias(REJECTS))
+    return replace_checked(df, made, entries)
 
 
 # ------------------------------------------------------------- named formats

@@ -262,29 +262,35 @@ def delete(target: DataFrame, changes: DataFrame, keys: list[str], order: list[s
 
 
 # --------------------------------------------------------- mixed operations
-def _base(op: Column) -> Column:
-    return F.regexp_replace(op, "_IGNORE$", "")
+KIND = "_kind"
+
+
+def _with_kind(rows: DataFrame, op: str) -> DataFrame:
+    """Column ``_kind``: the operation without its ignore suffix."""
+    return rows.withColumn(KIND, F.regexp_replace(F.col(f"`{op}`"), "_IGNORE$", ""))
 
 
 def classify_mixed(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], op: str,
                    ranges: Ranges | None = None) -> DataFrame:
-    """Each change row with ``_present`` (was its key present just before it) and ``_reason`` if it fails.
+    """Each change row with its ``_kind``, ``_present`` (was its key present just before it) and ``_reason`` if it fails.
 
     An update never changes whether a key is present, so presence before a row
     is decided by the last insert, upsert or delete before it, or else by the
     stored table.
     """
-    kind = _base(F.col(f"`{op}`"))
+    kind = F.col(KIND)
     sets = F.when(kind != UPDATE, kind != DELETE)
     ranges = find_ranges(changes, keys, order) if ranges is None else ranges
-    carried = carry_last(changes, keys, order, {"_set": sets}, ranges)
+    carried = carry_last(_with_kind(changes, op), keys, order, {"_set": sets}, ranges)
     stored = target.select(*_cols(keys), F.lit(True).alias("_stored"))
     seen = salted_lookup(carried, stored, keys, order, ranges.hot)
     present = F.coalesce(F.col("_set"), F.col("_stored"), F.lit(False))
     reason = F.when((kind == INSERT) & present, F.lit(KEY_EXISTS)).when(
         kind.isin(UPDATE, DELETE) & ~present, F.lit(KEY_ABSENT)
     )
-    return seen.withColumn("_present", present).withColumn(REASON, reason).select(*_cols(changes.columns), "_present", REASON)
+    return seen.withColumn("_present", present).withColumn(REASON, reason).select(
+        *_cols(changes.columns), KIND, "_present", REASON
+    )
 
 
 def apply_mixed(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], op: str,
@@ -299,7 +305,7 @@ def apply_mixed(target: DataFrame, changes: DataFrame, keys: list[str], order: l
     rows, unknown = op_from_column(rows, op, operations)
     marked = classify_mixed(target, rows, keys, order, op, ranges)
 
-    kind = _base(F.col(f"`{op}`"))
+    kind = F.col(KIND)
     at = F.struct(*_cols(order))
     works = F.col(REASON).isNull()
     writes = works & (kind != DELETE)
@@ -337,7 +343,7 @@ def apply_mixed(target: DataFrame, changes: DataFrame, keys: list[str], order: l
     present = F.coalesce(F.col("_set"), F.col("_stored"), F.lit(False))
     table = both.filter(present).select(*[final(c) for c in target.columns])
     failed = marked.filter(F.col(REASON).isNotNull() & ~F.col(f"`{op}`").endswith("_IGNORE"))
-    rejects = failed.drop("_present").unionByName(null_keys).unionByName(unknown)
+    rejects = failed.drop("_present", KIND).unionByName(null_keys).unionByName(unknown)
     return Applied(table, rejects)
 
 
