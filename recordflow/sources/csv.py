@@ -9,12 +9,15 @@ per regular-expression match on whole text lines, which stay splittable.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from recordflow.functions import casts
-from recordflow.functions.timestamps import cast_date, cast_time, cast_timestamp
+from recordflow.functions.timestamps import cast_date, cast_time, cast_timestamp, parse_date, parse_time, parse_timestamp
 from recordflow.functions.values import empty_to_null, unquote
 
 CORRUPT = "_corrupt"
@@ -96,21 +99,53 @@ def _needs_text_path(d: Dialect, multi_line: bool) -> bool:
 
 
 # ----------------------------------------------------------------- text path
-def read_lines(spark: SparkSession, path, d: Dialect, encoding: str = "UTF-8") -> DataFrame:
-    """Column ``line``: BOM removed, comment lines dropped, blank lines kept or dropped by the dialect."""
-    reader = spark.read.option("lineSep", d.line_sep) if d.line_sep != "\r\n" else spark.read
+def read_lines(spark: SparkSession, path, d: Dialect, encoding: str = "UTF-8", skip_header: bool = False) -> DataFrame:
+    """Column ``line``: BOM removed, comment lines dropped, blank lines kept or dropped by the dialect.
+
+    ``skip_header`` drops the first line with content of every file, and only that one.
+    """
     if encoding.upper() not in ("UTF-8", "UTF8"):
         # the text reader knows UTF-8 only; a CSV scan with a separator that never occurs yields whole lines
-        reader = reader.options(sep="\x00", quote="", encoding=encoding, maxCharsPerColumn=-1).schema("value string")
-        lines = reader.csv(path)
+        wide = encoding.upper().startswith(("UTF-16", "UTF-32"))   # line ends are not single bytes
+        reader = spark.read.options(sep="\x00", quote="", encoding=encoding, maxCharsPerColumn=-1, multiLine=wide)
+        lines = reader.schema("value string").csv(path)
     else:
-        lines = reader.text(path)
-    lines = lines.select(F.regexp_replace("value", "^\ufeff", "").alias("line"))
+        # lines end in LF, CR or both, whatever the dialect writes
+        lines = spark.read.text(path)
+    where = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")]
+    lines = lines.select(F.regexp_replace("value", "^\ufeff", "").alias("line"), *(where if skip_header else []))
     if not d.keep_blank_lines:
         lines = lines.filter(F.length(F.btrim("line") if d.trim else F.col("line")) > 0)
     if d.comment:
         lines = lines.filter(~F.ltrim("line").startswith(d.comment))
-    return lines
+    return lines.mapInArrow(_drop_headers, "line string") if skip_header else lines
+
+
+def _drop_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows arrive in file order; the first line with content after the start of a file is its header."""
+    before, pending = None, False
+    for batch in batches:
+        line = batch.column("line")
+        file, start = batch.column("_file").to_numpy(), batch.column("_start").to_numpy()
+        begins = np.ones(len(line), dtype=bool)
+        begins[1:] = (file[1:] != file[:-1]) | (start[1:] != start[:-1])
+        if len(line) and before == (file[0], start[0]):
+            begins[0] = False
+        keep = np.ones(len(line), dtype=bool)
+        # only the beginnings of files are looked at row by row
+        stops = [int(i) for i in np.flatnonzero(begins)]
+        for i in ([0] if pending and len(line) and not begins[0] else []) + stops:
+            if i in stops:
+                pending = start[i] == 0
+            while pending and i < len(line):
+                keep[i] = False
+                pending = not line[i].as_py().strip()
+                i += 1
+                if i < len(line) and begins[i]:
+                    break
+        if len(line):
+            before = (file[-1], start[-1])
+        yield pa.RecordBatch.from_arrays([line.filter(pa.array(keep))], names=["line"])
 
 
 def _unescape(text: Column, d: Dialect) -> Column:
@@ -260,12 +295,7 @@ def csv_scan(
         width = len(names)
 
     if as_text:
-        lines = read_lines(spark, path, d, encoding)
-        if header != "none":
-            # every file of the set starts with the same header line
-            top = read_lines(spark, path, d.but(keep_blank_lines=False), encoding).limit(1).first()
-            lines = lines.filter(F.col("line") != F.lit(top["line"] if top else ""))
-        parsed = parse_lines(lines, d)
+        parsed = parse_lines(read_lines(spark, path, d, encoding, skip_header=header != "none"), d)
         if unknown != "drop":
             return cells_to_columns(parsed, list(at), unknown)
         cells = {n: F.get("cells", F.lit(i)) for n, i in at.items()}
@@ -352,8 +382,9 @@ def narrowest(c: Column, formats: dict[str, str]) -> Column:
     ).otherwise(F.lit("string"))
     kind = F.when(c.isNull(), F.lit(None)).when(c.rlike(NUMBER_PATTERN), number)
     kind = kind.when(casts.to_boolean(c).isNotNull(), F.lit("boolean"))
-    for name, parse in (("timestamp", cast_timestamp), ("date", cast_date), ("time", cast_time)):
-        kind = kind.when(parse(c, formats[name]).isNotNull(), F.lit(name))
+    # by pattern only: bare digits are numbers, not epoch millis
+    for name, parse in (("timestamp", parse_timestamp), ("date", parse_date), ("time", parse_time)):
+        kind = kind.when(parse(casts.strip_blanks(c), formats[name]).isNotNull(), F.lit(name))
     return kind.otherwise(F.lit("string"))
 
 
@@ -444,9 +475,13 @@ def render_cell(text: Column, d: Dialect, mode: str, numeric: bool, first: bool)
         return F.coalesce(quoted, null)
     if mode == NON_NUMERIC:
         return F.coalesce(text if numeric else quoted, null)
-    special = "".join(re.escape(c) for c in dict.fromkeys(["\n", "\r", q, e, d.sep]))
-    # quoted when it starts at or below '#', holds a special character, or ends in a blank
-    need = text.rlike(f"(?s)\\A[\\x00-#]|[{special}]|[\\x00- ]\\z")
+    if numeric and not set(d.sep + q + (d.escape or "")) & set("0123456789.+-EeNaInfity"):
+        return F.coalesce(text, null)   # nothing in a number needs quoting
+    # quoted when it starts at or below '#', ends in a blank or control character, or holds a special character
+    need = (F.ascii(text) <= ord("#")) | (F.ascii(F.substring(text, -1, 1)) <= ord(" "))
+    for c in dict.fromkeys([d.sep, q, e, "\n", "\r"]):
+        need = need | text.contains(c)
+    need = (F.length(text) > 0) & need
     if first:
         need = need | (F.length(text) == 0)
     return F.coalesce(F.when(need, quoted).otherwise(text), null)
