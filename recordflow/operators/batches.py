@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from recordflow.functions.values import sql_literal
 
@@ -16,8 +17,6 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         return tempfile.mkdtemp(prefix="recordflow-")
-    import uuid
-
     return f"{base.rstrip('/')}/recordflow-{uuid.uuid4().hex}"
 
 
@@ -31,11 +30,16 @@ def number_rows(df: DataFrame, order: list[str], name: str = ROW) -> DataFrame:
 
     The table is range-partitioned and sorted once and checkpointed, so that
     positions inside the partitions are fixed; the row count of each earlier
-    partition (one small row per partition) is then added.
+    partition (one small row per partition) is then added.  Rows that tie in
+    ``order`` may spread over partitions: by their other columns, and copies by
+    the partition they come from.
     """
     ensure_checkpoint_dir(df.sparkSession)
     cols = [F.col(f"`{c}`") for c in order]
-    ranged = df.repartitionByRange(*cols).sortWithinPartitions(*cols).checkpoint()
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    ties = {"_h": F.xxhash64(*[F.col(f"`{c}`") for c in plain]), "_p": F.spark_partition_id()}
+    ranged = df.withColumns(ties).repartitionByRange(*cols, "_h", "_p").sortWithinPartitions(*cols)
+    ranged = ranged.drop(*ties).checkpoint()
     # the id is (partition << 33) + position in the partition
     placed = ranged.withColumn("_id", F.monotonically_increasing_id())
     part = F.shiftright("_id", 33)
@@ -92,7 +96,20 @@ def limit_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+# pages that reach further than this are cut by exact row numbers instead of a top-k
+TOP_ROWS = 100_000
+
+
 def select_page(df: DataFrame, columns: list[str], where: Column | None, order: list[str], limit: int,
-                offset: int = 0) -> DataFrame:
+                offset: int = 0, top_rows: int = TOP_ROWS) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` in order.
+
+    A page near the top is a distributed top-k.  A page further down numbers
+    the rows over all partitions, so no task ever holds everything before it.
+    """
     page = df if where is None else df.filter(where)
-    return page.orderBy(*order).offset(offset).limit(limit).select(*columns)
+    if offset + limit <= top_rows:
+        return page.orderBy(*order).offset(offset).limit(limit).select(*columns)
+    page = page.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, *order])])
+    numbered = number_rows(page, order)
+    return numbered.filter(F.col(ROW).between(offset, offset + limit - 1)).orderBy(ROW).select(*columns)

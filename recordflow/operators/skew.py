@@ -13,8 +13,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # a key is hot when it holds more than one row in HOT_SHARE, so at most HOT_SHARE keys are
-HOT_SHARE = 64
-SKETCH_ITEMS = 4096
+HOT_SHARE = 512
+# items a sketch tracks: enough to tell one in HOT_SHARE from the sketch's own error
+SKETCH_ITEMS = 8192
+SKETCH_GROUPS = 64
+MIN_HOT_ROWS = 100
 MAX_RANGES = 256
 SAMPLE_PER_RANGE = 50
 
@@ -49,13 +52,21 @@ NO_HOT = Hot()
 
 
 def find_hot(df: DataFrame, keys: list[str], share: int = HOT_SHARE) -> Hot:
-    """One pass over the key columns; a frequent-items sketch, no shuffle of rows."""
-    row = (
-        df.select(key_hash(keys).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {share}, {SKETCH_ITEMS})").alias("top"), F.count(F.lit(1)).alias("n"))
-        .first()
+    """One pass over the key columns with frequent-items sketches, merged in two steps; rows are not shuffled."""
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g")
+    parts = df.select(key_hash(keys).alias("h"), group).groupBy("g").agg(
+        F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("s"), F.count(F.lit(1)).alias("n")
     )
-    top = [(t["item"], t["count"]) for t in (row["top"] or []) if t["count"] * share > row["n"] and t["count"] > share]
+    # grouped by a constant, so that an empty table gives no row at all
+    row = parts.groupBy(F.lit(1)).agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {SKETCH_ITEMS}), {share})").alias("top"), F.sum("n").alias("n")
+    ).first()
+    if row is None:
+        return NO_HOT
+    # a key of a few rows is never worth splitting, however small the table
+    top = [
+        (t["item"], t["count"]) for t in (row["top"] or []) if t["count"] * share > row["n"] and t["count"] >= MIN_HOT_ROWS
+    ]
     return Hot(tuple(h for h, _ in top), sum(c for _, c in top))
 
 

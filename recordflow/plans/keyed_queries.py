@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from recordflow.functions import casts, timestamps as ts
 from recordflow.operators import keyed
 from recordflow.plans.registry import query, table
+from recordflow.sources import jdbc
 
 KEYS = ["o_orderkey"]
 ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -149,6 +150,30 @@ def keyed_delete_ignore(spark, sf_dir):
     return keyed.delete_ignore(_orders(spark, sf_dir), changes(spark, sf_dir).filter(_EARLY), KEYS).select(*_OUT)
 
 
+# ----------------------------------------------------------- all or nothing
+@query("all_or_nothing", f"""
+WITH {_C}, last AS (SELECT * FROM c WHERE rn = n AND o_orderkey IS NOT NULL)
+SELECT 'refused' AS part, o_orderkey, o_totalprice, o_orderdate, o_orderpriority FROM orders
+UNION ALL SELECT 'accepted', coalesce(l.o_orderkey, o.o_orderkey),
+  CASE WHEN l.o_orderkey IS NOT NULL THEN l.o_totalprice ELSE o.o_totalprice END,
+  CASE WHEN l.o_orderkey IS NOT NULL THEN l.o_orderdate ELSE o.o_orderdate END, o.o_orderpriority
+FROM orders o FULL JOIN last l ON l.o_orderkey = o.o_orderkey""")
+def all_or_nothing(spark, sf_dir):
+    """An insert with rejects leaves the table as it was; an upsert without any goes through."""
+    stored = _orders(spark, sf_dir)
+    rows = changes(spark, sf_dir).filter(F.col("o_orderkey").isNotNull())
+
+    def outcome(applied: keyed.Applied) -> tuple[str, DataFrame]:
+        try:
+            return "accepted", keyed.all_or_nothing(applied)
+        except keyed.RejectedRows:
+            return "refused", stored
+
+    parts = [outcome(keyed.insert(stored, rows, KEYS, ORDER)), outcome(keyed.upsert(stored, rows, KEYS, ORDER))]
+    return parts[0][1].select(F.lit(parts[0][0]).alias("part"), *_OUT).unionByName(
+        parts[1][1].select(F.lit(parts[1][0]).alias("part"), *_OUT))
+
+
 # ------------------------------------------------------------ mixed operations
 def _fold(ignore_null: bool) -> str:
     price = "coalesce(c.o_totalprice, s.o_totalprice)" if ignore_null else "c.o_totalprice"
@@ -326,6 +351,26 @@ def null_safe_match(spark, sf_dir):
     return keyed.match_all_columns(c, back)
 
 
+# ------------------------------------------------ rows staged for a database write
+# The database half is one statement; what Spark computes is the staged rows.
+def _staged(operation: str):
+    def run(spark, sf_dir):
+        info = jdbc.TableInfo(["O_ORDERKEY", "O_TOTALPRICE", "O_ORDERDATE"], ["O_ORDERKEY"], ["O_ORDERKEY"])
+        rows = changes(spark, sf_dir).filter(F.col("o_orderkey").isNotNull())
+        db = jdbc.Database("jdbc:none:")
+        return jdbc.plan_write(rows, db, '"ORDERS"', info, operation, ORDER).rows
+
+    return run
+
+
+_STAGED = f"WITH {_C} SELECT {{}} o_orderkey AS \"O_ORDERKEY\", o_totalprice AS \"O_TOTALPRICE\", o_orderdate AS \"O_ORDERDATE\" FROM c WHERE o_orderkey IS NOT NULL {{}}"
+query("jdbc_insert", _STAGED.format("", ""))(_staged("INSERT"))
+query("jdbc_update", _STAGED.format("", "AND rn = n"))(_staged("UPDATE"))
+query("jdbc_upsert", _STAGED.format("", "AND rn = n"))(_staged("UPSERT"))
+query("jdbc_insert_ignore", _STAGED.format("", "AND rn = 1"))(_staged("INSERT_IGNORE"))
+query("jdbc_delete", _STAGED.format("DISTINCT", ""))(_staged("DELETE"))
+
+
 # ------------------------------------------------------------------------ counts
 @query("errors_by_file", """
 SELECT source, count(*) AS rejected, list_extract(list(lang || ' not accepted' ORDER BY doc_id), 1) AS first_reason,

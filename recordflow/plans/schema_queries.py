@@ -111,6 +111,12 @@ def select_page(spark, sf_dir):
                                ["o_orderdate", "o_orderkey"], 50, 25)
 
 
+@query("select_page_deep", """
+SELECT event_id, ts FROM events ORDER BY ts, event_id LIMIT 500 OFFSET 300""")
+def select_page_deep(spark, sf_dir):
+    return batches.select_page(table(spark, sf_dir, "events"), ["event_id", "ts"], None, ["ts", "event_id"], 500, 300, top_rows=0)
+
+
 # ------------------------------------------------------------ numbered batches
 @query("result_fragments", """
 SELECT event_id, (row_number() OVER (ORDER BY ts, event_id) - 1) // 1000 AS fragment_index FROM events""")

@@ -145,3 +145,21 @@ def test_every_row_is_rendered_once(spark, per):
 
 def test_shared_folder_comes_from_the_session(spark, tmp_path):
     assert batches.shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir", "/tmp"))
+
+
+def test_ties_and_copies_do_not_share_one_partition(spark):
+    df = spark.range(4000, numPartitions=8).select(F.lit(1).alias("same"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")   # it would merge such small partitions again
+    try:
+        got = batches.number_rows(df, ["same"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(r["_row"] for r in got.collect()) == list(range(4000))
+    largest = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest <= 1500
+
+
+def test_deep_and_shallow_pages_agree(spark):
+    df = spark.range(2000).select((F.col("id") * 37 % 2000).alias("v"))
+    page = lambda **kw: [r["v"] for r in batches.select_page(df, ["v"], F.col("v") >= 100, ["v"], 50, 1000, **kw).collect()]
+    assert page() == page(top_rows=0) == list(range(1100, 1150))
