@@ -167,6 +167,10 @@ def to_text(c: Column, data_type: T.DataType, pattern: str | None = None, charse
         return F.unix_millis(c.cast("timestamp")).cast("string")
     if isinstance(data_type, T.BinaryType):
         return F.decode(c, charset)
+    if isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, T.ByteType):
+        # an array of bytes is text in disguise; an empty one is empty text
+        digits = F.transform(c, lambda b: F.lpad(F.hex(b.cast("int").bitwiseAND(255).cast("bigint")), 2, "0"))
+        return F.decode(F.unhex(F.array_join(digits, "")), charset)
     if isinstance(data_type, T.ArrayType):
         return F.concat(F.lit("["), F.array_join(F.transform(c, lambda x: x.cast("string")), ", ", "null"), F.lit("]"))
     return c.cast("string")

@@ -148,6 +148,8 @@ def conform(c: Column, have: T.DataType, want: T.DataType, pattern: str = DEFAUL
         return add_hours(base, hours).cast(want)
     if isinstance(want, T.DateType) and isinstance(have, T.StringType):
         return cast_date(c)
+    if isinstance(want, (T.VarcharType, T.CharType)):
+        return casts.to_varchar(casts.to_text(c, have), want.length)
     if isinstance(want, T.BinaryType):
         return c if isinstance(have, T.BinaryType) else F.encode(c.cast("string"), "UTF-8")
     if isinstance(want, T.StringType):

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from recordflow.functions import casts, timestamps as ts
 from recordflow.operators import keyed
+from recordflow.operators.ingest import to_target_rows
 from recordflow.plans.registry import query, table
 from recordflow.sources import jdbc
 
@@ -239,10 +240,10 @@ def keyed_ingest(spark, sf_dir):
         F.when(spoilt, "n/a").otherwise(F.col("l_extendedprice").cast("decimal(18,2)").cast("string")).alias("o_totalprice"),
         F.date_format("l_shipdate", "dd/MM/yyyy HH:mm:ss").alias("o_orderdate"), *ORDER,
     )
-    typed = casts.convert(text, {"o_orderkey": "bigint", "o_totalprice": "double"}, required=("o_orderkey",))
-    typed = ts.parse_timestamp_columns(typed, ["o_orderdate"], {"o_orderdate": "dd/MM/yyyy HH:mm:ss"}, hours=9)
+    stored = _orders(spark, sf_dir)
+    typed = to_target_rows(text, stored.schema, KEYS, {"o_orderdate": "dd/MM/yyyy HH:mm:ss"}, hours=9, order=ORDER)
     good, _ = casts.split_rejects(typed)
-    return keyed.upsert(_orders(spark, sf_dir), good, KEYS, ORDER).table
+    return keyed.upsert(stored, good, KEYS, ORDER).table
 
 
 # ------------------------------------------------------------ schema and routing

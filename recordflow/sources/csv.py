@@ -312,13 +312,17 @@ def csv_scan(
     return parsed.select(*[c.alias(n) for n, c in cells.items()])
 
 
-def bind_types(df: DataFrame, types: dict[str, str], keep_unknown: bool = True) -> DataFrame:
-    """Text columns to typed ones by name; unquoted first, empty to null, unknown names stay text."""
+def bind_types(df: DataFrame, types: dict[str, str], keep_unknown: bool = True, trim_quotes: bool = True) -> DataFrame:
+    """Text columns to typed ones by name; empty to null, unknown names stay text.
+
+    Outer quotes are stripped first, except from text columns when ``trim_quotes`` is off.
+    """
     known = {n: t for n, t in types.items() if n in df.columns}
     cells = []
     for c in df.columns:
         if c in known:
-            cells.append(empty_to_null(unquote(F.col(f"`{c}`"))).alias(c))
+            keep = not trim_quotes and known[c] == "string"
+            cells.append(empty_to_null(F.col(f"`{c}`") if keep else unquote(F.col(f"`{c}`")), keep).alias(c))
         elif keep_unknown:
             cells.append(F.col(f"`{c}`"))
     return casts.convert(df.select(*cells), known)

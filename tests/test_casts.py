@@ -263,7 +263,7 @@ def test_sql_literals_are_safe(spark):
 
 
 def test_statement_splitting(spark):
-    assert one(spark, lambda: values.split_statements(F.col("x")), x="a; b\;c ;;\n d") == ["a", "b;c", "d"]
+    assert one(spark, lambda: values.split_statements(F.col("x")), x="a; b\\;c ;;\n d") == ["a", "b;c", "d"]
     assert one(spark, lambda: values.split_statements(F.col("x")), x="  ") == []
 
 
