@@ -81,7 +81,7 @@ def breach_edges(df: DataFrame, series: list[str], order: list[str], exceeded: C
     seen = carry_last(marked, series, order, {"_prev": F.col("_x")}, ranges)
     before = F.coalesce(F.col("_prev"), F.lit(False))
     edge = F.when(F.col("_x") & ~before, F.lit("UP")).when(~F.col("_x") & before, F.lit("DOWN"))
-    return seen.withColumn("edge", edge).filter(F.col("edge").isNotNull()).drop("_x", "_prev")
+    return seen.withColumn("edge", edge).filter(F.col("edge").isNotNull()).drop("_x", "_prev", CHUNK)
 
 
 def alert_payload(fields: dict[str, Column], type_name: str) -> Column:
@@ -91,32 +91,23 @@ def alert_payload(fields: dict[str, Column], type_name: str) -> Column:
 
 
 # ------------------------------------------------------------------ suppression
-def walk(ts: np.ndarray, breach: np.ndarray, interval: int, flag: bool, last: int | None):
-    """Events of one sorted stretch of a series from an entry state.
-
-    Returns (positions, is_alert, flag, last); jumps from event to event.
-    """
-    at = np.flatnonzero(breach)
-    at_ts = ts[at]
-    clear = np.flatnonzero(~breach)
-    where, kind, here = [], [], 0
-    while True:
-        k = int(np.searchsorted(at, here))
-        if last is not None:
-            k = max(k, int(np.searchsorted(at_ts, last + interval)))
-        alert_pos = int(at[k]) if k < len(at) else len(ts)
-        clear_pos = len(ts)
-        if flag:
-            j = int(np.searchsorted(clear, here))
-            clear_pos = int(clear[j]) if j < len(clear) else len(ts)
-        pos = min(alert_pos, clear_pos)
-        if pos == len(ts):
-            return where, kind, flag, last
-        flag = alert_pos < clear_pos
-        last = int(ts[pos])
-        where.append(pos)
-        kind.append(flag)
-        here = pos + 1
+def walk(ts: list[int], breach: list[bool], interval: int, flag: bool, last: int | None):
+    """Events of one sorted stretch of a series from an entry state: (positions, is_alert, flag, last)."""
+    where, kinds = [], []
+    silent_until = float("-inf") if last is None else last + interval
+    for i, (t, x) in enumerate(zip(ts, breach)):
+        if x:
+            if t < silent_until:
+                continue
+            flag = True
+        elif flag:
+            flag = False
+        else:
+            continue
+        last, silent_until = t, t + interval
+        where.append(i)
+        kinds.append(flag)
+    return where, kinds, flag, last
 
 
 def summarise(ts: np.ndarray, breach: np.ndarray, interval: int) -> dict:
@@ -176,22 +167,23 @@ def leave(summary, interval: int, flag: bool, last: int | None) -> tuple[bool, i
     return flag, last
 
 
-def _groups(batch: pa.RecordBatch, keys: list[str]) -> Iterator[tuple[tuple, int, int]]:
-    """Runs of equal keys in sorted rows (nulls equal), as (key, start, end)."""
+def _runs(batch: pa.RecordBatch, keys: list[str]) -> list[tuple[int, int]]:
+    """(start, end) of the runs of equal keys in sorted rows (nulls equal)."""
     n = batch.num_rows
-    if not n:
-        return
     change = np.zeros(n, dtype=bool)
-    change[0] = True
+    change[:1] = True
     for k in keys:
         col = batch.column(k)
-        a, b = col.slice(0, n - 1), col.slice(1)
+        a, b = col.slice(0, max(n - 1, 0)), col.slice(1)
         differs = pc.fill_null(pc.not_equal(a, b), False)
         one_null = pc.not_equal(pc.is_null(a), pc.is_null(b))
         change[1:] |= pc.or_(differs, one_null).to_numpy(zero_copy_only=False)
     starts = np.append(np.flatnonzero(change), n).tolist()
-    for a, b in zip(starts[:-1], starts[1:]):
-        yield tuple(batch.column(k)[a].as_py() for k in keys), a, b
+    return list(zip(starts[:-1], starts[1:]))
+
+
+def _key(batch: pa.RecordBatch, keys: list[str], row: int) -> tuple:
+    return tuple(batch.column(k)[row].as_py() for k in keys)
 
 
 def _readings(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -202,16 +194,23 @@ def _emitter(keys: list[str], interval: int, columns: list[str]):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, flag, last = None, False, None
         for batch in batches:
-            ts, x = _readings(batch)
+            if not batch.num_rows:
+                continue
+            ts, x = (values.tolist() for values in _readings(batch))
+            entry = None
+            if "_in_last" in batch.schema.names:
+                entry = batch.column("_in_flag").to_pylist(), batch.column("_in_last").to_pylist()
             picked, kinds = [], []
-            for key, a, b in _groups(batch, keys):
-                if key != current:
-                    current, flag, last = key, False, None
-                    if "_in_last" in batch.schema.names and batch.column("_in_last")[a].is_valid:
-                        flag, last = batch.column("_in_flag")[a].as_py(), batch.column("_in_last")[a].as_py()
+            for a, b in _runs(batch, keys):
+                # only the first run of a batch can go on from the batch before
+                if a or current != _key(batch, keys, 0):
+                    flag, last = False, None
+                    if entry and entry[1][a] is not None:
+                        flag, last = entry[0][a], entry[1][a]
                 where, kind, flag, last = walk(ts[a:b], x[a:b], interval, flag, last)
                 picked += [a + w for w in where]
                 kinds += kind
+            current = _key(batch, keys, batch.num_rows - 1)
             out = batch.select(columns).take(pa.array(picked, pa.int64()))
             event = pa.array([ALERT if k else RECOVERED for k in kinds], pa.string())
             yield pa.RecordBatch.from_arrays([*out.columns, event], names=[*columns, "event"])
@@ -231,7 +230,8 @@ def _summariser(keys: list[str], interval: int):
 
         for batch in batches:
             t, b = _readings(batch)
-            for key, start, end in _groups(batch, keys):
+            for start, end in _runs(batch, keys):
+                key = _key(batch, keys, start)
                 if key != current:
                     if current is not None:
                         yield finish()

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from recordflow.operators.skew import NO_HOT, Hot, Ranges, as_hot, carry_last, find_ranges, salted_lookup
+from recordflow.operators.skew import Hot, Ranges, as_hot, carry_last, find_ranges, range_lookup, salted_lookup
 
 REASON = "_reason"
 NULL_KEY = "key must not be null"
@@ -283,7 +283,7 @@ def classify_mixed(target: DataFrame, changes: DataFrame, keys: list[str], order
     ranges = find_ranges(changes, keys, order) if ranges is None else ranges
     carried = carry_last(_with_kind(changes, op), keys, order, {"_set": sets}, ranges)
     stored = target.select(*_cols(keys), F.lit(True).alias("_stored"))
-    seen = salted_lookup(carried, stored, keys, order, ranges.hot)
+    seen = range_lookup(carried, stored, keys, ranges)
     present = F.coalesce(F.col("_set"), F.col("_stored"), F.lit(False))
     reason = F.when((kind == INSERT) & present, F.lit(KEY_EXISTS)).when(
         kind.isin(UPDATE, DELETE) & ~present, F.lit(KEY_ABSENT)

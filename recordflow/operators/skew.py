@@ -81,6 +81,12 @@ def key_match(left: str, right: str, keys: list[str]) -> Column:
     return cond
 
 
+def _repeated(table: DataFrame, keys: list[str], hot: Hot, first: int, last: int, name: str) -> DataFrame:
+    """A table with one row per key, its few hot rows once for each piece number, the others with 0."""
+    pieces = F.when(hot.test(keys), F.sequence(F.lit(first), F.lit(last))).otherwise(F.array(F.lit(0)))
+    return table.withColumn(name, F.explode(pieces))
+
+
 def salted_lookup(rows: DataFrame, table: DataFrame, keys: list[str], salt_by: list[str], hot: Hot,
                   how: str = "left") -> DataFrame:
     """Join rows to a table that has one row per key, spreading hot keys over many tasks.
@@ -91,13 +97,9 @@ def salted_lookup(rows: DataFrame, table: DataFrame, keys: list[str], salt_by: l
     if not hot:
         return rows.join(table, keys, how)
     n = spread(rows.sparkSession)
-    is_hot = hot.test(keys)
-    salted = rows.withColumn(
-        SALT, F.when(is_hot, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in salt_by]), F.lit(n))).otherwise(0).cast("int")
-    )
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    repeated = table.withColumn(SALT, F.explode(salts))
-    return salted.join(repeated, [*keys, SALT], how).drop(SALT)
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in salt_by]), F.lit(n))
+    salted = rows.withColumn(SALT, F.when(hot.test(keys), salt).otherwise(0).cast("int"))
+    return salted.join(_repeated(table, keys, hot, 0, n - 1, SALT), [*keys, SALT], how).drop(SALT)
 
 
 @dataclass(frozen=True)
@@ -116,6 +118,18 @@ class Ranges:
         return F.when(self.hot.test(keys), _position(at, self.bounds, 0, len(self.bounds)) + 1).otherwise(0)
 
 
+def range_lookup(rows: DataFrame, table: DataFrame, keys: list[str], ranges: Ranges) -> DataFrame:
+    """Left join of rows that carry their range (:data:`CHUNK`) to a table with one row per key.
+
+    Joining on the range as well keeps the partitioning the ordered scan has
+    already made, so the rows are not shuffled again.
+    """
+    if not ranges.bounds:
+        return rows.join(table, keys, "left")
+    repeated = _repeated(table, keys, ranges.hot, 1, len(ranges.bounds) + 1, CHUNK)
+    return rows.join(repeated, [*keys, CHUNK], "left")
+
+
 def _position(at: Column, bounds: tuple, lo: int, hi: int) -> Column:
     """Binary search over literal bounds, as nested conditions."""
     if lo >= hi:
@@ -152,7 +166,8 @@ def carry_last(df: DataFrame, keys: list[str], order: list[str], values: dict[st
 
     Ordinary keys use one window.  A hot key is scanned range by range, and
     the last value of the earlier ranges (at most hot keys x ranges rows) is
-    broadcast back to fill the start of each range.
+    broadcast back to fill the start of each range; the rows then also have
+    their range in :data:`CHUNK`.
     """
     ranges = find_ranges(df, keys, order) if ranges is None else ranges
     by = [F.col(f"`{c}`") for c in order]
@@ -175,6 +190,6 @@ def carry_last(df: DataFrame, keys: list[str], order: list[str], values: dict[st
     )
     cond = key_match("r", "c", keys) & (F.col(f"r.{CHUNK}") == F.col(f"c.{CHUNK}"))
     joined = local.alias("r").join(F.broadcast(carried).alias("c"), cond, "left")
-    out = [F.col(f"r.`{c}`") for c in df.columns]
+    out = [F.col(f"r.`{c}`") for c in cut.columns]
     out += [F.coalesce(F.col(f"r.`{n}`"), F.col(f"c._c_{n}")).alias(n) for n in values]
     return joined.select(*out)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -26,8 +25,7 @@ def stream_alert_events(stream: DataFrame, series: str, ts: str, value: str, exc
     def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         flag, last = state.get if state.exists else (False, None)
         rows = pd.concat(list(frames)).sort_values(["_t", value])
-        t = rows["_t"].to_numpy(np.int64)
-        where, kinds, flag, last = walk(t, rows["_x"].to_numpy(bool), interval, flag, last)
+        where, kinds, flag, last = walk(rows["_t"].tolist(), rows["_x"].tolist(), interval, flag, last)
         if last is not None:
             state.update((flag, last))
         out = rows.iloc[where]
