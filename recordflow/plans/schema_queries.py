@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
-from recordflow.functions import nested
 from recordflow.operators import batches, keyed, schema
 from recordflow.plans.registry import query, table
 
