@@ -39,7 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from recordflow.llm.base import byte_texts, output, packed, pick, saved, unpacked
+from recordflow.llm.base import byte_texts, output, pick, saved
 
 LENGTH, SEED = 200, 100
 LEFT = LENGTH - SEED  # a window starts at most so many bytes before its minimiser
@@ -134,7 +134,7 @@ def _snippets(chosen: DataFrame) -> DataFrame:
                         "first": first[cut], "left": (place - first)[cut].astype(np.int32), "snippet": parts,
                     }, schema)
 
-    return chosen.select("at", "text", "marks").mapInArrow(run, "hash long, at long, first long, left int, snippet binary")
+    return chosen.mapInArrow(run, "hash long, at long, first long, left int, snippet binary")
 
 
 def expand(groups: np.ndarray, lefts: np.ndarray, snippets: list[bytes]) -> np.ndarray:
@@ -283,13 +283,15 @@ def _hot_repeated(snippets: DataFrame) -> DataFrame:
 
 
 def covered(rows: DataFrame, hot_group: int = HOT_GROUP) -> DataFrame:
-    """``rows`` (at: a fixed row number, text, ...) with ``spans``, the unmerged (start, stop) of its covered bytes, or null."""
+    """``rows`` (at: a fixed row number, text, ...) with ``spans``, the unmerged (start, stop) of its covered bytes, or null.
+
+    The whole of ``rows`` is joined twice on ``at``, so that Spark shuffles it once and reuses that.
+    """
     anchors = _anchors(rows)
-    often = anchors.groupBy("hash").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    often = saved(anchors.groupBy("hash").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"))
     marks = anchors.join(often, "hash").groupBy("at").agg(F.collect_list(F.struct("hash", "spot")).alias("marks"))
-    hot = saved(often.filter(F.col("members") > hot_group).select("hash"))
-    chosen = rows.select("at", "text").join(marks, "at")
-    snippets = _snippets(chosen)
+    hot = often.filter(F.col("members") > hot_group).select("hash")
+    snippets = _snippets(rows.join(marks, "at"))
     if hot.isEmpty():
         spans = _repeated(snippets)
     else:
@@ -318,13 +320,11 @@ def _kept(text: bytes, starts: np.ndarray, stops: np.ndarray) -> list[bytes]:
     return [text[s:e] for s, e in zip(edges[::2], edges[1::2])]
 
 
-def _numbered(docs: DataFrame, *names: str) -> DataFrame:
-    """Row numbers fixed by file and place; ``docs`` are read from files or saved."""
-    return packed(docs, *names).withColumn("at", F.monotonically_increasing_id())
-
-
 def removal_digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row.
+
+    Row numbers are fixed by file and place: ``docs`` are read from files or saved.
+    """
     rows = pick(docs, "doc_id", "text").withColumn("at", F.monotonically_increasing_id())
     kind = "struct<n_bytes: bigint, n_removed: bigint, n_spans: bigint, kept_sha256: string>"
 
@@ -352,7 +352,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A cut that would split a character leaves that character whole.  A null
     text stays null.
     """
-    rows = _numbered(docs, "text")
+    names = ["text" if c == "text" else f"_{i}" for i, c in enumerate(docs.columns)]
+    rows = docs.toDF(*names).withColumn("at", F.monotonically_increasing_id())
 
     def run(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, spans in columns:
@@ -376,5 +377,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     cleaned = covered(rows).withColumn("cleaned", F.arrow_udf(run, "string").asNondeterministic()(F.col("text"), F.col("spans")))
     new = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}
-    fields = [new.get(c, F.col(f"row._{i}")) for i, c in enumerate(docs.columns)]
-    return cleaned.select(*fields).toDF(*docs.columns)
+    return cleaned.select(*[new.get(c, F.col(n)) for c, n in zip(docs.columns, names)]).toDF(*docs.columns)
