@@ -10,6 +10,11 @@ out of the later planes.  Large buckets compare blocks of rows that have been
 reached with the rows that have not, so that a dense group costs about one
 pass.  Only links that join something new in the bucket leave a task.
 
+``keep_distinct`` takes documents by similarity instead: SimHash of five-word
+shingles proposes pairs up to ``64 * (1 - SIMILARITY)`` bits apart that agree
+on one of ``TABLES`` random sets of bits, and the exact share of shingles in
+common decides.
+
 Edge cases: null and empty texts have fingerprint zero and are linked like any
 other; rows with equal texts share a fingerprint; repeated ids count as rows;
 a component without any id has a null ``component_id``; an empty table gives
@@ -29,7 +34,9 @@ from pyspark.sql import DataFrame, functions as F
 from recordflow.llm.base import byte_texts, output, packed, pick, saved, unpacked
 from recordflow.llm.components import components
 
-SHINGLE, RADIUS, SEED = 4, 3 + 1, 42
+SHINGLE, RADIUS, SEED = 4, 4, 42
+#: For documents by similarity: words of a shingle, least share of shingles in common, tables of so many random bits.
+SIMILAR_SHINGLE, SIMILARITY, TABLES, TABLE_BITS = 5, 0.8, 48, 16
 #: Rows compared at once, and the size from which a bucket is searched by blocks of reached rows.
 CHUNK, LARGE, QUERIES = 1 << 17, 192, 64
 #: Bit planes after which rows that are too far are left out.
@@ -55,12 +62,12 @@ def fingerprint(text: bytes, width: int = SHINGLE) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (a signed long) of every row; one pass over the texts."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
+    """``docs`` with fp (a signed long) in place of ``text``; one pass over the texts."""
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            yield pa.array(np.array([fingerprint(t) for t in byte_texts(column)], np.uint64).view(np.int64))
+            yield pa.array(np.array([fingerprint(t, width) for t in byte_texts(column)], np.uint64).view(np.int64))
 
     return docs.withColumn("fp", F.arrow_udf(run, "long").asNondeterministic()(F.col("text"))).drop("text")
 
@@ -79,35 +86,43 @@ def lanes(word: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(np.ascontiguousarray(word).view(np.uint8), bitorder="little"))
 
 
-def within(diff, shape: tuple, valid: np.ndarray) -> np.ndarray:
-    """Bits of ``valid`` whose rows differ in at most four planes; ``diff(b, alive)`` gives plane b of the words alive.
+def within(diff, shape: tuple, valid: np.ndarray, radius: int) -> np.ndarray:
+    """Bits of ``valid`` whose rows differ in at most ``radius`` planes; ``diff(b, alive)`` gives plane b of the words alive.
 
-    Differences are added up in three bit-sliced counters that carry into
-    ``over``; a count of five or more stands in ``over`` or in four plus one or two.
+    Differences are added up in bit-sliced counters, least bit first, that
+    carry into ``over``; the counters are compared with the radius bit by bit.
     """
     flat = valid.reshape(-1)
     alive = np.flatnonzero(flat)
-    ones, twos, fours, over = (np.zeros(len(alive), np.uint64) for _ in range(4))
+    counters = [np.zeros(len(alive), np.uint64) for _ in range(radius.bit_length())]
+    over = np.zeros(len(alive), np.uint64)
+
+    def near() -> np.ndarray:
+        more, equal = over.copy(), ~over
+        for k in reversed(range(len(counters))):
+            if radius >> k & 1:
+                equal &= counters[k]
+            else:
+                more |= equal & counters[k]
+                equal &= ~counters[k]
+        return flat[alive] & ~more
+
     for b in range(64):
         if b in CHECKS:
-            near = flat[alive] & ~(over | (fours & (ones | twos)))
-            keep = np.flatnonzero(near)
-            alive, ones, twos, fours, over = alive[keep], ones[keep], twos[keep], fours[keep], over[keep]
+            keep = np.flatnonzero(near())
+            alive, over, counters = alive[keep], over[keep], [c[keep] for c in counters]
         if not len(alive):
             break
-        d = diff(b, alive)
-        one = ones & d
-        ones ^= d
-        two = twos & one
-        twos ^= one
-        over |= fours & two
-        fours ^= two
+        carry = diff(b, alive)
+        for k, c in enumerate(counters):
+            counters[k], carry = c ^ carry, c & carry
+        over |= carry
     out = np.zeros(flat.shape, np.uint64)
-    out[alive] = flat[alive] & ~(over | (fours & (ones | twos)))
+    out[alive] = near()
     return out.reshape(shape)
 
 
-def _small(fps: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _small(fps: np.ndarray, sizes: np.ndarray, starts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Linked rows of buckets, largest bucket first, by lag."""
     sliced = planes(fps)
     size_of = np.repeat(sizes, sizes)
@@ -130,13 +145,13 @@ def _small(fps: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> tuple[np.n
                 low = (low >> np.uint64(turn)) | (sliced[b, np.minimum(at + 1, edge - 1)] << np.uint64(64 - turn))
             return sliced[b, alive] ^ low
 
-        found = lanes(within(diff, valid.shape, valid))
+        found = lanes(within(diff, valid.shape, valid, radius))
         left.append(found)
         right.append(found + lag)
     return np.concatenate(left), np.concatenate(right)
 
 
-def _large(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _large(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning set of links of one bucket: reached rows are compared with rows not yet reached."""
     left, right = [], []
     rest = np.arange(1, len(fps))
@@ -154,7 +169,7 @@ def _large(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         valid = np.zeros(words * 64, np.uint8)
         valid[: len(rest)] = 1
         valid = np.tile(np.packbits(valid, bitorder="little").view("<u8"), (len(block), 1))
-        near = within(lambda b, alive: sliced[b, alive % words] ^ full[alive // words, b], valid.shape, valid)
+        near = within(lambda b, alive: sliced[b, alive % words] ^ full[alive // words, b], valid.shape, valid, radius)
         reached = np.zeros(len(rest), bool)
         for k, q in enumerate(block):
             found = lanes(near[k])
@@ -167,14 +182,32 @@ def _large(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64),) * 2
 
 
-def bucket_links(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect what is near inside each bucket; ``keys`` are sorted. At most one link a row."""
+def _forest(size: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which of the links join something new."""
+    root = list(range(size))
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    new = np.zeros(len(left), bool)
+    for i, (x, y) in enumerate(zip(left.tolist(), right.tolist())):
+        x, y = top(x), top(y)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            new[i] = True
+    return new
+
+
+def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """Links up to ``radius`` that connect what is near inside each bucket, fewer than rows; ``keys`` are sorted."""
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(first, len(keys)))
     left, right = [], []
     for k in np.flatnonzero(sizes >= LARGE):
         own = fps[first[k] : first[k] + sizes[k]]
-        a, b = _large(own)
+        a, b = _large(own, radius)
         left.append(own[a])
         right.append(own[b])
     small = np.flatnonzero((sizes > 1) & (sizes < LARGE))
@@ -184,40 +217,40 @@ def bucket_links(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndar
         starts = np.cumsum(size) - size
         rows = np.repeat(first[small] - starts, size) + np.arange(int(size.sum()))
         own = fps[rows]
-        a, b = _small(own, size, starts)
-        root = np.arange(len(own))
-        while True:  # least row reachable, so that a bucket of m rows gives m - 1 links at most
-            least = np.minimum(root[a], root[b])
-            new = root.copy()
-            np.minimum.at(new, a, least)
-            np.minimum.at(new, b, least)
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
-        moved = np.flatnonzero(root != np.arange(len(own)))
-        left.append(own[moved])
-        right.append(own[root[moved]])
+        a, b = _small(own, size, starts, radius)
+        new = _forest(len(own), a, b)
+        left.append(own[a[new]])
+        right.append(own[b[new]])
     if not left:
         return np.zeros(0, fps.dtype), np.zeros(0, fps.dtype)
     return np.concatenate(left), np.concatenate(right)
 
 
-def fingerprint_links(distinct: DataFrame) -> DataFrame:
-    """a, b: links between the fingerprints ``fp`` of ``distinct`` that have the same components as all links."""
-    bands = RADIUS + 2
+def band_masks(radius: int = RADIUS) -> list[int]:
+    """Pairs of ``radius + 2`` bands of bits: fingerprints within the radius agree on one of the masks."""
+    bands = radius + 2
     edges = [round(64 * i / bands) for i in range(bands + 1)]
     masks = [((1 << e) - 1) ^ ((1 << s) - 1) for s, e in zip(edges, edges[1:])]
+    return [x | y for x, y in combinations(masks, 2)]
+
+
+def random_masks() -> list[int]:
+    random = np.random.default_rng(9)
+    return [sum(1 << int(b) for b in random.choice(64, TABLE_BITS, replace=False)) for _ in range(TABLES)]
+
+
+def fingerprint_links(distinct: DataFrame, masks: list[int], radius: int) -> DataFrame:
+    """a, b: links between the fingerprints ``fp`` of ``distinct`` that agree on a mask and differ in ``radius`` bits at most.
+
+    They have the same components as all such links.
+    """
     signed = lambda m: m - (1 << 64) if m >> 63 else m
-    keys = [
-        F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(signed(masks[x] | masks[y]))))
-        for i, (x, y) in enumerate(combinations(range(bands), 2))
-    ]
+    keys = [F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(masks)]
     dealt = distinct.select("fp", F.explode(F.array(*keys)).alias("key")).repartition("key").sortWithinPartitions("key")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def links(keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
-        a, b = bucket_links(keys, fps.view(np.uint64))
+        a, b = bucket_links(keys, fps.view(np.uint64), radius)
         return output({"a": a.view(np.int64), "b": b.view(np.int64)}, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,27 +270,62 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
     return dealt.select("key", "fp").mapInArrow(run, "a long, b long").distinct()
 
 
-def with_components(rows: DataFrame) -> DataFrame:
-    """``rows`` (with ``fp``; saved or cheap) and ``root``, the same for all rows of a component."""
-    # an id each: roots are fingerprints, one narrow row per distinct text
-    distinct = rows.select("fp").distinct()
-    found = components(fingerprint_links(distinct))
+def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` (with ``fp``; saved) and ``root``, a fingerprint that is the same for all rows of a component."""
+    found = components(links)
     return rows.join(found, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint, component_id for every row."""
     rows = saved(fingerprints(pick(docs, "doc_id", "text")))
-    rooted = saved(with_components(rows))
+    links = fingerprint_links(rows.select("fp").distinct(), band_masks(), RADIUS)
+    rooted = saved(_rooted(rows, links))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("root", "of")
     joined = rooted.join(least, F.col("root") == F.col("of"))
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, less all but one of each component: the least id, then the first row."""
+def _shingle_sets(rows: DataFrame) -> DataFrame:
+    """fp and the sorted distinct hashes of the shingles of ``text``."""
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            found = []
+            for text in byte_texts(column):
+                words = text.lower().split()
+                parts = {b" ".join(words[i : i + SIMILAR_SHINGLE]) for i in range(max(len(words) - SIMILAR_SHINGLE + 1, min(len(words), 1)))}
+                found.append(np.sort(np.array([xxhash.xxh64_intdigest(p, SEED) for p in parts], np.uint64).view(np.int64)))
+            yield pa.array(found, pa.list_(pa.int64()))
+
+    return rows.select("fp", F.arrow_udf(run, "array<long>").asNondeterministic()(F.col("text")).alias("shingles"))
+
+
+def similar_links(rows: DataFrame, marked: DataFrame) -> DataFrame:
+    """a, b: fingerprints of documents that share at least ``SIMILARITY`` of their shingles.
+
+    ``rows`` (at, text), ``marked`` (at, fp; saved).  Documents of one
+    fingerprint stand for each other, so the first of each is compared; only
+    fingerprints that some pair proposes have their texts read again.
+    """
+    proposed = saved(fingerprint_links(marked.select("fp").distinct(), random_masks(), int(64 * (1 - SIMILARITY))))
+    named = proposed.select(F.col("a").alias("fp")).union(proposed.select("b")).distinct()
+    first = marked.join(named, "fp").groupBy("fp").agg(F.min("at").alias("at"))
+    sets = _shingle_sets(rows.join(first, "at"))
+    sides = [sets.select(F.col("fp").alias(x), F.col("shingles").alias(f"of_{x}")) for x in "ab"]
+    pairs = proposed.join(sides[0], "a").join(sides[1], "b")
+    common, total = F.size(F.array_intersect("of_a", "of_b")), F.size("of_a") + F.size("of_b")
+    return pairs.filter(common >= SIMILARITY * (total - common)).select("a", "b")
+
+
+def keep_distinct(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, less all but one of each group of similar rows: the least id, then the first row.
+
+    Row numbers are fixed by file and place: ``docs`` are read from files or saved.
+    """
     rows = packed(docs, "doc_id", "text").withColumn("at", F.monotonically_increasing_id())
-    marked = saved(fingerprints(rows.select("doc_id", "text", "at")))
+    marked = saved(fingerprints(rows.select("doc_id", "text", "at"), SIMILAR_SHINGLE))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "at"))
-    kept = with_components(marked).groupBy("root").agg(best.alias("best")).select(F.col("best.at").alias("kept"))
-    return unpacked(rows.join(kept, F.col("at") == F.col("kept"), "left_semi"), docs)
+    rooted = _rooted(marked, similar_links(rows.select("at", "text"), marked))
+    kept = rooted.groupBy("root").agg(best.alias("best")).select(F.col("best.at").alias("kept"))
+    return unpacked(rows.select("row", "at").join(kept, F.col("at") == F.col("kept"), "left_semi"), docs)
