@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from recordflow.llm.base import byte_texts, output, pick, saved
 
-LENGTH, SEED = 200, 100
+LENGTH, SEED = 200, 64
 LEFT = LENGTH - SEED  # a window starts at most so many bytes before its minimiser
 #: Starts of windows hashed at once; a power of two, so that a place fits below the hash.
 CHUNK_BITS = 18
@@ -91,7 +91,7 @@ def minimisers(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray
 
 def _packed_place(place: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Place, and how far before it its windows start, in one integer."""
-    return (place << 14) | ((place - first) << 7) | (place - last)
+    return (place << 16) | ((place - first) << 8) | (place - last)
 
 
 def _anchors(rows: DataFrame) -> DataFrame:
@@ -124,8 +124,8 @@ def _snippets(chosen: DataFrame) -> DataFrame:
             for row, (at, marks) in enumerate(zip(batch.column("at").to_pylist(), batch.column("marks"))):
                 own = marks.values
                 spots = own.field("spot").to_numpy(zero_copy_only=False)
-                place = spots >> 14
-                first, last = place - ((spots >> 7) & 127), place - (spots & 127)
+                place = spots >> 16
+                first, last = place - ((spots >> 8) & 255), place - (spots & 255)
                 for i in range(0, len(spots), CHUNK):
                     cut = slice(i, i + CHUNK)
                     parts = [texts[row][s:e] for s, e in zip(first[cut].tolist(), (last[cut] + LENGTH).tolist())]
