@@ -37,9 +37,15 @@ def unpacked(df: DataFrame, like: DataFrame, *more: Column) -> DataFrame:
     return df.select(*fields, *more).toDF(*like.columns, *names)
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that all executors share."""
+def saved(df: DataFrame, narrow: bool = False) -> DataFrame:
+    """A reliable checkpoint in the folder that all executors share.
+
+    ``narrow`` tables, small beside the shuffle that makes them, are saved in an
+    eighth of its tasks, which spares the driver the bookkeeping of empty ones.
+    """
     ensure_checkpoint_dir(df.sparkSession)
+    if narrow:
+        df = df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8))
     return df.checkpoint()
 
 

@@ -25,7 +25,7 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
         moved = near.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             least.select(F.col("of").alias("a"), F.col("m").alias("b"))
         )
-    return moved.filter(F.col("a") != F.col("b")).distinct()
+    return moved.filter(F.col("a") != F.col("b"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -34,13 +34,12 @@ def components(links: DataFrame) -> DataFrame:
     Rounds repeat until nothing moves; each leaves one checkpoint and brings one
     row to the driver.
     """
-    now = saved(
-        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter(F.col("a") != F.col("b")).distinct()
-    )
+    first = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter(F.col("a") != F.col("b"))
+    now = saved(first.distinct(), narrow=True)
     before = None
     while True:
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == before or mark[0] == 0:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = mark
-        now = saved(_stars(_stars(now, large=True), large=False))
+        now = saved(_stars(_stars(now, large=True), large=False).distinct(), narrow=True)

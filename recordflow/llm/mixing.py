@@ -52,7 +52,7 @@ def targets(sources: DataFrame) -> DataFrame:
     """``sources`` (key, source_size) with ``target``. Rounds bring a row of sums each to the driver."""
     numbered = number_rows(sources, _KEY, "place")
     weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("place") % len(WEIGHTS) + 1).cast("int"))
-    weighed = saved(numbered.withColumn("weight", weight).drop("place"))
+    weighed = saved(numbered.withColumn("weight", weight).drop("place"), narrow=True)
     words, weights = weighed.agg(F.sum("source_size"), F.sum("weight")).first()
     if not words:
         return weighed.withColumn("target", F.lit(0.0))
@@ -106,10 +106,10 @@ def _ranked(rows: DataFrame, params: DataFrame) -> DataFrame:
 def plan(sized: DataFrame) -> DataFrame:
     """A row per source: key, source_size, target, level, cut_bucket and cut_rank. ``sized`` is saved."""
     sources = sized.groupBy(*_KEY).agg(F.sum("size").alias("source_size"))
-    params = saved(_levels(sized, saved(targets(sources))))
+    params = saved(_levels(sized, targets(sources)), narrow=True)
     ranked = _ranked(sized, params)
     certain = ranked.groupBy(*_KEY).agg(F.sum(F.col("whole") * F.col("size")).alias("certain"))
-    params = saved(params.join(certain, _KEY).withColumn("rest", F.col("target") - F.col("certain")))
+    params = saved(params.join(certain, _KEY).withColumn("rest", F.col("target") - F.col("certain")), narrow=True)
     histogram = ranked.filter("rank is not null").groupBy(*_KEY, "bucket").agg(F.sum("size").alias("words"))
     order = Window.partitionBy(*_KEY).orderBy("bucket")
     summed = histogram.withColumn("upto", F.sum("words").over(order)).join(params.select(*_KEY, "rest"), _KEY)
@@ -118,14 +118,14 @@ def plan(sized: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("c"))
         .select(*_KEY, F.col("c.bucket").alias("cut_bucket"), F.col("c.before").alias("before"))
     )
-    cuts = saved(params.select(*_KEY, "rest").join(crossing, _KEY))
+    cuts = saved(params.select(*_KEY, "rest").join(crossing, _KEY), narrow=True)
     inside = _with(ranked.select(*_KEY, "u", "bucket", "rank", "size"), cuts).filter("bucket = cut_bucket")
     peers = inside.groupBy(*_KEY, "rank").agg(F.sum("size").alias("words"), F.first("before").alias("before"), F.first("rest").alias("rest"))
     upto = F.col("before") + F.sum("words").over(Window.partitionBy(*_KEY).orderBy("rank"))
     taken = peers.withColumn("middle", upto - F.col("words") / 2).filter("middle <= rest")
     last = taken.groupBy(*_KEY).agg(F.max("rank").alias("cut_rank"))
     found = params.drop("certain", "rest").join(cuts.select(*_KEY, "cut_bucket"), _KEY, "left").join(last, _KEY, "left")
-    return saved(found.fillna({"cut_bucket": BUCKETS, "cut_rank": -1.0}))
+    return saved(found.fillna({"cut_bucket": BUCKETS, "cut_rank": -1.0}), narrow=True)
 
 
 def _taken(rows: DataFrame, planned: DataFrame) -> DataFrame:

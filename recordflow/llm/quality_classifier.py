@@ -33,7 +33,7 @@ SHARDS, EPOCHS = 4, 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
 #: Factor on the mean of a document's indicators.
 SCALE = 20.0
-GROUP_WORDS = 1 << 19
+GROUP_WORDS = 1 << 17
 _SHAPE = bytes(
     ord("X") if 65 <= b <= 90 else ord("x") if 97 <= b <= 122 or b >= 128 else ord("9") if 48 <= b <= 57 else b
     for b in range(256)
@@ -164,7 +164,7 @@ def score_column(docs: DataFrame, model: Model) -> Column:
             scores = np.empty(len(texts))
             for part in row_groups([len(t) // 6 for t in texts], GROUP_WORDS):
                 scores[part] = shared.value.scores(texts[part], words)
-                if len(words) > TABLE_SIZE:
+                if len(words) > TABLE_SIZE // 2:
                     words = Words()
             yield pa.array(scores)
 

@@ -308,7 +308,7 @@ def similar_links(rows: DataFrame, marked: DataFrame) -> DataFrame:
     fingerprint stand for each other, so the first of each is compared; only
     fingerprints that some pair proposes have their texts read again.
     """
-    proposed = saved(fingerprint_links(marked.select("fp").distinct(), random_masks(), int(64 * (1 - SIMILARITY))))
+    proposed = saved(fingerprint_links(marked.select("fp").distinct(), random_masks(), int(64 * (1 - SIMILARITY))), narrow=True)
     named = proposed.select(F.col("a").alias("fp")).union(proposed.select("b")).distinct()
     first = marked.join(named, "fp").groupBy("fp").agg(F.min("at").alias("at"))
     sets = _shingle_sets(rows.join(first, "at"))
