@@ -59,6 +59,8 @@ class Counts(dict):
     def __init__(self, path: str) -> None:
         self.library, whole = load(path)
         super().__init__(dict.fromkeys(whole, 1))
+        # a single space by itself; the library reads the empty text that would stand for it as no token at all
+        self[""] = len(self.library.encode("a ", num_threads=1)) - len(self.library.encode("a", num_threads=1))
         self.first = len(self)
 
     def __missing__(self, rest: str) -> int:
