@@ -148,14 +148,30 @@ def int_from_number(number: Column) -> Column:
 
 
 def decimal_from_bytes(b: Column, scale: int) -> Column:
-    """Unscaled big-endian two's-complement bytes (up to eight) to a decimal."""
+    """Unscaled big-endian two's-complement bytes to a decimal; null beyond 38 digits.
+
+    Bytes in front of the last sixteen must repeat the sign.  High and low
+    half are read as integers, and the point is set in the digits, so nothing
+    is rounded.
+    """
     h = F.hex(b)
     width = F.octet_length(b)
-    sign = F.conv(F.substring(h, 1, 1), 16, 10).cast("int") >= 8
-    full = F.concat(F.repeat(F.when(sign, "F").otherwise("0"), 16 - 2 * width), h)
-    unscaled = F.conv(full, 16, -10).cast("decimal(20,0)")
-    value = (unscaled / F.lit(10 ** scale).cast("decimal(20,0)")).cast(f"decimal(38,{scale})")
-    return F.when((width > 0) & (width <= 8), value)
+    sign = F.when(F.conv(F.substring(h, 1, 1), 16, 10).cast("int") >= 8, "F").otherwise("0")
+    full = F.concat(F.repeat(sign, F.greatest(32 - 2 * width, F.lit(0))), h)
+    size = F.length(full)
+    extends = F.substring(full, F.lit(1), size - 32) == F.repeat(sign, size - 32)
+    last = F.substring(full, size - 31, F.lit(32))
+    high = F.conv(F.substring(last, 1, 16), 16, -10).try_cast("decimal(38,0)")
+    low = F.conv(F.substring(last, 17, 16), 16, 10).try_cast("decimal(38,0)")
+    unscaled = F.try_add(F.try_multiply(high, F.lit(str(1 << 64)).cast("decimal(20,0)")), low).cast("string")
+    digits = F.lpad(F.ltrim(unscaled, F.lit("-")), F.greatest(F.length(F.ltrim(unscaled, F.lit("-"))), F.lit(scale + 1)), "0")
+    whole, point = F.length(digits) - scale, F.lit("." if scale else "")
+    text = F.concat(
+        F.when(unscaled.startswith("-"), "-").otherwise(""), F.substring(digits, F.lit(1), whole), point,
+        F.substring(digits, whole + 1, F.lit(scale)),
+    )
+    same_sign = F.substring(last, 1, 1).isin([*"89ABCDEF"]) == (sign == "F")
+    return F.when((width > 0) & extends & same_sign, text.try_cast(f"decimal(38,{scale})"))
 
 
 # ------------------------------------------------------------ text from values
@@ -164,7 +180,11 @@ def to_text(c: Column, data_type: T.DataType, pattern: str | None = None, charse
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         if pattern:
             return F.date_format(c, pattern)
-        return F.unix_millis(c.cast("timestamp")).cast("string")
+        if isinstance(data_type, T.TimestampType):
+            return F.unix_millis(c).cast("string")
+        from recordflow.functions.timestamps import to_micros
+
+        return F.floor(to_micros(c).cast("decimal(20,0)") / 1000).cast("bigint").cast("string")
     if isinstance(data_type, T.BinaryType):
         return F.decode(c, charset)
     if isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, T.ByteType):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from recordflow.functions import casts
@@ -83,6 +85,9 @@ def _fits(v: Column, have: T.DataType, want: T.DataType) -> Column:
 
 
 # ---------------------------------------------------------------- inference
+_TYPE_WORD = re.compile(r"(`(?:[^`]|``)*`)|(?:^|(?<=: )|(?<=ARRAY<))(OBJECT|VOID|VARIANT)(?![\w$])")
+
+
 def infer_nested_schema(df: DataFrame, column: str) -> str:
     """DDL type of a JSON text column, merged over all rows (one aggregate, one value to the driver)."""
     row = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(column))).alias("s")).first()
@@ -90,13 +95,20 @@ def infer_nested_schema(df: DataFrame, column: str) -> str:
 
 
 def variant_schema_to_ddl(text: str) -> str:
-    """``OBJECT<k: BIGINT>`` as ``struct<`k`:BIGINT>``; VOID and mixed types become text."""
-    return text.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
+    """``OBJECT<k: BIGINT>`` as ``struct<`k`:BIGINT>``; VOID and mixed types become text.
+
+    Only type words are replaced: those at the start, after a field's colon or
+    inside ``ARRAY<``; quoted names are passed over.
+    """
+    words = {"OBJECT": "STRUCT", "VOID": "STRING", "VARIANT": "STRING"}
+    return _TYPE_WORD.sub(lambda m: m[1] or words[m[2]], text)
 
 
 def expand_nested(df: DataFrame, column: str, ddl: str | None = None, prefix: str | None = None) -> DataFrame:
     """Typed columns ``<prefix>_<field>`` in place of a JSON text column."""
     ddl = ddl or infer_nested_schema(df, column)
+    if not ddl.upper().startswith(("STRUCT<", "ARRAY<", "MAP<")):
+        return df  # no row holds an object or a list: it stays text
     prefix = column if prefix is None else prefix
     parsed = df.withColumn(column, F.from_json(column, ddl))
     dt = parsed.schema[column].dataType

@@ -171,12 +171,15 @@ def parse_time(text: Column, pattern: str = DEFAULT_TIME_PATTERN) -> Column:
 
 
 def micros_of_day(ts: Column) -> Column:
-    return F.pmod(F.unix_micros(ts.cast("timestamp")), F.lit(86_400_000_000))
+    """By the fields of the wall clock, whatever the session's zone."""
+    ts = ts.cast("timestamp_ntz")
+    minutes = F.hour(ts).cast("bigint") * 60 + F.minute(ts)
+    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
 
 
 def from_epoch_millis(millis: Column) -> Column:
     """NTZ timestamp; null outside the representable range."""
-    return F.timestamp_micros(F.try_multiply(millis, F.lit(1000))).cast("timestamp_ntz")
+    return from_micros(F.try_multiply(millis, F.lit(1000)))
 
 
 def _millis_text(text: Column) -> Column:
@@ -348,12 +351,21 @@ def parse_named(text: Column, name: str) -> Column:
 
 
 # ------------------------------------------------------------------- micros
+DAY_MICROS = 86_400_000_000
+
+
 def to_micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
+    """Microseconds of the wall clock since 1970, whatever the session's zone."""
+    days = F.datediff(ts.cast("timestamp_ntz").cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * DAY_MICROS + micros_of_day(ts)
 
 
 def from_micros(micros: Column) -> Column:
-    return F.timestamp_micros(micros).cast("timestamp_ntz")
+    """Wall clock (NTZ) so many microseconds after 1970 began, whatever the session's zone."""
+    rest = F.pmod(micros, F.lit(DAY_MICROS))
+    days = F.call_function("div", micros - rest, F.lit(DAY_MICROS)).cast("int")
+    seconds = (rest.cast("decimal(11,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(days, F.lit(0), F.lit(0), seconds)
 
 
 def micros_text(ts: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ ROW = "_row"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder under the one the cluster names for checkpoints; a local one only where that is unset."""
+    """A fresh folder under the one the cluster names for checkpoints; a local one only on a local master."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         return tempfile.mkdtemp(prefix="recordflow-")
     return f"{base.rstrip('/')}/recordflow-{uuid.uuid4().hex}"
 

@@ -400,21 +400,25 @@ def column_type_profile(df: DataFrame, columns: list[str] | None = None,
                         formats: dict[str, str] | None = None) -> DataFrame:
     """One row per column: values, fits per candidate type, and the chosen type.
 
-    One pass: each value is classified once, by one expression for all columns,
-    and the counts are combined before the shuffle.
+    One pass and one aggregate without keys: each row is read once, each value
+    classified once, and a task sends on one row of counts.
     """
     formats = formats or DEFAULT_FORMATS
     columns = columns or df.columns
-    cells = F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"`{n}`").alias("v")) for n in columns])
-    long = df.select(F.explode(cells).alias("c")).select(
-        F.col("c.n").alias("column_name"), F.nullif(unquote(F.col("c.v")), F.lit("")).alias("value")
-    )
-    counts = long.groupBy("column_name", narrowest(F.col("value"), formats).alias("kind")).agg(F.count("value").alias("n"))
-    kind, n = F.col("kind"), F.col("n")
-    fits = {t: F.sum(F.when(kind.isin(t, *NARROWER.get(t, ())), n).otherwise(0)) for t in CANDIDATES}
-    profile = counts.groupBy("column_name").agg(
-        F.sum("n").alias("value_count"), *[c.alias(f"fits_{t}") for t, c in fits.items()]
-    )
+    kinds = df.select(*[
+        narrowest(F.nullif(unquote(F.col(f"`{n}`")), F.lit("")), formats).alias(f"_{i}") for i, n in enumerate(columns)
+    ])
+
+    def counts(i: int) -> Column:
+        kind = F.col(f"_{i}")
+        return F.struct(
+            F.count(kind).alias("value_count"),
+            *[F.count_if(kind.isin(t, *NARROWER.get(t, ()))).alias(f"fits_{t}") for t in CANDIDATES],
+        )
+
+    summed = kinds.agg(*[counts(i).alias(f"_{i}") for i in range(len(columns))])
+    rows = [F.struct(F.lit(n).alias("column_name"), F.col(f"_{i}").alias("c")) for i, n in enumerate(columns)]
+    profile = summed.select(F.explode(F.array(*rows)).alias("r")).select("r.column_name", "r.c.*")
     chosen = F.when(F.col("value_count") == 0, F.lit("string"))
     for t in CANDIDATES:
         chosen = chosen.when(F.col(f"fits_{t}") == F.col("value_count"), F.lit(t))
