@@ -30,6 +30,8 @@ BITS = 18
 #: Labelled documents that training uses at most (as an expectation over the hash that picks them).
 FIT_ROWS = 16_000
 SHARDS, EPOCHS = 4, 4
+#: Weights times rows are summed as multiples of one over this.
+UNIT = 1 << 24
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
 #: Factor on the mean of a document's indicators.
 SCALE = 20.0
@@ -133,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_R
     # about fit_rows narrow rows, whatever the size of the corpus
     chosen = F.broadcast(known.filter(fraction(10, F.col("doc_id")) < share))
     rows = pick(docs, "doc_id", "text").join(chosen, "doc_id")
-    schema = pa.schema([("rows", pa.int64()), ("weights", pa.binary()), ("bias", pa.float64())])
+    schema = pa.schema([("place", pa.int32()), ("part", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
@@ -143,14 +145,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_R
             found += [(xxhash.xxh64_intdigest(str(i)), t, int(m > 0)) for i, t, m in zip(ids, byte_texts(batch.column("text")), marks)]
         if found:
             weights, bias = _train(found)
-            yield output({"rows": [len(found)], "weights": [weights.tobytes()], "bias": [bias]}, schema)
-
-    parts = rows.repartition(SHARDS, "doc_id").mapInArrow(run, "rows long, weights binary, bias double").collect()
-    total = sum(p.rows for p in parts)
-    mean = np.zeros(1 << BITS, np.float32)
-    for p in sorted(parts, key=lambda p: (p.bias, p.rows)):
-        mean += np.frombuffer(p.weights, np.float32) * (p.rows / total)
-    return Model(mean, sum(p.bias * p.rows / total for p in sorted(parts, key=lambda p: (p.bias, p.rows))))
+            parts = np.rint(np.concatenate([weights.astype(np.float64), [bias, 1.0]]) * (len(found) * UNIT)).astype(np.int64)
+            places = np.flatnonzero(parts)
+            yield output({"place": places.astype(np.int32), "part": parts[places]}, schema)
+
+    # summed as integers, so that no order of tasks shows; a row per weight comes to the driver, whatever the number of tasks
+    parts = rows.repartition(SHARDS, "doc_id").mapInArrow(run, "place int, part long")
+    sums = parts.groupBy("place").agg(F.sum("part").alias("part")).toArrow()
+    size = 1 << BITS
+    whole = np.zeros(size + 2)  # the weights, the bias, and the rows
+    whole[sums.column("place").to_numpy()] = sums.column("part").to_numpy()
+    mean = whole / max(whole[-1], 1.0)
+    return Model(mean[:size].astype(np.float32), float(mean[size]))
 
 
 def score_column(docs: DataFrame, model: Model) -> Column:
