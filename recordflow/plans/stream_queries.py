@@ -67,7 +67,7 @@ def stream_keyed(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     target = BucketedTable(spark, f"{path}/table", orders.schema, KEYS, buckets=8)
     target.load(orders)
-    stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
     _finish(stream_keyed_apply(stream, target, ORDER, "op", f"{path}/rejects", f"{path}/check"))
     return target.read().select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
 
@@ -80,7 +80,7 @@ def stream_alerts(spark, sf_dir):
     for low, high in ((-100_000, 10), (10, 20), (20, 100_000)):
         part = rows.filter((F.col("at") >= day(low)) & (F.col("at") < day(high)))
         part.repartition("user_id").write.mode("append").parquet(f"{path}/in")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
     found = stream_alert_events(stream, "user_id", "at", "event_id", F.col("value") > 300.0, 6 * 3600)
     _finish(found.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/check"))
     return spark.read.parquet(f"{path}/out").select("event_id", "user_id", "event")

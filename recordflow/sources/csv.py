@@ -530,15 +530,23 @@ def csv_write(df: DataFrame, path: str, dialect_name: str | Dialect = "custom",
 
 def write_lines(lines: DataFrame, path: str, top: str | None = None, line_sep: str = "\n", mode: str = "errorifexists",
                 compression: str | None = None) -> None:
-    """Write column ``line``, with ``top`` as the first line of every file."""
+    """Write column ``line``, with ``top`` as the first line of every file; a table without rows gives a file of it alone."""
     line = F.col("line")
     if top is not None:
         first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
         line = F.when(first, F.concat(F.lit(top + line_sep), line)).otherwise(line)
-    out = lines.select(line.alias("value")).write.mode(mode).option("lineSep", line_sep)
-    if compression:
-        out = out.option("compression", compression)
-    out.text(path)
+
+    def write(rows: DataFrame, how: str) -> None:
+        # one file a task, so that the first row of a task is the first of a file
+        out = rows.write.mode(how).option("lineSep", line_sep).option("maxRecordsPerFile", 0)
+        if compression:
+            out = out.option("compression", compression)
+        out.text(path)
+
+    write(lines.select(line.alias("value")), mode)
+    spark = lines.sparkSession
+    if top is not None and spark.read.text(path).isEmpty():
+        write(spark.range(1).select(F.lit(top).alias("value")), "append")
 
 
 def csv_write_extra_fields(df: DataFrame, schema_columns: list[str]) -> DataFrame:

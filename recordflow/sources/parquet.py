@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
@@ -71,16 +72,50 @@ def session_setting(spark: SparkSession, key: str, value: str):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put folder ``new`` in the place of ``path`` by renames alone.
+
+    A reader sees the old files or all of the new ones, or no folder for the
+    moment between two renames.  The old files go only once the new are in place.
+    """
+    fs, target = _fs(spark, path)
+    source, aside = _fs(spark, new)[1], _fs(spark, f"{new}-old")[1]
+    held = fs.exists(target)
+    if held and not fs.rename(target, aside):
+        raise OSError(f"cannot move {path!r} aside")
+    if not fs.rename(source, target):
+        if held:
+            fs.rename(aside, target)
+        raise OSError(f"cannot move {new!r} to {path!r}")
+    if held:
+        fs.delete(aside, True)
+
+
 def parquet_write(df: DataFrame, path: str, overwrite: bool = True, legacy_lists: bool = False,
                   partition_by: list[str] | None = None, max_records_per_file: int = 0, **options) -> None:
-    """Write through Spark's commit protocol: readers see the old files or all of the new ones."""
-    writer = df.write.mode("overwrite" if overwrite else "errorifexists").options(**writer_options(**options))
+    """Write Parquet files.  An overwrite fills a folder beside the target, then swaps them.
+
+    So a write that fails leaves the old files, and ``df`` may read what it replaces.
+    """
+    spark = df.sparkSession
+    parent, slash, name = path.rstrip("/").rpartition("/")
+    # scans of the parent folder pass over names that begin with an underscore
+    aside = f"{parent}{slash}_{name}.new-{uuid.uuid4().hex}" if overwrite else path
+    writer = df.write.mode("errorifexists").options(**writer_options(**options))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    with session_setting(df.sparkSession, "spark.sql.parquet.writeLegacyFormat", str(legacy_lists).lower()):
-        writer.parquet(path)
+    try:
+        with session_setting(spark, "spark.sql.parquet.writeLegacyFormat", str(legacy_lists).lower()):
+            writer.parquet(aside)
+        if overwrite:
+            replace_folder(spark, aside, path)
+    except Exception:
+        if overwrite:
+            fs, left = _fs(spark, aside)
+            fs.delete(left, True)
+        raise
 
 
 def parquet_write_int96(df: DataFrame, path: str, int96: bool = True, **kw) -> None:

@@ -238,3 +238,21 @@ def test_position_orders_rows(spark, tmp_path):
     put(tmp_path, "a.csv", "1\n2\n3\n")
     out = csv.with_position(spark.read.csv(str(tmp_path / "a.csv"))).orderBy("_file", "_block", "_seq")
     assert [r["_c0"] for r in out.collect()] == ["1", "2", "3"]
+
+
+def test_header_of_a_table_without_rows(spark, tmp_path):
+    df = spark.createDataFrame([], "id int, name string")
+    csv.csv_write(df, str(tmp_path / "plain"))
+    csv.csv_write(df, str(tmp_path / "packed"), compression="gzip")
+    for folder in ("plain", "packed"):
+        assert [r.value for r in spark.read.text(str(tmp_path / folder)).collect()] == ["id,name"]
+
+
+def test_every_file_has_a_header(spark, tmp_path):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 2)
+    try:
+        csv.csv_write(spark.range(7).coalesce(1), str(tmp_path / "o"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    tops = [p.read_text().splitlines()[0] for p in (tmp_path / "o").glob("part-*")]
+    assert tops == ["id"]

@@ -41,6 +41,17 @@ def test_overwrite_or_refuse(spark, tmp_path):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_failed_overwrite_keeps_old_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    parquet.parquet_write(spark.range(3), path)
+    with pytest.raises(Exception, match="stop here"):
+        parquet.parquet_write(spark.range(9).selectExpr("if(id < 8, id, raise_error('stop here')) AS id"), path)
+    assert spark.read.parquet(path).count() == 3
+    parquet.parquet_write(spark.read.parquet(path).union(spark.range(2)), path)
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
 def test_legacy_lists_and_setting_is_restored(spark, tmp_path):
     df = spark.sql("SELECT array(1, 2) AS a")
     parquet.parquet_write(df, str(tmp_path / "old"), legacy_lists=True)
