@@ -7,6 +7,11 @@ else is removed.  No suffix array of the whole corpus is built:
    least-hashed ``SEED`` bytes inside it.  Equal windows have equal minimisers
    at the same place, so only minimisers whose hash occurs twice or more can
    hold repeated windows; all others are gone after one narrow aggregation.
+   Inside text of a short period (a row of dashes, a line said over and over) a
+   minimiser comes back once a period.  Where all its windows equal, byte for
+   byte, those one period earlier, it is an echo: its windows and the earlier
+   ones are covered, and the earlier ones stand for it, so a run of any length
+   leaves a few minimisers.
 2. The windows assigned to a remaining minimiser form one snippet.  Snippets
    are dealt out by the minimiser's hash and aligned at it.  Equal snippets
    count once from here on.
@@ -60,8 +65,8 @@ _INVERSES[0] = 1
 _INVERSES = np.multiply.accumulate(_INVERSES)
 
 
-def minimisers(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Arrays (hash, place, first window, last window) of a text's minimisers, a chunk of windows at a time."""
+def minimisers(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Arrays (hash, place, first window, last window, period or 0) of a text's minimisers, a chunk of windows at a time."""
     windows = len(text) - LENGTH + 1
     codes = np.frombuffer(text, np.uint8)
     span = LENGTH - SEED + 1
@@ -86,7 +91,25 @@ def minimisers(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray
         first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         last = np.append(first[1:], len(place)) - 1
         at = place[first]
-        yield hashes[at].view(np.int64), at + start, first + start, last + start
+        period = _echoes(part, hashes[at], at, first, last)
+        yield hashes[at].view(np.int64), at + start, first + start, last + start, period
+
+
+def _echoes(codes: np.ndarray, hashes: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """For minimisers whose windows all equal those one period earlier, the period; else 0.
+
+    A period is the distance to a minimiser of equal hash just before; the bytes decide.
+    """
+    echo = np.zeros(len(place), np.int64)
+    again = 1 + np.flatnonzero(hashes[1:] == hashes[:-1])
+    period = place[again] - place[again - 1]
+    inside = first[again] >= period
+    again, period = again[inside], period[inside]
+    for p in np.unique(period).tolist():
+        some = again[period == p]
+        differ = np.concatenate([[0], np.cumsum(codes[p:] != codes[:-p])])
+        echo[some] = p * (differ[last[some] + LENGTH - p] == differ[first[some] - p])
+    return echo
 
 
 def _packed_place(place: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -94,16 +117,32 @@ def _packed_place(place: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.
     return (place << 16) | ((place - first) << 8) | (place - last)
 
 
+def _packed_run(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Covered bytes in one negative integer; texts are shorter than 2^31 bytes."""
+    return ~((start << 31) | stop)
+
+
 def _anchors(rows: DataFrame) -> DataFrame:
-    """hash, at, spot for each minimiser of ``rows`` (at, text)."""
+    """hash, at, spot for each minimiser of ``rows`` (at, text), but one for each run of echoes.
+
+    A run has the hash of its first echo, which the minimiser before it has too.
+    """
     schema = pa.schema([("hash", pa.int64()), ("at", pa.int64()), ("spot", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, size = [], 0
             for at, text in zip(batch.column("at").to_pylist(), byte_texts(batch.column("text"))):
-                for hashes, place, first, last in minimisers(text):
-                    held.append((hashes, np.full(len(hashes), at), _packed_place(place, first, last)))
+                for hashes, place, first, last, period in minimisers(text):
+                    own = period == 0
+                    spots = _packed_place(place, first, last)[own]
+                    echo = np.flatnonzero(period)
+                    if len(echo):
+                        starts, stops = first[echo] - period[echo], last[echo] + LENGTH
+                        begin, end = merged(starts, stops)
+                        heads = echo[np.argsort(starts, kind="stable")][np.searchsorted(np.sort(starts), begin)]
+                        hashes, spots = np.append(hashes[own], hashes[heads]), np.append(spots, _packed_run(begin, end))
+                    held.append((hashes, np.full(len(hashes), at), spots))
                     size += len(hashes)
                 if size > CHUNK:
                     yield output(dict(zip(schema.names, map(np.concatenate, zip(*held)))), schema)
@@ -124,13 +163,14 @@ def _snippets(chosen: DataFrame) -> DataFrame:
             for row, (at, marks) in enumerate(zip(batch.column("at").to_pylist(), batch.column("marks"))):
                 own = marks.values
                 spots = own.field("spot").to_numpy(zero_copy_only=False)
+                hashes, spots = own.field("hash").to_numpy(zero_copy_only=False)[spots >= 0], spots[spots >= 0]
                 place = spots >> 16
                 first, last = place - ((spots >> 8) & 255), place - (spots & 255)
                 for i in range(0, len(spots), CHUNK):
                     cut = slice(i, i + CHUNK)
                     parts = [texts[row][s:e] for s, e in zip(first[cut].tolist(), (last[cut] + LENGTH).tolist())]
                     yield output({
-                        "hash": own.field("hash").to_numpy(zero_copy_only=False)[cut], "at": np.full(len(parts), at),
+                        "hash": hashes[cut], "at": np.full(len(parts), at),
                         "first": first[cut], "left": (place - first)[cut].astype(np.int32), "snippet": parts,
                     }, schema)
 
@@ -296,6 +336,8 @@ def covered(rows: DataFrame, hot_group: int = HOT_GROUP) -> DataFrame:
         spans = _repeated(snippets)
     else:
         spans = _repeated(snippets.join(hot, "hash", "left_anti")).union(_hot_repeated(snippets.join(hot, "hash", "left_semi")))
+    runs = marks.select("at", F.explode(F.filter(F.transform("marks", lambda m: F.bitwise_not(m["spot"])), lambda r: r >= 0)).alias("run"))
+    spans = spans.union(runs.select("at", F.shiftright("run", 31), F.col("run").bitwiseAND((1 << 31) - 1)))
     by_row = spans.groupBy("at").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return rows.join(by_row, "at", "left")
 

@@ -102,6 +102,22 @@ def test_suffix_dedup_equals_brute_force(spark, docs, texts):
     assert found == [(i, *e) for i, e in enumerate(brute_removal(cases))]
 
 
+def test_suffix_dedup_on_periodic_texts(spark):
+    """Runs of a short period leave few minimisers, and windows elsewhere still find what the run holds."""
+    random = np.random.default_rng(5)
+    cases = [b"-" * 700, b"Is onhe. " * 60, b"Is onhe. " * 22 + b"I", b"head " + b"Is onhe. " * 25 + b"tail", b"=" * 199, b"=" * 200, b"-" * 200]
+    cases += [b"line by line\n" * 21_000 + b"the end", b"a line of more than one hundred and thirty-six bytes " * 3 + b"-" * 300 + b"=" * 300 + b"-" * 201]
+    for period in (1, 2, 7, 50, 120, 136, 137, 150):
+        unit = bytes(random.integers(97, 100, period, dtype=np.uint8))
+        runs = [unit * int(random.integers(2, 2 + 900 // period)) for _ in range(3)]
+        cases += [b"<" + runs[0] + b"|" + runs[1][1:] + b">", runs[2][period // 2 :], (unit * 900)[period // 3 :][:200]]
+    rows = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(cases)], "doc_id long, text string")
+    found = sorted(tuple(r) for r in suffix_dedup.removal_digests(rows).collect())
+    assert found == [(i, *e) for i, e in enumerate(brute_removal(cases))]
+    for text in (b"-" * 600_000, b"Is onhe. " * 50_000):
+        assert sum(int((period == 0).sum()) for *_, period in suffix_dedup.minimisers(text)) < 12
+
+
 def test_suffix_dedup_counts_hot_groups_by_window(spark):
     body = " ".join(f"passage{i}" for i in range(60))
     rows = spark.createDataFrame([(i, f"{i} head {body} tail {i * 7}") for i in range(30)], "doc_id long, text string")
