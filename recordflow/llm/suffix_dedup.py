@@ -154,7 +154,10 @@ def _anchors(rows: DataFrame) -> DataFrame:
 
 
 def _snippets(chosen: DataFrame) -> DataFrame:
-    """hash, at, first, left, snippet for each entry of ``chosen`` (at, text, marks: array of hash and spot)."""
+    """hash, at, first, left, snippet for each entry of ``chosen`` (at, text, marks: array of hash and spot).
+
+    A run of echoes has an empty snippet and, negative, its length as ``left``.
+    """
     schema = pa.schema([("hash", pa.int64()), ("at", pa.int64()), ("first", pa.int64()), ("left", pa.int32()), ("snippet", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +166,15 @@ def _snippets(chosen: DataFrame) -> DataFrame:
             for row, (at, marks) in enumerate(zip(batch.column("at").to_pylist(), batch.column("marks"))):
                 own = marks.values
                 spots = own.field("spot").to_numpy(zero_copy_only=False)
-                hashes, spots = own.field("hash").to_numpy(zero_copy_only=False)[spots >= 0], spots[spots >= 0]
+                hashes = own.field("hash").to_numpy(zero_copy_only=False)
+                runs = spots < 0
+                if runs.any():
+                    start, stop = ~spots[runs] >> 31, ~spots[runs] & ((1 << 31) - 1)
+                    yield output({
+                        "hash": hashes[runs], "at": np.full(len(start), at), "first": start,
+                        "left": (start - stop).astype(np.int32), "snippet": [b""] * len(start),
+                    }, schema)
+                    hashes, spots = hashes[~runs], spots[~runs]
                 place = spots >> 16
                 first, last = place - ((spots >> 8) & 255), place - (spots & 255)
                 for i in range(0, len(spots), CHUNK):
@@ -274,6 +285,11 @@ def _repeated(snippets: DataFrame) -> DataFrame:
         held: list[tuple] = []
         size = 0
         for batch in batches:
+            lefts, firsts = (batch.column(c).to_numpy().astype(np.int64) for c in ("left", "first"))
+            runs = lefts < 0  # covered already
+            if runs.any():
+                yield output({"at": batch.column("at").to_numpy()[runs], "start": firsts[runs], "stop": (firsts - lefts)[runs]}, schema)
+                batch = batch.filter(pa.array(~runs))
             if not batch.num_rows:
                 continue
             held.append((*(batch.column(c).to_numpy().astype(np.int64) for c in names), batch.column("snippet").to_pylist()))
@@ -335,9 +351,8 @@ def covered(rows: DataFrame, hot_group: int = HOT_GROUP) -> DataFrame:
     if hot.isEmpty():
         spans = _repeated(snippets)
     else:
-        spans = _repeated(snippets.join(hot, "hash", "left_anti")).union(_hot_repeated(snippets.join(hot, "hash", "left_semi")))
-    runs = marks.select("at", F.explode(F.filter(F.transform("marks", lambda m: F.bitwise_not(m["spot"])), lambda r: r >= 0)).alias("run"))
-    spans = spans.union(runs.select("at", F.shiftright("run", 31), F.col("run").bitwiseAND((1 << 31) - 1)))
+        cold = snippets.join(hot.toDF("of"), (F.col("hash") == F.col("of")) & (F.col("left") >= 0), "left_anti")
+        spans = _repeated(cold).union(_hot_repeated(snippets.join(hot, "hash", "left_semi")))
     by_row = spans.groupBy("at").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return rows.join(by_row, "at", "left")
 

@@ -120,7 +120,7 @@ def test_suffix_dedup_on_periodic_texts(spark):
 
 def test_suffix_dedup_counts_hot_groups_by_window(spark):
     body = " ".join(f"passage{i}" for i in range(60))
-    rows = spark.createDataFrame([(i, f"{i} head {body} tail {i * 7}") for i in range(30)], "doc_id long, text string")
+    rows = spark.createDataFrame([(i, f"{i} head {body} tail {i * 7} " + "-" * 500) for i in range(30)], "doc_id long, text string")
     plain, split = (
         {(r.at, tuple(zip(*(x.tolist() for x in suffix_dedup.merged(np.array([s.start for s in r.spans]), np.array([s.stop for s in r.spans])))))
           ) for r in suffix_dedup.covered(rows.withColumn("at", F.monotonically_increasing_id()), hot).collect()}
