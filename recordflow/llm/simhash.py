@@ -10,10 +10,11 @@ out of the later planes.  Large buckets compare blocks of rows that have been
 reached with the rows that have not, so that a dense group costs about one
 pass.  Only links that join something new in the bucket leave a task.
 
-``keep_distinct`` takes documents by similarity instead: SimHash of five-word
-shingles proposes pairs up to ``64 * (1 - SIMILARITY)`` bits apart that agree
-on one of ``TABLES`` random sets of bits, and the exact share of shingles in
-common decides.
+``keep_distinct`` takes documents by similarity instead.  Documents of one set
+of five-word shingles (by a hash of 128 bits) stand for each other; a SimHash of
+256 bits over the distinct shingles proposes pairs that agree on one of
+``TABLES`` random sets of bits, and inside what the proposals connect the exact
+share of shingles in common decides for every pair.
 
 Edge cases: null and empty texts have fingerprint zero and are linked like any
 other; rows with equal texts share a fingerprint; repeated ids count as rows;
@@ -29,14 +30,19 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from recordflow.llm.base import byte_texts, output, packed, pick, saved, unpacked
+from recordflow.llm.base import byte_texts, output, packed, pick, saved, sums_by, unpacked
 from recordflow.llm.components import components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
-#: For documents by similarity: words of a shingle, least share of shingles in common, tables of so many random bits.
-SIMILAR_SHINGLE, SIMILARITY, TABLES, TABLE_BITS = 5, 0.8, 48, 16
+#: For documents by similarity: words of a shingle, least share of shingles in common, words of a fingerprint, those that
+#: are compared and bits they may differ in, tables of so many random bits.  Sets of equal size that share 0.8 differ in
+#: 15.15 % of the bits; such a pair is proposed with probability 0.998.
+SIMILAR_SHINGLE, SIMILARITY, WIDE, SENT, WIDE_RADIUS, TABLES, TABLE_BITS = 5, 0.8, 4, 2, 36, 96, 14
+#: Rows of a component that are compared exactly at once, and rows of a large one that every block gets.
+BLOCK, SHOWN = 512, 8
+_SALTS = np.random.default_rng(42).integers(0, 1 << 64, WIDE, np.uint64)
 #: Rows compared at once, and the size from which a bucket is searched by blocks of reached rows.
 CHUNK, LARGE, QUERIES = 1 << 17, 192, 64
 #: Bit planes after which rows that are too far are left out.
@@ -234,11 +240,6 @@ def band_masks(radius: int = RADIUS) -> list[int]:
     return [x | y for x, y in combinations(masks, 2)]
 
 
-def random_masks() -> list[int]:
-    random = np.random.default_rng(9)
-    return [sum(1 << int(b) for b in random.choice(64, TABLE_BITS, replace=False)) for _ in range(TABLES)]
-
-
 def fingerprint_links(distinct: DataFrame, masks: list[int], radius: int) -> DataFrame:
     """a, b: links between the fingerprints ``fp`` of ``distinct`` that agree on a mask and differ in ``radius`` bits at most.
 
@@ -286,36 +287,237 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _shingle_sets(rows: DataFrame) -> DataFrame:
-    """fp and the sorted distinct hashes of the shingles of ``text``."""
+def shingle_set(text: bytes) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of ``SIMILAR_SHINGLE`` words."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    line, digest = b" ".join(words), xxhash.xxh64_intdigest
+    n = max(len(words) - SIMILAR_SHINGLE + 1, 1)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths + 1) - 1
+    pairs = zip((ends - lengths)[:n].tolist(), ends[-n:].tolist())
+    return np.unique(np.fromiter((digest(line[s:e], SEED) for s, e in pairs), np.uint64, n))
+
+
+def wide_fingerprint(found: np.ndarray) -> np.ndarray:
+    """``WIDE`` words: bits that over half of the set's members have, each member spread to that many words."""
+    ones = np.zeros(64 * WIDE, np.int64)
+    for i in range(0, len(found), HASHES):
+        x = found[i : i + HASHES, None] ^ _SALTS
+        for odd, turn in ((0xBF58476D1CE4E5B9, 30), (0x94D049BB133111EB, 27)):
+            x = (x ^ (x >> np.uint64(turn))) * np.uint64(odd)
+        x ^= x >> np.uint64(31)
+        bits = np.unpackbits(x.astype("<u8").view(np.uint8).reshape(-1, 8 * WIDE), axis=1, bitorder="little")
+        full = len(bits) // 255 * 255  # sums of so many fit a byte
+        ones += bits[:full].reshape(-1, 255, 64 * WIDE).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+        ones += bits[full:].sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(found), bitorder="little").view("<u8")
+
+
+def wide_fingerprints(rows: DataFrame) -> DataFrame:
+    """at, doc_id, s0, s1 (a hash of the whole shingle set), f0 to f3 (its fingerprint) of ``rows`` (at, doc_id, text)."""
+    names = ["s0", "s1", *[f"f{i}" for i in range(WIDE)]]
+    schema = pa.schema([("at", pa.int64()), *[(n, pa.int64()) for n in names]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.zeros((batch.num_rows, len(names)), np.uint64)
+            for row, text in zip(found, byte_texts(batch.column("text"))):
+                own = shingle_set(text)
+                row[:2] = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes(), SEED), np.uint64)
+                row[2:] = wide_fingerprint(own)
+            columns = {n: np.ascontiguousarray(found[:, i]).view(np.int64) for i, n in enumerate(names)}
+            made = output({"at": batch.column("at"), **columns}, schema)
+            yield pa.RecordBatch.from_arrays([*made.columns, batch.column("doc_id")], [*schema.names, "doc_id"])
 
-    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            found = []
-            for text in byte_texts(column):
-                words = text.lower().split()
-                parts = {b" ".join(words[i : i + SIMILAR_SHINGLE]) for i in range(max(len(words) - SIMILAR_SHINGLE + 1, min(len(words), 1)))}
-                found.append(np.sort(np.array([xxhash.xxh64_intdigest(p, SEED) for p in parts], np.uint64).view(np.int64)))
-            yield pa.array(found, pa.list_(pa.int64()))
+    kind = dict(rows.dtypes)["doc_id"]
+    ddl = ", ".join(f"{n} long" for n in schema.names) + f", doc_id {kind}"
+    return rows.select("at", "doc_id", "text").mapInArrow(run, ddl)
+
+
+def random_masks() -> list[list[int]]:
+    """``TABLES`` sets of ``TABLE_BITS`` bits, each as ``WIDE`` signed words."""
+    random, masks = np.random.default_rng(9), []
+    for _ in range(TABLES):
+        bits = np.zeros(64 * WIDE, np.uint8)
+        bits[random.choice(64 * WIDE, TABLE_BITS, replace=False)] = 1
+        masks.append(np.packbits(bits, bitorder="little").view("<i8").tolist())
+    return masks
+
+
+def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.uint16) <= WIDE_RADIUS
+
+
+def wide_links(keys: np.ndarray, ats: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of near rows that connect what is near inside each bucket; ``keys`` are sorted, ``fps`` has ``SENT`` words a row."""
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(first, len(keys)))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k in np.flatnonzero(sizes >= LARGE):
+        rest, todo = first[k] + np.arange(sizes[k]), []
+        while len(rest):
+            if not todo:
+                todo, rest = [int(rest[0])], rest[1:]
+            at = todo.pop()
+            near = _near(fps[rest], fps[at])
+            left.append(np.full(int(near.sum()), at))
+            right.append(rest[near])
+            todo += rest[near].tolist()
+            rest = rest[~near]
+    small = np.flatnonzero((sizes > 1) & (sizes < LARGE))
+    if len(small):
+        small = small[np.argsort(-sizes[small], kind="stable")]
+        size = sizes[small]
+        starts = np.cumsum(size) - size
+        rows = np.repeat(first[small] - starts, size) + np.arange(int(size.sum()))
+        own, size_of, ends = fps[rows], np.repeat(size, size), np.repeat(starts + size, size)
+        for lag in range(1, int(size[0])):
+            at = np.arange(int(np.searchsorted(-size_of, -lag)))  # rows of buckets larger than the lag come first
+            at = at[at + lag < ends[: len(at)]]
+            at = at[_near(own[at], own[at + lag])]
+            left.append(rows[at])
+            right.append(rows[at + lag])
+    a, b = np.concatenate(left), np.concatenate(right)
+    new = _forest(len(keys), a, b) if len(a) else np.zeros(0, bool)
+    return ats[a[new]], ats[b[new]]
+
+
+def near_links(sets: DataFrame) -> DataFrame:
+    """a, b: links between rows ``at`` of ``sets`` (at, f0 to f3) that are near and agree on a mask; same components as all such links."""
+    sent = [f"f{i}" for i in range(SENT)]
+    keys = [
+        F.xxhash64(F.lit(i), *[F.col(f"f{w}").bitwiseAND(F.lit(m)) for w, m in enumerate(mask)]) for i, mask in enumerate(random_masks())
+    ]
+    dealt = sets.select("at", *sent, F.explode(F.array(*keys)).alias("key")).repartition("key").sortWithinPartitions("key")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def links(keys: np.ndarray, ats: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+        a, b = wide_links(keys, ats, fps)
+        return output({"a": a, "b": b}, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        rows = 0
+        for batch in batches:
+            fps = np.stack([batch.column(n).to_numpy() for n in sent], axis=1).view(np.uint64)
+            held.append((batch.column("key").to_numpy(), batch.column("at").to_numpy(), fps))
+            rows += batch.num_rows
+            if rows >= CHUNK and held[-1][0][0] != held[-1][0][-1]:
+                full = [np.concatenate(x) for x in zip(*held)]
+                cut = int(np.searchsorted(full[0], full[0][-1]))  # the last bucket may go on
+                yield links(*[x[:cut] for x in full])
+                held, rows = [tuple(x[cut:] for x in full)], len(full[0]) - cut
+        if held:
+            yield links(*[np.concatenate(x) for x in zip(*held)])
 
-    return rows.select("fp", F.arrow_udf(run, "array<long>").asNondeterministic()(F.col("text")).alias("shingles"))
+    return dealt.select("key", "at", *sent).mapInArrow(run, "a long, b long").distinct()
 
 
-def similar_links(rows: DataFrame, marked: DataFrame) -> DataFrame:
-    """a, b: fingerprints of documents that share at least ``SIMILARITY`` of their shingles.
+def shared_enough(sets: list[np.ndarray], labels: np.ndarray) -> list[tuple[int, int]]:
+    """Links of sets that share at least ``SIMILARITY``, fewer than sets; with those of one label joined, they connect all such pairs."""
+    sizes = np.array([len(s) for s in sets])
+    places = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.cumsum(sizes) - sizes
+    marks = np.zeros(int(places.max(initial=-1)) + 1, np.int64)
+    found, group = [], np.unique(labels, return_inverse=True)[1]
+    todo, open_ = [], np.ones(len(sets), bool)
+    while open_.any():
+        if not todo:
+            todo = [int(np.flatnonzero(open_)[0])]
+        at = todo.pop()
+        # whatever is joined to this one already needs no comparison
+        joined = np.flatnonzero(open_ & (group == group[at]))
+        open_[joined] = False
+        todo += joined[joined != at].tolist()
+        if not open_.any():
+            break
+        own = places[starts[at] : starts[at] + sizes[at]]
+        marks[own] = 1
+        common = sums_by(marks[places], sizes)
+        marks[own] = 0
+        near = np.flatnonzero(open_ & (common >= SIMILARITY * (sizes + sizes[at] - common)))
+        open_[near] = False
+        todo += near.tolist()
+        found += [(at, int(k)) for k in near]
+    return found
+
+
+def _compared(dealt: DataFrame) -> DataFrame:
+    """a, b: links of enough shingles in common among the rows of each (root, i, j) of ``dealt`` (and at, label, shingles)."""
+    schema, by = pa.schema([("a", pa.int64()), ("b", pa.int64())]), ["root", "i", "j"]
+
+    def links(held: list[tuple]) -> pa.RecordBatch:
+        ats = [r[0] for r in held]
+        found = shared_enough([r[2] for r in held], np.array([r[1] for r in held])) if len(held) > 1 else []
+        return output({"a": [ats[x] for x, _ in found], "b": [ats[y] for _, y in found]}, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            keys = zip(*[batch.column(n).to_pylist() for n in by])
+            ats, labels, sets = (batch.column(n) for n in ("at", "label", "shingles"))
+            for k, key in enumerate(keys):
+                if key != now and held:
+                    yield links(held)
+                    held = []
+                now = key
+                held.append((ats[k].as_py(), labels[k].as_py(), sets[k].values.to_numpy()))
+        if held:
+            yield links(held)
 
-    ``rows`` (at, text), ``marked`` (at, fp; saved).  Documents of one
-    fingerprint stand for each other, so the first of each is compared; only
-    fingerprints that some pair proposes have their texts read again.
+    ordered = dealt.select(*by, "at", "label", "shingles").repartition(*by).sortWithinPartitions(*by)
+    return ordered.mapInArrow(run, "a long, b long")
+
+
+def similar_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: links with the components of all pairs that share ``SIMILARITY`` of their shingles, inside what nearness connects.
+
+    ``rows`` (at, text), ``sets`` (at, f0 to f3; saved): a row for each
+    distinct shingle set.  Every pair of a component of near rows is compared
+    exactly, unless links found before join the two anyway.  Components of over
+    ``BLOCK`` rows are first compared inside blocks, to each of which a few
+    rows of the component go as well; if that leaves more than one group, the
+    blocks of all but the largest group are compared with all blocks.
     """
-    proposed = saved(fingerprint_links(marked.select("fp").distinct(), random_masks(), int(64 * (1 - SIMILARITY))), narrow=True)
-    named = proposed.select(F.col("a").alias("fp")).union(proposed.select("b")).distinct()
-    first = marked.join(named, "fp").groupBy("fp").agg(F.min("at").alias("at"))
-    sets = _shingle_sets(rows.join(first, "at"))
-    sides = [sets.select(F.col("fp").alias(x), F.col("shingles").alias(f"of_{x}")) for x in "ab"]
-    pairs = proposed.join(sides[0], "a").join(sides[1], "b")
-    common, total = F.size(F.array_intersect("of_a", "of_b")), F.size("of_a") + F.size("of_b")
-    return pairs.filter(common >= SIMILARITY * (total - common)).select("a", "b")
+    near = components(near_links(sets)).select(F.col("node").alias("at"), "root")
+    near = near.union(near.select(F.col("root").alias("at"), "root")).distinct()  # roots are no nodes of their own there
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            yield pa.array([shingle_set(t).view(np.int64) for t in byte_texts(column)], pa.list_(pa.int64()))
+
+    of_text = F.arrow_udf(run, "array<long>").asNondeterministic()(F.col("text"))
+    read = saved(rows.join(near, "at").select("at", "root", of_text.alias("shingles")))
+    sizes = saved(read.groupBy("root").agg(F.count(F.lit(1)).alias("n")), narrow=True)
+    counted = read.join(sizes, "root").withColumn("h", F.xxhash64("at"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = counted.withColumn("i", F.pmod("h", blocks).cast("int"))
+    least = Window.partitionBy("root").orderBy("h", "at")
+    shown = counted.filter(F.col("n") > BLOCK).select("root", "at", "h").withColumn("r", F.row_number().over(least)).filter(F.col("r") <= SHOWN)
+    spread = counted.join(shown.select("at"), "at").select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"))
+    spread = spread.filter(F.col("i") != F.pmod("h", blocks))  # each is in its own block anyway
+    first = own.unionByName(spread).withColumn("j", F.col("i")).withColumn("label", F.col("at"))
+    links = saved(_compared(first), narrow=True)
+    large = sizes.filter(F.col("n") > BLOCK)
+    if large.isEmpty():
+        return links
+
+    joined = components(links)
+    large_rows = read.join(large, "root").join(joined.withColumnRenamed("root", "label"), F.col("at") == F.col("node"), "left")
+    labelled = large_rows.withColumn("label", F.coalesce("label", "at")).drop("node")
+    groups = labelled.groupBy("root", "label").agg(F.count(F.lit(1)).alias("c"))
+    groups = groups.groupBy("root").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.max("c").alias("c"))
+    left = labelled.join(groups, "root").filter(F.col("c") < F.col("n"))
+    # blocks of the other groups are numbered before those of the largest
+    few, many = (F.ceil(x / BLOCK).cast("int") for x in (F.col("n") - F.col("c"), F.col("c")))
+    in_main, h = F.col("label") == F.col("main"), F.xxhash64("at")
+    block = F.when(in_main, few + F.pmod(h, many)).otherwise(F.pmod(h, few)).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.when(in_main, few).otherwise(few + many) - 1)).alias("o")
+    pairs = left.withColumn("block", block).select("*", other)
+    pairs = pairs.withColumn("i", F.least("block", "o")).withColumn("j", F.greatest("block", "o"))
+    return links.union(_compared(pairs))
 
 
 def keep_distinct(docs: DataFrame) -> DataFrame:
@@ -324,8 +526,12 @@ def keep_distinct(docs: DataFrame) -> DataFrame:
     Row numbers are fixed by file and place: ``docs`` are read from files or saved.
     """
     rows = packed(docs, "doc_id", "text").withColumn("at", F.monotonically_increasing_id())
-    marked = saved(fingerprints(rows.select("doc_id", "text", "at"), SIMILAR_SHINGLE))
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "at"))
-    rooted = _rooted(marked, similar_links(rows.select("at", "text"), marked))
-    kept = rooted.groupBy("root").agg(best.alias("best")).select(F.col("best.at").alias("kept"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", F.col("at").alias("first")))
+    alike = wide_fingerprints(rows).groupBy("s0", "s1").agg(
+        F.min("at").alias("at"), best.alias("best"), *[F.min(f"f{i}").alias(f"f{i}") for i in range(WIDE)]
+    )
+    sets = saved(alike.drop("s0", "s1"))
+    found = components(similar_links(rows.select("at", "text"), sets.drop("best")))
+    rooted = sets.join(found, F.col("at") == F.col("node"), "left").withColumn("root", F.coalesce("root", "at"))
+    kept = rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.first").alias("kept"))
     return unpacked(rows.select("row", "at").join(kept, F.col("at") == F.col("kept"), "left_semi"), docs)

@@ -208,6 +208,31 @@ def test_similar_rows_leave_one(spark, texts):
     assert simhash.keep_distinct(empty(rows)).count() == 0
 
 
+def kept_of(spark, cases):
+    rows = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(cases)], DOCS)
+    return sorted(r.doc_id for r in simhash.keep_distinct(rows).collect())
+
+
+def brute_kept(cases):
+    sets = [simhash_set(t) for t in cases]
+    return sorted(set(brute_roots(sets, lambda a, b: a == b or len(a & b) >= 0.8 * len(a | b))))
+
+
+def of_words(seed, n):
+    return [f"w{x}" for x in np.random.default_rng(seed).integers(0, 1 << 40, n)]
+
+
+def test_similar_rows_of_one_template(spark):
+    # every page is near to all others, and similar to one
+    page, cases = of_words(1, 400), []
+    for k in range(300):
+        own = page[:352] + of_words(100 + k, 48)
+        cases += [" ".join(own), " ".join(own[:-2])]
+    expected = brute_kept(cases)
+    assert len(cases) > simhash.BLOCK and len(expected) == 300
+    assert kept_of(spark, cases) == expected
+
+
 def simhash_set(text):
     words = text.encode().lower().split()
     return frozenset(b" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1 if words else 0)))
