@@ -233,6 +233,17 @@ def test_similar_rows_of_one_template(spark):
     assert kept_of(spark, cases) == expected
 
 
+def test_similar_rows_at_the_least_similarity(spark):
+    cases = []
+    for k in range(60):
+        own = of_words(k, 400)
+        cases += [" ".join(own), " ".join(own[:357] + of_words(1000 + k, 43))]
+    sets = [simhash_set(t) for t in cases]
+    assert all(0.79 < len(a & b) / len(a | b) < 0.82 for a, b in zip(sets[::2], sets[1::2]))
+    expected = brute_kept(cases)
+    assert len(expected) <= 60 and len(kept_of(spark, cases)) <= len(expected) + 1
+
+
 def simhash_set(text):
     words = text.encode().lower().split()
     return frozenset(b" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1 if words else 0)))
