@@ -244,6 +244,14 @@ def test_similar_rows_at_the_least_similarity(spark):
     assert len(expected) <= 60 and len(kept_of(spark, cases)) <= len(expected) + 1
 
 
+def test_similar_rows_with_a_line_said_often(spark):
+    line = of_words(7, 11) * 300
+    cases = [" ".join(line + of_words(k, 150)) for k in range(4)]  # share the line alone
+    words = of_words(50, 400)
+    cases += [" ".join(words), " ".join(words + of_words(51, 5) * 300)]  # the same but for the line
+    assert kept_of(spark, cases) == brute_kept(cases) == [0, 1, 2, 3, 4]
+
+
 def simhash_set(text):
     words = text.encode().lower().split()
     return frozenset(b" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1 if words else 0)))
