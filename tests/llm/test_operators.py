@@ -419,6 +419,13 @@ def test_language_model(spark, docs, texts, messy):
     assert language_model.score(empty(messy)).count() == 0
 
 
+def test_language_model_trains_on_all_learned_rows(spark, docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_model, "train", lambda rows, known: seen.append(rows.count()) or language_model.Weights.zero())
+    language_model.score(docs)
+    assert seen == [sum(zlib.crc32(str(r.doc_id).encode()) % 7 != 2 for r in docs.select("doc_id").collect())]
+
+
 def test_language_model_is_a_distribution():
     known = language_model.Vocabulary(
         10, 3, {b"a": 4, b"": 3}, {b"a": 0, b"": 1}, np.zeros(language_model.OWN + language_model.SHARED),
