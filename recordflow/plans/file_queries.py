@@ -278,7 +278,7 @@ def parquet_scan_int96(spark, sf_dir):
 def parquet_write_int96(spark, sf_dir):
     path = shared_dir(spark)
     rows = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    parquet.parquet_write_int96(rows, path, int96=False)
+    parquet.parquet_write_int96(rows, path, int96=True)
     return spark.read.parquet(path).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 

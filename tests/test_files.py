@@ -71,6 +71,17 @@ def test_int96(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "i")).first()["registration_dttm"] == at
 
 
+def test_int96_query_writes_int96(spark, tmp_path, monkeypatch):
+    from recordflow.plans import file_queries
+
+    monkeypatch.setattr(file_queries, "shared_dir", lambda _: str(tmp_path / "q"))
+    found = file_queries.parquet_write_int96(spark, "/root/testdata/sf0.001")
+    schema = pq.ParquetFile(first_file(tmp_path / "q")).schema
+    assert {schema.column(i).name: schema.column(i).physical_type for i in range(2)}["ts"] == "INT96"
+    rows = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "ts")
+    assert sorted(map(tuple, found.collect())) == sorted((r[0], r[1].replace(tzinfo=None)) for r in rows.collect())
+
+
 @pytest.mark.parametrize("glob, want", [
     ("*.parquet", 4), ("a?.parquet", 3), ("a[12].parquet", 2), ("a[^1].parquet", 2), ("a[2-3].parquet", 2), ("{a1,b1}.parquet", 2), ("b1.parquet", 1),
 ])
