@@ -22,7 +22,7 @@ from recordflow.llm.base import pick, saved
 
 #: What each rule does to its host, that host's subdomains, and paths that start with its path.
 RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
-SUPPORT, CONFIDENCE, LONGEST = 0.002, 0.8, 3
+SUPPORT, CONFIDENCE = 0.002, 0.8
 #: Mined rules that are sent to every task at most; more are joined by shuffle.
 SENT_RULES = 20_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -72,21 +72,20 @@ def mine(labelled: DataFrame) -> DataFrame:
         return spark.createDataFrame([], ddl)
     model = FPGrowth(itemsCol="items", minSupport=SUPPORT, minConfidence=CONFIDENCE).fit(baskets)
     implied = model.associationRules.filter(
-        F.col("consequent")[0].startswith("verdict:") & (F.size("antecedent") <= LONGEST)
-        & ~F.exists("antecedent", lambda x: x.startswith("verdict:"))
+        F.col("consequent")[0].startswith("verdict:") & ~F.exists("antecedent", lambda x: x.startswith("verdict:"))
     )
     rules = saved(implied.select(
         F.array_sort("antecedent").alias("rule_tokens"), F.substring(F.col("consequent")[0], len("verdict:") + 1, 20).alias("verdict"),
         "confidence", "support",
     ))
-    # a rule is redundant when one token less implies the same as surely
+    # a rule is redundant when some of its tokens imply the same as surely; such a smaller rule is found by its first token
     shorter = rules.select(F.col("rule_tokens").alias("sub"), F.col("verdict").alias("v"), F.col("confidence").alias("c"))
-    less = rules.filter(F.size("rule_tokens") > 1).select(
-        "*", F.explode(F.transform("rule_tokens", lambda x: F.array_remove("rule_tokens", x))).alias("part")
+    shorter = shorter.withColumn("part", F.col("sub")[0])
+    less = rules.filter(F.size("rule_tokens") > 1).select("*", F.explode("rule_tokens").alias("part"))
+    redundant = less.join(shorter, "part").filter(
+        (F.col("verdict") == F.col("v")) & (F.col("c") >= F.col("confidence")) & (F.size("sub") < F.size("rule_tokens"))
+        & (F.size(F.array_except("sub", "rule_tokens")) == 0)
     )
-    one = F.explode(F.transform("rule_tokens", lambda x: F.array(x))).alias("part")
-    less = less.union(rules.filter(F.size("rule_tokens") > 2).select("*", one))
-    redundant = less.join(shorter, (F.col("part") == F.col("sub")) & (F.col("verdict") == F.col("v")) & (F.col("c") >= F.col("confidence")))
     kept = rules.join(redundant.select("rule_tokens", "verdict").distinct(), ["rule_tokens", "verdict"], "left_anti")
     single = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     spread = kept.select("*", F.explode("rule_tokens").alias("token")).join(single, "token")

@@ -341,6 +341,13 @@ def test_url_rules_and_mined_rules(spark):
     assert {r.verdict for r in url_filters.judge(pages, {}).collect()} == {"allow"}
 
 
+def test_url_rules_of_four_tokens(spark):
+    parts = [["a", "b", "c", "d"], ["a", "b", "c"], ["a", "b", "d"], ["a", "c", "d"], ["b", "c", "d"]]
+    rows = [(p, "allow" if len(p) < 4 else "block") for p in parts for _ in range(10)]
+    found = url_filters.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string")).collect()
+    assert ["a", "b", "c", "d"] in [r.rule_tokens for r in found if r.verdict == "block"]
+
+
 def brute_repeats(words):
     windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
     hit = {i + d for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for d in range(3)}
