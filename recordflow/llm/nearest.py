@@ -319,7 +319,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     upper = _upper(rows)
     points = saved(_placed(rows, upper, asks=False))
     queries = rows.filter(is_query).dropDuplicates(["vec_id"])
-    first = saved(_visit(points.union(_placed(queries, upper, asks=True)), k, ratio), narrow=True)
+    first = saved(_visit(points.union(_placed(queries, upper, asks=True)), k, ratio))
     # the k-th of the own cell bounds the k-th of all; with fewer found, everything is within reach
     bounds = _best(first, k).filter(F.col("rank") == k).select("query_id", (2 - 2 * F.col("score") + CLOSE).alias("kth"))
     asking = queries.join(bounds, F.col("vec_id") == F.col("query_id"), "left").select(
