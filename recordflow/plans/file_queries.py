@@ -78,11 +78,15 @@ def csv_escape_unquoted(spark, sf_dir):
 
 
 @query("csv_header_schema", """
-SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer""")
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) END AS c_acctbal FROM customer""")
 def csv_header_schema(spark, sf_dir):
     path = shared_dir(spark)
-    csv.csv_write(table(spark, sf_dir, "customer").drop("c_acctbal"), path)
-    return csv.csv_scan(spark, path)
+    c = table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)"))
+    # files of one segment have a column more, in front
+    csv.csv_write(c.filter("c_mktsegment <> 'BUILDING'").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), f"{path}/a")
+    csv.csv_write(c.filter("c_mktsegment = 'BUILDING'").select("c_acctbal", "c_custkey", "c_name", "c_nationkey", "c_mktsegment"), f"{path}/b")
+    return csv.csv_scan(spark, [f"{path}/a", f"{path}/b"])
 
 
 def _written_lines(spark, sf_dir) -> DataFrame:
@@ -128,9 +132,13 @@ SELECT c_custkey, CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_nationkey, c_name F
 def csv_header_by_name(spark, sf_dir):
     path = shared_dir(spark)
     c = table(spark, sf_dir, "customer").select("c_nationkey", F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"), "c_name", "c_custkey")
-    csv.csv_write(c, path)
+    # files with the columns in another order each
+    odd = F.col("c_custkey") % 2 == 1
+    csv.csv_write(c.filter(odd), f"{path}/a")
+    csv.csv_write(c.filter(~odd).select("c_custkey", "c_name", "c_acctbal", "c_nationkey"), f"{path}/b")
+    scan = csv.csv_scan(spark, [f"{path}/a", f"{path}/b"])
     # the balance is not in the schema, so it stays text
-    return csv.bind_types(csv.csv_scan(spark, path), {"c_custkey": "bigint", "c_nationkey": "int", "c_name": "string"}).drop("_rejects")
+    return csv.bind_types(scan, {"c_custkey": "bigint", "c_nationkey": "int", "c_name": "string"}).drop("_rejects")
 
 
 @query("csv_header_ignored", "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS label FROM customer")

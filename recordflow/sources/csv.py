@@ -1,9 +1,13 @@
 """Delimited text in many dialects: scans, schemas, quarantine and writing.
 
-Two scan paths.  Spark's CSV reader handles quoted dialects, including cells
-that span lines.  :func:`parse_lines` handles what that reader cannot express
-(escapes outside quotes, kept blank lines, quoted null markers) with one cell
-per regular-expression match on whole text lines, which stay splittable.
+Quoted cells that span lines are put together by :mod:`.records`, which lets
+many tasks read one file.  :func:`parse_lines` splits records with one cell per
+regular-expression match.  Spark's CSV reader is used where no cell spans lines
+and the dialect needs nothing that it cannot express (escapes outside quotes,
+kept blank lines, quoted null markers), and for encodings other than UTF-8.
+
+Each file is bound by its own header: files are grouped by it, and the scans of
+the groups are put together by name.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from recordflow.functions import casts
 from recordflow.functions.timestamps import cast_date, cast_time, cast_timestamp, parse_date, parse_time, parse_timestamp
 from recordflow.functions.values import empty_to_null, unquote
+from recordflow.sources import records
 
 CORRUPT = "_corrupt"
 UNKNOWN_FIELD = "unknown_field_index_"
@@ -93,18 +99,26 @@ def strict_null(d: Dialect) -> bool:
     return d.quote_mode in (ALL_NON_NULL, NON_NUMERIC)
 
 
-def _needs_text_path(d: Dialect, multi_line: bool) -> bool:
-    """Unquoted dialects always; kept blank lines and quoted markers when no cell spans lines."""
-    return d.quote is None or (not multi_line and (d.keep_blank_lines or strict_null(d)))
+def _is_utf8(encoding: str) -> bool:
+    return encoding.upper() in ("UTF-8", "UTF8")
+
+
+def _needs_text_path(d: Dialect, multi_line: bool, encoding: str) -> bool:
+    """Unquoted dialects, kept blank lines, quoted markers, and cells that span lines."""
+    if d.quote is not None and multi_line:
+        return _is_utf8(encoding)
+    return d.quote is None or d.keep_blank_lines or strict_null(d)
 
 
 # ----------------------------------------------------------------- text path
-def read_lines(spark: SparkSession, path, d: Dialect, encoding: str = "UTF-8", skip_header: bool = False) -> DataFrame:
+def read_lines(spark: SparkSession, path, d: Dialect, encoding: str = "UTF-8", skip_header: bool = False,
+               file: str | None = None) -> DataFrame:
     """Column ``line``: BOM removed, comment lines dropped, blank lines kept or dropped by the dialect.
 
-    ``skip_header`` drops the first line with content of every file, and only that one.
+    ``skip_header`` drops the first line with content of every file, and only
+    that one; ``file`` names a column for the path of the file.
     """
-    if encoding.upper() not in ("UTF-8", "UTF8"):
+    if not _is_utf8(encoding):
         # the text reader knows UTF-8 only; a CSV scan with a separator that never occurs yields whole lines
         wide = encoding.upper().startswith(("UTF-16", "UTF-32"))   # line ends are not single bytes
         reader = spark.read.options(sep="\x00", quote="", encoding=encoding, maxCharsPerColumn=-1, multiLine=wide)
@@ -113,12 +127,28 @@ def read_lines(spark: SparkSession, path, d: Dialect, encoding: str = "UTF-8", s
         # lines end in LF, CR or both, whatever the dialect writes
         lines = spark.read.text(path)
     where = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")]
-    lines = lines.select(F.regexp_replace("value", "^\ufeff", "").alias("line"), *(where if skip_header else []))
+    where = where if skip_header else [F.col("_metadata.file_path").alias(file)] if file else []
+    lines = lines.select(F.regexp_replace("value", "^\ufeff", "").alias("line"), *where)
+    lines = _with_content(lines, d)
+    return lines.mapInArrow(_drop_headers, "line string") if skip_header else lines
+
+
+def _with_content(lines: DataFrame, d: Dialect) -> DataFrame:
     if not d.keep_blank_lines:
         lines = lines.filter(F.length(F.btrim("line") if d.trim else F.col("line")) > 0)
     if d.comment:
         lines = lines.filter(~F.ltrim("line").startswith(d.comment))
-    return lines.mapInArrow(_drop_headers, "line string") if skip_header else lines
+    return lines
+
+
+def read_records(spark: SparkSession, path, d: Dialect, encoding: str = "UTF-8", skip_header: bool = False,
+                 multi_line: bool = True) -> DataFrame:
+    """As :func:`read_lines`, but with ``multi_line`` a quoted cell keeps the line ends it holds."""
+    if d.quote is None or not multi_line:
+        return read_lines(spark, path, d, encoding, skip_header)
+    if not _is_utf8(encoding):
+        raise ValueError(f"records over several lines are cut in UTF-8 only, not in {encoding}")
+    return _with_content(records.quoted_records(spark, path, d.sep, d.quote, d.escape, d.comment, skip_header), d)
 
 
 def _drop_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,11 +272,41 @@ def check_header(names: list[str], duplicates: str = "allow_all", blank_names: b
     return names
 
 
-def read_header(spark: SparkSession, path, d: Dialect, encoding: str = "UTF-8") -> list[str]:
-    """Names on the first line (one row to the driver)."""
-    first = read_lines(spark, path, d.but(keep_blank_lines=False), encoding).limit(1)
-    row = first.select(F.transform(parse_cells(F.col("line"), d), lambda c: c["value"]).alias("c")).first()
-    return [c or "" for c in row["c"]] if row else []
+#: Larger than any file, so that a task reads one whole file, and no more of it than the first lines.
+_NO_SPLIT = 1 << 44
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of each file; reading stops there."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def file_headers(spark: SparkSession, path, d: Dialect, encoding: str = "UTF-8") -> list[tuple[list[str], list[str]]]:
+    """(names, files) for each different header line, in the order of their first files; files without content have none.
+
+    A task per file reads its beginning.  What comes to the driver is what its
+    own listing of the files holds, once.
+    """
+    probe = spark.newSession()
+    own = {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql.") and spark.conf.isModifiable(k)}
+    alone = {"files.maxPartitionBytes": _NO_SPLIT, "files.openCostInBytes": _NO_SPLIT, "execution.arrow.maxRecordsPerBatch": 16}
+    for key, value in (own | {f"spark.sql.{k}": str(v) for k, v in alone.items()}).items():
+        probe.conf.set(key, value)
+    lines = read_lines(probe, path, d.but(keep_blank_lines=False), encoding, file="file")
+    first = lines.mapInArrow(_first_lines, "line string, file string")
+    names = F.transform(parse_cells(F.col("line"), d), lambda c: F.coalesce(c["value"], F.lit("")))
+    # the path comes percent-encoded
+    file = F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B")))
+    groups = first.select(names.alias("names"), file.alias("file")).groupBy("names").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return sorted(((r["names"], r["files"]) for r in groups.collect()), key=lambda g: g[1][0])
+
+
+def _as_pattern(file: str) -> str:
+    """A path that readers, which take patterns, find as it is."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", file)
 
 
 def rightmost(names: list[str]) -> dict[str, int]:
@@ -277,31 +337,41 @@ def csv_scan(
 ) -> DataFrame:
     """Delimited files as text columns; empty cells are null.
 
-    ``header``: ``names`` takes the names from the first line, ``ignored`` skips
-    that line and binds ``names`` by position, ``none`` treats it as data.
+    ``header``: ``names`` takes the names from the first line of each file,
+    ``ignored`` skips that line and binds ``names`` by position, ``none`` treats
+    it as data.  Files with different headers are put together by name, with
+    nulls for the names a file lacks.
     """
     d = dialect(dialect_name)
     if header not in ("names", "ignored", "none"):
         raise ValueError(f"header must be names, ignored or none, not {header!r}")
-    if header != "names" and not names:
-        raise ValueError("column names are needed unless the header provides them")
-    as_text = _needs_text_path(d, multi_line) or unknown != "drop"
-    if header == "names":
-        first = check_header(read_header(spark, path, d, encoding), duplicates, d.blank_header_names)
-        at = (rightmost if duplicate_values == "rightmost" else shifted)(first)
-        width = len(first)
-    else:
+    if header != "names":
+        if not names:
+            raise ValueError("column names are needed unless the header provides them")
         at = {n: i for i, n in enumerate(names)}
-        width = len(names)
-
-    if as_text:
-        parsed = parse_lines(read_lines(spark, path, d, encoding, skip_header=header != "none"), d)
+        return _scan(spark, path, d, at, len(names), header == "ignored", encoding, multi_line, unknown)
+    place = rightmost if duplicate_values == "rightmost" else shifted
+    groups = file_headers(spark, path, d, encoding) or [([], [])]
+    scans = []
+    for found, files in groups:
+        at = place(check_header(found, duplicates, d.blank_header_names))
+        # with one header for all, the readers list the files themselves
+        own = path if len(groups) == 1 else [_as_pattern(f) for f in files]
+        scans.append(_scan(spark, own, d, at, len(found), True, encoding, multi_line, unknown))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
+def _scan(spark: SparkSession, path, d: Dialect, at: dict[str, int], width: int, skip_header: bool, encoding: str, multi_line: bool,
+          unknown: str) -> DataFrame:
+    """Cells to the named columns ``at`` their positions."""
+    if _needs_text_path(d, multi_line, encoding) or unknown != "drop":
+        parsed = parse_lines(read_records(spark, path, d, encoding, skip_header, multi_line), d)
         if unknown != "drop":
             return cells_to_columns(parsed, list(at), unknown)
         cells = {n: F.get("cells", F.lit(i)) for n, i in at.items()}
     else:
         schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-        parsed = spark.read.options(**reader_options(d, header != "none", encoding, multi_line)).schema(schema).csv(path)
+        parsed = spark.read.options(**reader_options(d, skip_header, encoding, multi_line)).schema(schema).csv(path)
         cells = {n: F.col(f"c{i}") for n, i in at.items()}
         if d.trim:
             cells = {n: F.btrim(c, F.lit(casts.BLANKS)) for n, c in cells.items()}
