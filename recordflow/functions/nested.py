@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from recordflow.functions import casts
-from recordflow.functions.timestamps import DEFAULT_TIMESTAMP_PATTERN, cast_date, cast_timestamp
+from recordflow.functions.timestamps import DEFAULT_TIMESTAMP_PATTERN, cast_date, cast_timestamp, is_blank
 
 
 def to_byte_array(c: Column, data_type: T.DataType, charset: str = "UTF-8") -> Column:
@@ -179,17 +179,146 @@ def _with_default(value: Column, field: T.StructField) -> Column:
     return value if default is None else F.coalesce(value, F.lit(default).cast(field.dataType))
 
 
+# ------------------------------------------------- conversion that keeps its errors
+def _let(value: Column, body) -> Column:
+    """``body`` over a value that is evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _text_of(c: Column, have: T.DataType) -> Column:
+    if isinstance(have, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+        return F.to_json(c)
+    return F.hex(c) if isinstance(have, T.BinaryType) else c.cast("string")
+
+
+def _checked(value: Column, rejects: Column) -> Column:
+    return F.struct(value.alias("value"), rejects.cast(casts.REJECT_TYPE).alias("rejects"))
+
+
+def _entry(path: Column, text: Column, reason: str) -> Column:
+    return F.array(F.struct(path.alias("column"), text.alias("value"), F.lit(reason).alias("reason")))
+
+
+def _merged(parts: list[tuple[str, Column]], whole) -> Column:
+    """Checked parts to one checked value: ``whole`` builds it from the parts' values, rejects are put together."""
+    if not parts:
+        return _checked(whole({}), F.array())
+    places = [f"p{i}" for i in range(len(parts))]
+    bound = F.struct(*[c.alias(p) for p, (_, c) in zip(places, parts)])
+    return _let(bound, lambda b: _checked(
+        whole({n: b[p]["value"] for p, (n, _) in zip(places, parts)}), F.concat(*[b[p]["rejects"] for p in places])
+    ))
+
+
+def conform_checked(c: Column, have: T.DataType, want: T.DataType, path: Column, pattern: str = DEFAULT_TIMESTAMP_PATTERN,
+                    hours: int = 0, symbols: list[str] | None = None) -> Column:
+    """:func:`conform` as a struct of the ``value`` and its ``rejects``, at every depth.
+
+    An entry names the path of the bad value (``s.n``, ``a[3].n``, ``m['key']``),
+    its text and the reason.  A bad part is null in the value, the parts beside it
+    stay.  Blank text for a timestamp or date is null and no error.  A part that
+    must not be null and is missing is an error; a default stands in for a missing
+    part, not for a bad one.
+    """
+    nothing = _checked(F.lit(None).cast(want), F.array())
+    deeper = lambda v, old, new, at, marks=None: conform_checked(v, old, new, at, pattern, hours, marks)
+    known = {f.name: f.dataType for f in have.fields} if isinstance(have, T.StructType) else {}
+    if isinstance(want, T.StructType) and isinstance(have, (T.StructType, T.MapType)):
+        parts = []
+        for f in want.fields:
+            at = F.concat(path, F.lit(f".{f.name}"))
+            if isinstance(have, T.MapType):
+                part = deeper(F.try_element_at(c, F.lit(f.name).cast(have.keyType)), have.valueType, f.dataType, at, (f.metadata or {}).get("symbols"))
+            elif f.name in known:
+                part = deeper(c.getField(f.name), known[f.name], f.dataType, at, (f.metadata or {}).get("symbols"))
+            else:
+                part = _checked(F.lit(None).cast(f.dataType), F.array())
+            parts.append((f.name, _completed(part, f, at)))
+        made = _merged(parts, lambda values: F.struct(*[values[f.name].alias(f.name) for f in want.fields]).cast(_loose(want)))
+        return F.when(c.isNotNull(), made).otherwise(_checked(F.lit(None).cast(_loose(want)), F.array()))
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        at = lambda i: F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
+        each = F.transform(c, lambda x, i: deeper(x, have.elementType, want.elementType, at(i)))
+        return F.when(c.isNotNull(), _let(each, lambda e: _checked(
+            F.transform(e, lambda x: x["value"]), F.flatten(F.transform(e, lambda x: x["rejects"]))
+        ))).otherwise(_checked(F.lit(None).cast(T.ArrayType(_loose(want.elementType))), F.array()))
+    if isinstance(want, T.MapType) and isinstance(have, (T.StructType, T.MapType)):
+        at = lambda k: F.concat(path, F.lit("['"), k.cast("string"), F.lit("']"))
+        if isinstance(have, T.StructType):
+            parts = [(n, deeper(c.getField(n), t, want.valueType, at(F.lit(n)))) for n, t in known.items()]
+            made = _merged(parts, lambda values: F.map_from_arrays(
+                F.array(*[F.lit(n) for n in values]).cast(T.ArrayType(want.keyType)), F.array(*values.values())))
+        else:
+            each = F.transform(F.map_entries(c), lambda e: F.struct(
+                e["key"].cast(want.keyType).alias("key"), deeper(e["value"], have.valueType, want.valueType, at(e["key"])).alias("part")))
+            made = _let(each, lambda e: _checked(
+                F.map_from_entries(F.transform(e, lambda x: F.struct(x["key"], x["part"]["value"]))),
+                F.flatten(F.transform(e, lambda x: x["part"]["rejects"]))))
+        return F.when(c.isNotNull(), made).otherwise(_checked(F.lit(None).cast(T.MapType(want.keyType, _loose(want.valueType))), F.array()))
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    reason = f"not a valid {want.simpleString()}"
+    if isinstance(want, nested) or isinstance(have, nested) and not isinstance(want, T.StringType):
+        return F.when(c.isNotNull(), _checked(F.lit(None).cast(want), _entry(path, _text_of(c, have), reason))).otherwise(nothing)
+    text_time = isinstance(have, T.StringType) and isinstance(want, (T.TimestampType, T.TimestampNTZType, T.DateType))
+    blank = is_blank(c) if text_time else F.lit(False)
+    value = conform(c, have, want, pattern, hours, symbols)
+    return _let(value, lambda v: _checked(
+        v, F.when(c.isNotNull() & v.isNull() & ~blank, _entry(path, _text_of(c, have), reason)).otherwise(F.array().cast(casts.REJECT_TYPE))
+    ))
+
+
+def _loose(data_type: T.DataType) -> T.DataType:
+    """The type with nulls allowed at every depth, as rejected parts are null."""
+    if isinstance(data_type, T.StructType):
+        return T.StructType([T.StructField(f.name, _loose(f.dataType), True, f.metadata) for f in data_type.fields])
+    if isinstance(data_type, T.ArrayType):
+        return T.ArrayType(_loose(data_type.elementType))
+    if isinstance(data_type, T.MapType):
+        return T.MapType(data_type.keyType, _loose(data_type.valueType))
+    return data_type
+
+
+def _completed(part: Column, field: T.StructField, path: Column) -> Column:
+    """A checked part with its default where it is missing, and an error where it must not be."""
+    default = (field.metadata or {}).get("default")
+    if default is None and field.nullable:
+        return part
+    missing = lambda p: p["value"].isNull() & (F.size(p["rejects"]) == 0)
+    if default is not None:
+        return _let(part, lambda p: _checked(F.when(missing(p), F.lit(default).cast(field.dataType)).otherwise(p["value"]), p["rejects"]))
+    absent = _entry(path, F.lit(None).cast("string"), "must not be null")
+    return _let(part, lambda p: _checked(p["value"], F.when(missing(p), absent.cast(casts.REJECT_TYPE)).otherwise(p["rejects"])))
+
+
+CHECKED = "_checked_"
+
+
 def conform_to_schema(df: DataFrame, schema: T.StructType, patterns: dict[str, str] | None = None,
                       hours: int = 0) -> DataFrame:
-    """Whole table to a target schema in one projection; extra columns dropped, missing ones null or default."""
+    """Whole table to a target schema, plus ``_rejects`` with every bad value at any depth.
+
+    Extra columns are dropped, missing ones null or default; each column is
+    converted once.  ``casts.split_rejects`` parts accepted rows from rejected ones.
+    """
     patterns = patterns or {}
     have = {f.name: f.dataType for f in df.schema.fields}
-    cells = []
+    made = {}
     for f in schema.fields:
         if f.name in have:
-            v = conform(F.col(f"`{f.name}`"), have[f.name], f.dataType, patterns.get(f.name, DEFAULT_TIMESTAMP_PATTERN),
-                        hours, (f.metadata or {}).get("symbols"))
+            part = conform_checked(F.col(f"`{f.name}`"), have[f.name], f.dataType, F.lit(f.name),
+                                   patterns.get(f.name, DEFAULT_TIMESTAMP_PATTERN), hours, (f.metadata or {}).get("symbols"))
         else:
-            v = F.lit(None).cast(f.dataType)
-        cells.append(_with_default(v, f).alias(f.name, metadata=f.metadata or {}))
-    return df.select(*cells)
+            part = _checked(F.lit(None).cast(f.dataType), F.array())
+        made[CHECKED + f.name] = _completed(part, f, F.lit(f.name))
+    once = casts.evaluate_once(df, made)
+    part = lambda f: F.col(f"`{CHECKED}{f.name}`")
+    found = [part(f)["rejects"] for f in schema.fields]
+    if casts.REJECTS in df.columns:
+        found.insert(0, F.col(casts.REJECTS))
+    return once.select(*[part(f)["value"].alias(f.name, metadata=f.metadata or {}) for f in schema.fields],
+                       casts.collect_rejects(found).alias(casts.REJECTS))
+
+
+def to_record_checked(c: Column, schema: T.StructType, name: str) -> Column:
+    """:func:`to_record` as a struct of the ``value`` and its ``rejects``."""
+    return conform_checked(c, T.MapType(T.StringType(), T.StringType()), schema, F.lit(name))

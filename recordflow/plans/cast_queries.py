@@ -483,14 +483,21 @@ def to_map(spark, sf_dir):
 
 
 @query("to_record", """
-SELECT c_custkey, c_nationkey AS nation, c_name AS name, CAST(NULL AS DOUBLE) AS balance, CAST(NULL AS VARCHAR) AS absent FROM customer""")
+SELECT c_custkey, c_nationkey AS nation, c_name AS name, CASE WHEN c_mktsegment <> 'BUILDING' THEN CAST(c_acctbal AS DOUBLE) END AS balance,
+  CAST(NULL AS VARCHAR) AS absent,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN 'r.balance: not a valid double: about ' || CAST(c_nationkey AS VARCHAR) END AS rejected FROM customer""")
 def to_record(spark, sf_dir):
     schema = T.StructType([T.StructField("nation", T.IntegerType()), T.StructField("name", T.StringType()),
                            T.StructField("balance", T.DoubleType()), T.StructField("absent", T.StringType())])
     m = F.create_map(F.lit("nation"), F.col("c_nationkey").cast("string"), F.lit("name"), F.col("c_name"),
-                     F.lit("balance"), F.concat(F.lit("about "), F.col("c_acctbal").cast("string")), F.lit("other"), F.lit("x"))
-    rows = table(spark, sf_dir, "customer").select("c_custkey", nested.to_record(m, schema).alias("r"))
-    return rows.select("c_custkey", "r.nation", "r.name", "r.balance", "r.absent")
+                     F.lit("balance"), F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("about "), F.col("c_nationkey").cast("string")))
+                     .otherwise(F.col("c_acctbal").cast("string")), F.lit("other"), F.lit("x"))
+    rows = casts.evaluate_once(table(spark, sf_dir, "customer"), {"r": nested.to_record_checked(m, schema, "r")})
+    return rows.select("c_custkey", "r.value.nation", "r.value.name", "r.value.balance", "r.value.absent", _reject_text(F.col("r.rejects")).alias("rejected"))
+
+
+def _reject_text(entries):
+    return F.nullif(F.array_join(F.transform(entries, lambda e: F.concat_ws(": ", e["column"], e["reason"], e["value"])), "; "), F.lit(""))
 
 
 @query("record_compatible", """
@@ -514,15 +521,20 @@ def record_compatible(spark, sf_dir):
 @query("conform_to_schema", """
 SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,1)) AS VARCHAR) AS price_text,
   o_orderdate + INTERVAL 9 HOUR AS placed, CASE WHEN o_orderstatus IN ('O', 'F') THEN o_orderstatus END AS status,
-  CAST(o_custkey AS INTEGER) AS customer_id, 'none' AS note, CAST(o_custkey AS VARCHAR) AS map_cust,
-  CAST(o_custkey AS BIGINT) AS list_first
+  CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS INTEGER) END AS customer_id, 'none' AS note, CAST(o_custkey AS VARCHAR) AS map_cust,
+  CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey AS BIGINT) END AS list_second,
+  nullif(concat_ws('; ', CASE WHEN o_orderstatus NOT IN ('O', 'F') THEN 'status: not a valid string: ' || o_orderstatus END,
+    CASE WHEN o_orderkey % 7 = 0 THEN 'customer.id: not a valid int: bad ' || CAST(o_custkey AS VARCHAR) END,
+    CASE WHEN o_orderkey % 5 = 0 THEN 'ids[1]: not a valid bigint: x' || CAST(o_custkey AS VARCHAR) END), '') AS rejected
 FROM orders""")
 def conform_to_schema(spark, sf_dir):
+    key = F.col("o_custkey").cast("string")
     rows = _orders(spark, sf_dir).select(
         "o_orderkey", F.col("o_totalprice").alias("price"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("placed"), F.col("o_orderstatus").alias("status"),
-        F.struct(F.col("o_custkey").cast("string").alias("id"), F.lit("x").alias("dropped")).alias("customer"),
-        F.struct(F.col("o_custkey").alias("cust")).alias("attributes"), F.array(F.col("o_custkey").cast("string")).alias("ids"),
+        F.struct(F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("bad "), key)).otherwise(key).alias("id"), F.lit("x").alias("dropped")).alias("customer"),
+        F.struct(F.col("o_custkey").alias("cust")).alias("attributes"),
+        F.array(F.lit("1"), F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("x"), key)).otherwise(key)).alias("ids"),
     )
     schema = T.StructType([
         T.StructField("o_orderkey", T.LongType()), T.StructField("price", T.DecimalType(18, 1)),
@@ -535,7 +547,7 @@ def conform_to_schema(spark, sf_dir):
     return out.select(
         "o_orderkey", F.col("price").cast("string").alias("price_text"), "placed", "status",
         F.col("customer.id").alias("customer_id"), "note", F.col("attributes")["cust"].alias("map_cust"),
-        F.get("ids", F.lit(0)).alias("list_first"),
+        F.get("ids", F.lit(1)).alias("list_second"), _reject_text(F.col("_rejects")).alias("rejected"),
     )
 
 
