@@ -116,7 +116,7 @@ def read_lines(spark: SparkSession, path, d: Dialect, encoding: str = "UTF-8", s
     """Column ``line``: BOM removed, comment lines dropped, blank lines kept or dropped by the dialect.
 
     ``skip_header`` drops the first line with content of every file, and only
-    that one; ``file`` names a column for the path of the file.
+    that one; ``file`` names a column for the path of the file, beside ``_size``.
     """
     if not _is_utf8(encoding):
         # the text reader knows UTF-8 only; a CSV scan with a separator that never occurs yields whole lines
@@ -127,7 +127,7 @@ def read_lines(spark: SparkSession, path, d: Dialect, encoding: str = "UTF-8", s
         # lines end in LF, CR or both, whatever the dialect writes
         lines = spark.read.text(path)
     where = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")]
-    where = where if skip_header else [F.col("_metadata.file_path").alias(file)] if file else []
+    where = where if skip_header else [F.col("_metadata.file_path").alias(file), F.col("_metadata.file_size").alias("_size")] if file else []
     lines = lines.select(F.regexp_replace("value", "^\ufeff", "").alias("line"), *where)
     lines = _with_content(lines, d)
     return lines.mapInArrow(_drop_headers, "line string") if skip_header else lines
@@ -272,16 +272,21 @@ def check_header(names: list[str], duplicates: str = "allow_all", blank_names: b
     return names
 
 
-#: Larger than any file, so that a task reads one whole file, and no more of it than the first lines.
+#: Larger than any file, so that a task reads one file.
 _NO_SPLIT = 1 << 44
+#: Files up to this size are read to their end, which leaves the Python worker for the next task.
+_READ_OUT = 1 << 23
 
 
 def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first line of each file; reading stops there."""
+    """The first line of a file; reading stops there if the file is large."""
+    found = False
     for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
+        if batch.num_rows and not found:
+            found = True
+            yield batch.slice(0, 1).select(["line", "file"])
+            if batch.column("_size")[0].as_py() > _READ_OUT:
+                return
 
 
 def file_headers(spark: SparkSession, path, d: Dialect, encoding: str = "UTF-8") -> list[tuple[list[str], list[str]]]:
@@ -292,7 +297,7 @@ def file_headers(spark: SparkSession, path, d: Dialect, encoding: str = "UTF-8")
     """
     probe = spark.newSession()
     own = {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql.") and spark.conf.isModifiable(k)}
-    alone = {"files.maxPartitionBytes": _NO_SPLIT, "files.openCostInBytes": _NO_SPLIT, "execution.arrow.maxRecordsPerBatch": 16}
+    alone = {"files.maxPartitionBytes": _NO_SPLIT, "files.openCostInBytes": _NO_SPLIT, "execution.arrow.maxRecordsPerBatch": 256}
     for key, value in (own | {f"spark.sql.{k}": str(v) for k, v in alone.items()}).items():
         probe.conf.set(key, value)
     lines = read_lines(probe, path, d.but(keep_blank_lines=False), encoding, file="file")

@@ -200,7 +200,8 @@ def quoted_records(spark: SparkSession, path, sep: str, quote: str, escape: str
     scan = text.select("*", out.alias("_out"), in_.alias("_in"))
     # smaller files are never split
     least = min(_bytes(spark, "spark.sql.files.maxPartitionBytes"), _bytes(spark, "spark.sql.files.openCostInBytes"))
-    inside = entered_inside(scan.filter(F.col("_size") > least)).collect()
+    large = F.col("_size") > least
+    inside = [] if text.filter(large).isEmpty() else entered_inside(scan.filter(large)).collect()
     known = frozenset((r["_file"], r["_start"]) for r in inside)
     columns = "line string, _file long, _start long, _kind byte"
     cut, scan = _cut(known, skip_header, comment), scan.drop("_size")
