@@ -351,7 +351,12 @@ def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def wide_links(keys: np.ndarray, ats: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of near rows that connect what is near inside each bucket; ``keys`` are sorted, ``fps`` has ``SENT`` words a row."""
+    """Links of near rows that connect what is near inside each bucket; ``fps`` has ``SENT`` words a row.
+
+    Rows are sorted by ``keys``, then ``ats``.  The least row of what is near is
+    the hub of its links, so tables whose buckets share a family mostly name the
+    same links.
+    """
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(first, len(keys)))
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -360,7 +365,7 @@ def wide_links(keys: np.ndarray, ats: np.ndarray, fps: np.ndarray) -> tuple[np.n
         while len(rest):
             if not todo:
                 todo, rest = [int(rest[0])], rest[1:]
-            at = todo.pop()
+            at = todo.pop(0)
             near = _near(fps[rest], fps[at])
             left.append(np.full(int(near.sum()), at))
             right.append(rest[near])
@@ -380,6 +385,8 @@ def wide_links(keys: np.ndarray, ats: np.ndarray, fps: np.ndarray) -> tuple[np.n
             left.append(rows[at])
             right.append(rows[at + lag])
     a, b = np.concatenate(left), np.concatenate(right)
+    least_first = np.lexsort((b, a))
+    a, b = a[least_first], b[least_first]
     new = _forest(len(keys), a, b) if len(a) else np.zeros(0, bool)
     return ats[a[new]], ats[b[new]]
 
@@ -390,7 +397,7 @@ def near_links(sets: DataFrame) -> DataFrame:
     keys = [
         F.xxhash64(F.lit(i), *[F.col(f"f{w}").bitwiseAND(F.lit(m)) for w, m in enumerate(mask)]) for i, mask in enumerate(random_masks())
     ]
-    dealt = sets.select("at", *sent, F.explode(F.array(*keys)).alias("key")).repartition("key").sortWithinPartitions("key")
+    dealt = sets.select("at", *sent, F.explode(F.array(*keys)).alias("key")).repartition("key").sortWithinPartitions("key", "at")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def links(keys: np.ndarray, ats: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:

@@ -472,3 +472,20 @@ def test_pipeline_stages_on_messy_rows(spark, messy):
     for frame in (plain, empty(plain)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, frame, sf_dir).count()
+
+
+def test_tables_name_the_same_links_of_a_family():
+    draw = np.random.default_rng(1)
+    n = 1000
+    bits = np.tile(draw.integers(0, 2, 64 * simhash.WIDE).astype(np.uint8), (n, 1))
+    for row in bits:
+        row[draw.choice(len(row), draw.integers(1, 12), replace=False)] ^= 1
+    words = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+    links = set()
+    for mask in np.array(simhash.random_masks(), np.int64).view(np.uint64):
+        _, keys = np.unique(words & mask, axis=0, return_inverse=True)
+        order = np.lexsort((np.arange(n), keys.ravel()))
+        a, b = simhash.wide_links(keys.ravel()[order], order, words[order][:, : simhash.SENT])
+        links |= set(zip(a.tolist(), b.tolist()))
+    # one table alone gives nearly one link a row, all 96 together few more
+    assert len(links) < 15 * n
