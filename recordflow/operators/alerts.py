@@ -18,7 +18,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from recordflow.functions.timestamps import to_micros
 from recordflow.functions.values import data_size_bytes
+from recordflow.operators.keyed import required_not_null
 from recordflow.operators.skew import CHUNK, Ranges, carry_last, find_ranges, key_match
 
 ALERT, RECOVERED = "ALERT", "RECOVERED"
@@ -91,23 +93,64 @@ def alert_payload(fields: dict[str, Column], type_name: str) -> Column:
 
 
 # ------------------------------------------------------------------ suppression
-def walk(ts: list[int], breach: list[bool], interval: int, flag: bool, last: int | None):
+def time_micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds of a time column: of the instant, or of the wall clock where it has no zone; never by the session's zone."""
+    return F.unix_micros(F.col(ts)) if isinstance(df.schema[ts].dataType, T.TimestampType) else to_micros(F.col(ts))
+
+
+def untimed(df: DataFrame, ts: str) -> DataFrame:
+    """The readings that no rule can place, as their time is null, with ``_reason``."""
+    return required_not_null(df, [ts])[1]
+
+
+def events_in(ts: np.ndarray, breach: np.ndarray, starts: np.ndarray, interval: int, flags: np.ndarray, free_from: list[int | None]) -> np.ndarray:
+    """Rows that are events (an alert where ``breach``, else a recovery) in runs of sorted rows, each with its entry state.
+
+    Every row points to the event that would follow it: the next breach that is
+    an interval later, or after an alert the next reading under the limit.  The
+    events are what the pointers reach from each run's first one; jumps double
+    in length, so that takes a logarithm of steps over all runs at once.
+    """
+    m = len(ts)
+    run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, m)))
+    # all runs on one time line, far enough apart that nothing reaches from one into the next
+    span = ts[np.append(starts[1:], m) - 1] - ts[starts]
+    gap = np.minimum(interval, span + 1)
+    offset = np.concatenate([[0], np.cumsum(span + gap + 2)[:-1]])
+    place = offset[run] + ts - ts[starts][run]
+    at, clear = np.flatnonzero(breach), np.flatnonzero(~breach)
+    at_run, clear_run = np.append(run[at], -1), np.append(run[clear], -1)
+    at_row, clear_row = np.append(at, m), np.append(clear, m)
+
+    def first(rows: np.ndarray, runs: np.ndarray, k: np.ndarray, own: np.ndarray) -> np.ndarray:
+        return np.where(runs[k] == own, rows[k], m)
+
+    every = np.arange(m)
+    later = np.maximum(np.searchsorted(place[at], place + gap[run]), np.searchsorted(at, every, side="right"))
+    next_alert = first(at_row, at_run, later, run)
+    next_clear = first(clear_row, clear_run, np.searchsorted(clear, every, side="right"), run)
+    jump = np.append(np.where(breach, np.minimum(next_alert, next_clear), next_alert), m)
+    # an entry state is silent until some time, and may recover if it is alerting
+    silent = np.array([0 if f is None else min(max(f - int(t), 0), int(s) + 1) for f, t, s in zip(free_from, ts[starts], span)], np.int64)
+    own = np.arange(len(starts))
+    entry = first(at_row, at_run, np.maximum(np.searchsorted(place[at], offset + silent), np.searchsorted(at, starts)), own)
+    recovery = first(clear_row, clear_run, np.searchsorted(clear, starts), own)
+    seen = np.zeros(m + 1, bool)
+    seen[np.where(flags, np.minimum(entry, recovery), entry)] = True
+    while (jump[:m] < m).any():
+        seen[jump[seen]] = True
+        jump = jump[jump]
+    return np.flatnonzero(seen[:m])
+
+
+def walk(ts: np.ndarray, breach: np.ndarray, interval: int, flag: bool, last: int | None):
     """Events of one sorted stretch of a series from an entry state: (positions, is_alert, flag, last)."""
-    where, kinds = [], []
-    silent_until = float("-inf") if last is None else last + interval
-    for i, (t, x) in enumerate(zip(ts, breach)):
-        if x:
-            if t < silent_until:
-                continue
-            flag = True
-        elif flag:
-            flag = False
-        else:
-            continue
-        last, silent_until = t, t + interval
-        where.append(i)
-        kinds.append(flag)
-    return where, kinds, flag, last
+    ts, breach = np.asarray(ts, np.int64), np.asarray(breach, bool)
+    free = None if last is None else last + interval
+    where = events_in(ts, breach, np.array([0]), interval, np.array([flag]), [free]) if len(ts) else np.zeros(0, np.int64)
+    if len(where):
+        flag, last = bool(breach[where[-1]]), int(ts[where[-1]])
+    return where.tolist(), breach[where].tolist(), flag, last
 
 
 def summarise(ts: np.ndarray, breach: np.ndarray, interval: int) -> dict:
@@ -196,23 +239,24 @@ def _emitter(keys: list[str], interval: int, columns: list[str]):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ts, x = (values.tolist() for values in _readings(batch))
-            entry = None
+            ts, x = _readings(batch)
+            runs = _runs(batch, keys)
+            starts = np.array([a for a, _ in runs])
+            flags, lasts = np.zeros(len(runs), bool), [None] * len(runs)
             if "_in_last" in batch.schema.names:
-                entry = batch.column("_in_flag").to_pylist(), batch.column("_in_last").to_pylist()
-            picked, kinds = [], []
-            for a, b in _runs(batch, keys):
-                # only the first run of a batch can go on from the batch before
-                if a or current != _key(batch, keys, 0):
-                    flag, last = False, None
-                    if entry and entry[1][a] is not None:
-                        flag, last = entry[0][a], entry[1][a]
-                where, kind, flag, last = walk(ts[a:b], x[a:b], interval, flag, last)
-                picked += [a + w for w in where]
-                kinds += kind
+                took = pa.array(starts)
+                flags = pc.fill_null(batch.column("_in_flag").take(took), False).to_numpy(zero_copy_only=False).copy()
+                lasts = batch.column("_in_last").take(took).to_pylist()
+            # only the first run of a batch can go on from the batch before
+            if current == _key(batch, keys, 0):
+                flags[0], lasts[0] = flag, last
+            picked = events_in(ts, x, starts, interval, flags, [None if t is None else t + interval for t in lasts])
+            flag, last = bool(flags[-1]), lasts[-1]
+            if len(picked) and picked[-1] >= starts[-1]:
+                flag, last = bool(x[picked[-1]]), int(ts[picked[-1]])
             current = _key(batch, keys, batch.num_rows - 1)
             out = batch.select(columns).take(pa.array(picked, pa.int64()))
-            event = pa.array([ALERT if k else RECOVERED for k in kinds], pa.string())
+            event = pa.array(np.where(x[picked], ALERT, RECOVERED), pa.string())
             yield pa.RecordBatch.from_arrays([*out.columns, event], names=[*columns, "event"])
 
     return emit
@@ -277,16 +321,21 @@ def _entry_states(cut: DataFrame, series: list[str], order: list[str], interval:
 
 
 def alert_events(df: DataFrame, series: list[str], ts: str, exceeded: Column, interval_seconds: float,
-                 tiebreak: list[str] = (), ranges: Ranges | None = None) -> DataFrame:
-    """Alert and recovery rows with ``event``: at most one alert per interval and series."""
+                 tiebreak: list[str] = (), ranges: Ranges | None = None, keep: list[str] | None = None) -> DataFrame:
+    """Alert and recovery rows with ``event``: at most one alert per interval and series.
+
+    Of the columns, ``keep`` (all by default) come out; others that no rule needs
+    aren't read.  Readings without a time are left to :func:`untimed`.
+    """
     interval = int(interval_seconds * 1_000_000)
     order = [ts, *tiebreak]
-    columns = df.columns
+    columns = list(keep or df.columns)
+    needed = list(dict.fromkeys([*columns, *series, *order]))
     marked = df.filter(F.col(ts).isNotNull()).select(
-        "*", F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"), F.coalesce(exceeded, F.lit(False)).alias("_x")
+        *[F.col(f"`{c}`") for c in needed], time_micros(df, ts).alias("_t"), F.coalesce(exceeded, F.lit(False)).alias("_x")
     )
     ranges = find_ranges(marked, series, order) if ranges is None else ranges
-    schema = T.StructType([*df.schema.fields, T.StructField("event", T.StringType())])
+    schema = T.StructType([*[df.schema[c] for c in columns], T.StructField("event", T.StringType())])
     cut = marked.withColumn(CHUNK, ranges.chunk(series))
     keys = [*series, CHUNK]
     if ranges.bounds:
@@ -298,10 +347,10 @@ def alert_events(df: DataFrame, series: list[str], ts: str, exceeded: Column, in
 
 
 def alert_suppress(df: DataFrame, series: list[str], ts: str, exceeded: Column, interval_seconds: float,
-                   tiebreak: list[str] = (), ranges: Ranges | None = None) -> DataFrame:
-    return alert_events(df, series, ts, exceeded, interval_seconds, tiebreak, ranges).filter(F.col("event") == ALERT).drop("event")
+                   tiebreak: list[str] = (), ranges: Ranges | None = None, keep: list[str] | None = None) -> DataFrame:
+    return alert_events(df, series, ts, exceeded, interval_seconds, tiebreak, ranges, keep).filter(F.col("event") == ALERT).drop("event")
 
 
 def alert_recovered(df: DataFrame, series: list[str], ts: str, exceeded: Column, interval_seconds: float,
-                    tiebreak: list[str] = (), ranges: Ranges | None = None) -> DataFrame:
-    return alert_events(df, series, ts, exceeded, interval_seconds, tiebreak, ranges).filter(F.col("event") == RECOVERED).drop("event")
+                    tiebreak: list[str] = (), ranges: Ranges | None = None, keep: list[str] | None = None) -> DataFrame:
+    return alert_events(df, series, ts, exceeded, interval_seconds, tiebreak, ranges, keep).filter(F.col("event") == RECOVERED).drop("event")

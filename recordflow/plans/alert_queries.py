@@ -94,19 +94,19 @@ SELECT event_id, series AS {series}"""
 
 @query("alert_suppress", _walk_sql("user_id", f"{HOURS} HOUR") + " FROM s WHERE event = 'ALERT'")
 def alert_suppress(spark, sf_dir):
-    out = alerts.alert_suppress(_events(spark, sf_dir), ["user_id"], "ts", F.col("value") > LIMIT, HOURS * 3600, ["event_id"])
+    out = alerts.alert_suppress(_events(spark, sf_dir), ["user_id"], "ts", F.col("value") > LIMIT, HOURS * 3600, ["event_id"], keep=["event_id", "user_id"])
     return out.select("event_id", "user_id")
 
 
 @query("alert_recovered", _walk_sql("user_id", f"{HOURS} HOUR") + " FROM s WHERE event = 'RECOVERED'")
 def alert_recovered(spark, sf_dir):
-    out = alerts.alert_recovered(_events(spark, sf_dir), ["user_id"], "ts", F.col("value") > LIMIT, HOURS * 3600, ["event_id"])
+    out = alerts.alert_recovered(_events(spark, sf_dir), ["user_id"], "ts", F.col("value") > LIMIT, HOURS * 3600, ["event_id"], keep=["event_id", "user_id"])
     return out.select("event_id", "user_id")
 
 
 @query("alert_suppress_hot", _walk_sql("event_type", "45 MINUTE", 150.0) + ", event FROM s WHERE event IS NOT NULL")
 def alert_suppress_hot(spark, sf_dir):
-    out = alerts.alert_events(_events(spark, sf_dir), ["event_type"], "ts", F.col("value") > 150.0, 45 * 60, ["event_id"])
+    out = alerts.alert_events(_events(spark, sf_dir), ["event_type"], "ts", F.col("value") > 150.0, 45 * 60, ["event_id"], keep=["event_id", "event_type"])
     return out.select("event_id", "event_type", "event")
 
 

@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordflow.operators.alerts import ALERT, RECOVERED, walk
+from recordflow.functions.timestamps import from_micros
+from recordflow.operators.alerts import ALERT, RECOVERED, time_micros, walk
 
 STATE = "flag boolean, last bigint"
 
@@ -18,14 +19,14 @@ def stream_alert_events(stream: DataFrame, series: str, ts: str, value: str, exc
     interval = int(interval_seconds * 1_000_000)
     types = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
     rows = stream.select(
-        F.col(series), F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"), F.col(value),
+        F.col(series), time_micros(stream, ts).alias("_t"), F.col(value),
         F.coalesce(exceeded, F.lit(False)).alias("_x"),
     ).filter(F.col("_t").isNotNull())
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         flag, last = state.get if state.exists else (False, None)
         rows = pd.concat(list(frames)).sort_values(["_t", value])
-        where, kinds, flag, last = walk(rows["_t"].tolist(), rows["_x"].tolist(), interval, flag, last)
+        where, kinds, flag, last = walk(rows["_t"].to_numpy(), rows["_x"].to_numpy(), interval, flag, last)
         if last is not None:
             state.update((flag, last))
         out = rows.iloc[where]
@@ -37,5 +38,5 @@ def stream_alert_events(stream: DataFrame, series: str, ts: str, value: str, exc
     schema = f"`{series}` {types[series]}, _t bigint, `{value}` {types[value]}, event string"
     events = rows.groupBy(series).applyInPandasWithState(step, schema, STATE, "append", "NoTimeout")
     return events.select(
-        series, F.timestamp_micros("_t").cast(types[ts]).alias(ts), value, "event"
+        series, (F.timestamp_micros("_t") if types[ts] == "timestamp" else from_micros(F.col("_t")).cast(types[ts])).alias(ts), value, "event"
     )

@@ -102,3 +102,42 @@ def test_edges(spark):
     df = spark.createDataFrame([(i, x) for i, x in enumerate([False, True, True, False, True])], "t int, x boolean").withColumn("s", F.lit(1))
     out = alerts.breach_edges(df, ["s"], ["t"], F.col("x")).orderBy("t").collect()
     assert [(r["t"], r["edge"]) for r in out] == [(1, "UP"), (3, "DOWN"), (4, "UP")]
+
+
+def test_events_of_many_runs_at_once():
+    rnd = random.Random(8)
+    for _ in range(300):
+        parts = [series(rnd, rnd.randrange(1, 25)) for _ in range(rnd.randrange(1, 6))]
+        interval = rnd.choice([0, 3, 12, 10**15])
+        states = [(rnd.random() < 0.5, int(ts[0]) - rnd.randrange(30)) if rnd.random() < 0.6 else (False, None) for ts, _ in parts]
+        sizes = [len(ts) for ts, _ in parts]
+        starts = np.cumsum([0, *sizes[:-1]])
+        shift = [rnd.randrange(-(10**15), 10**15) for _ in parts]
+        ts, x = np.concatenate([t + s for (t, _), s in zip(parts, shift)]), np.concatenate([b for _, b in parts])
+        free = [None if last is None else last + s + interval for (_, last), s in zip(states, shift)]
+        got = alerts.events_in(ts, x, starts, interval, np.array([f for f, _ in states]), free).tolist()
+        want = [int(a) + i for a, (t, b), st in zip(starts, parts, states) for i in naive(t.tolist(), b.tolist(), interval, *st)[0]]
+        assert got == want
+
+
+def test_events_do_not_depend_on_the_session_zone(spark):
+    """A clock of New York skips from 2 to 3 on this day; wall-clock readings don't."""
+    rows = spark.createDataFrame([("a", "2024-03-10 01:30:00", 9), ("a", "2024-03-10 03:30:00", 9), ("a", None, 9)], "s string, at string, v int")
+    rows = rows.withColumn("at", F.col("at").cast("timestamp_ntz"))
+    found = {}
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            found[zone] = alerts.alert_suppress(rows, ["s"], "at", F.col("v") > 5, 90 * 60).collect()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(found["UTC"]) == 2 and found["UTC"] == found["America/New_York"]
+    assert [(r["v"], r["_reason"]) for r in alerts.untimed(rows, "at").collect()] == [(9, "at must not be null")]
+
+
+def test_only_needed_columns_are_read(spark):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    out = alerts.alert_suppress(events, ["user_id"], "ts", F.col("value") > 300.0, 3600, ["event_id"], keep=["event_id", "user_id"])
+    assert out.columns == ["event_id", "user_id"]
+    schema = out._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1].split("\n")[0]
+    assert "props" not in schema and "event_type" not in schema
