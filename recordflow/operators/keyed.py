@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from recordflow.operators.skew import Hot, Ranges, as_hot, carry_last, find_ranges, range_lookup, salted_lookup
 
@@ -184,23 +184,43 @@ def all_or_nothing(applied: Applied) -> DataFrame:
     return applied.table
 
 
+TIE = "_tie"
+
+
+def _ties_parted(rows: DataFrame, order: list[str]) -> tuple[DataFrame, list[str]]:
+    """Rows whose ``order`` ties are ordered by their content; only copies of one row still tie."""
+    plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return rows.withColumn(TIE, F.xxhash64(*_cols(plain))), [*order, TIE]
+
+
 def _winner_verdict(rows: DataFrame, target: DataFrame, keys: list[str], order: list[str], hot: Hot,
                     apply_if_stored: bool, miss: str, again: str) -> DataFrame:
-    """Rejects where only the first row of a key may apply, and only if the key is (not) stored."""
-    first = first_per_key(rows, keys, order).select(*_cols(keys), F.struct(*_cols(order)).alias("_first"))
+    """Rejects where only the first row of a key may apply, and only if the key is (not) stored.
+
+    Of copies that tie even in content one applies; the others are rejected,
+    which takes a count of the copies, so that it holds whatever order they come in.
+    """
+    columns = _cols([c for c in rows.columns if c != TIE])
+    winner = first_per_key(rows, keys, order).withColumn("_first", F.struct(*_cols(order)))
     stored = target.select(*_cols(keys), F.lit(True).alias("_stored"))
-    verdict = first.join(stored, keys, "left")
-    seen = salted_lookup(rows, verdict, keys, order, hot)
+    verdict = winner.join(stored, keys, "left")
     is_stored = F.coalesce(F.col("_stored"), F.lit(False))
+    seen = salted_lookup(rows, verdict.select(*_cols(keys), "_first", "_stored"), keys, order, hot)
     applies = (is_stored if apply_if_stored else ~is_stored) & (F.struct(*_cols(order)) == F.col("_first"))
     reason = F.when(is_stored != F.lit(apply_if_stored), F.lit(miss)).otherwise(F.lit(again))
-    return seen.filter(~applies).withColumn(REASON, reason).select(*_cols(rows.columns), REASON)
+    later = seen.filter(~applies).withColumn(REASON, reason).select(*columns, REASON)
+    copies = rows.select(*_cols(keys), F.struct(*_cols(order)).alias("_first")).groupBy(*_cols(keys), "_first").agg(
+        F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
+    applied = verdict.filter(is_stored if apply_if_stored else ~is_stored).join(copies, [*keys, "_first"])
+    repeated = applied.withColumn("_copy", F.explode(F.sequence(F.lit(2), "_copies")))
+    return later.unionByName(_with_reason(repeated, again).select(*columns, REASON))
 
 
 # --------------------------------------------------------------- operations
 def insert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], hot: Hot | None = None) -> Applied:
     """Add rows; a row whose key is stored or was already inserted is rejected."""
     rows, null_keys = _split_null_keys(changes, keys)
+    rows, order = _ties_parted(rows, order)
     table = insert_ignore(target, rows, keys, order)
     hot = as_hot(rows, keys, hot)
     rejects = _winner_verdict(rows, target, keys, order, hot, False, KEY_EXISTS, KEY_EXISTS)
@@ -256,6 +276,7 @@ def delete_ignore(target: DataFrame, changes: DataFrame, keys: list[str]) -> Dat
 def delete(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], hot: Hot | None = None) -> Applied:
     """Remove the listed keys; an absent (or already removed) key is rejected."""
     rows, null_keys = _split_null_keys(changes, keys)
+    rows, order = _ties_parted(rows, order)
     hot = as_hot(rows, keys, hot)
     rejects = _winner_verdict(rows, target, keys, order, hot, True, KEY_ABSENT, KEY_ABSENT)
     return Applied(delete_ignore(target, rows, keys), rejects.unionByName(null_keys))
@@ -348,20 +369,19 @@ def apply_mixed(target: DataFrame, changes: DataFrame, keys: list[str], order: l
 
 
 # ------------------------------------------------------------------- counts
-def errors_by_file(rejects: DataFrame, file: str, order: list[str], reason: str = REASON, keep: int = 10) -> DataFrame:
-    """Per source file: number of rejected rows and the first ``keep`` reasons in order.
+def errors_by_file(rejects: DataFrame, file: str, order: list[str], reason: str = REASON) -> DataFrame:
+    """Per source file: number of rejected rows, and every reason with its count, in the order they first occur.
 
-    Each task keeps at most ``keep`` rows per file before the shuffle.
+    Rows are counted by file and reason before they meet, so what comes together
+    for a file is a row per different reason.
     """
-    w = Window.partitionBy(file).orderBy(*_cols(order))
-    head = rejects.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= keep)
-    reasons = head.groupBy(file).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("_rn", F.col(reason).alias("reason")))), lambda x: x["reason"]
-        ).alias("first_reasons")
+    per = rejects.groupBy(file, F.col(f"`{reason}`").alias("_why")).agg(
+        F.min(F.struct(*_cols(order))).alias("_at"), F.count(F.lit(1)).alias("_n"))
+    listed = F.array_sort(F.collect_list(F.struct("_at", "_why", "_n")))
+    return per.groupBy(file).agg(
+        F.sum("_n").alias("rejected"),
+        F.transform(listed, lambda x: F.struct(x["_why"].alias("reason"), x["_n"].alias("row_count"))).alias("reasons"),
     )
-    totals = rejects.groupBy(file).agg(F.count(F.lit(1)).alias("rejected"))
-    return totals.join(reasons, file)
 
 
 def counts_by_op(changes: DataFrame, op: str) -> DataFrame:

@@ -72,6 +72,42 @@ def keyed_insert(spark, sf_dir):
     return _both(keyed.insert(_orders(spark, sf_dir), changes(spark, sf_dir), KEYS, ORDER))
 
 
+# every row of an order comes twice, and none of its rows is before another: one is stored, all others are rejects
+_TIED = """rows AS (SELECT l_orderkey + CASE WHEN l_linenumber = 1 THEN 0 ELSE 60000000 END AS k FROM lineitem, (VALUES (1), (2)) twice(t))"""
+
+
+def _tied(spark, sf_dir) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem")
+    key = F.col("l_orderkey") + F.when(F.col("l_linenumber") == 1, 0).otherwise(60_000_000)
+    rows = items.select(key.alias("o_orderkey"), F.col("l_extendedprice").alias("o_totalprice"), F.lit(0).alias("seq"))
+    return rows.unionByName(rows)
+
+
+def _parts(done: keyed.Applied, known: DataFrame) -> DataFrame:
+    """Rows the table gained or lost, and rows rejected."""
+    count = lambda df, part: df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("part", F.lit(part))
+    change = F.abs(F.col("row_count") - known.agg(F.count(F.lit(1))).scalar())
+    return count(done.table, "applied").withColumn("row_count", change).unionByName(count(done.rejects, "reject"))
+
+
+@query("keyed_insert_ties", f"""
+WITH {_TIED}, new AS (SELECT k FROM rows WHERE k NOT IN (SELECT o_orderkey FROM orders))
+SELECT 'applied' AS part, count(DISTINCT k) AS row_count FROM new
+UNION ALL SELECT 'reject', (SELECT count(*) FROM rows) - (SELECT count(DISTINCT k) FROM new)""")
+def keyed_insert_ties(spark, sf_dir):
+    orders = _orders(spark, sf_dir)
+    return _parts(keyed.insert(orders, _tied(spark, sf_dir), KEYS, ["seq"]), orders)
+
+
+@query("keyed_delete_ties", f"""
+WITH {_TIED}, gone AS (SELECT DISTINCT k FROM rows WHERE k IN (SELECT o_orderkey FROM orders))
+SELECT 'applied' AS part, count(*) AS row_count FROM gone
+UNION ALL SELECT 'reject', (SELECT count(*) FROM rows) - (SELECT count(*) FROM gone)""")
+def keyed_delete_ties(spark, sf_dir):
+    orders = _orders(spark, sf_dir)
+    return _parts(keyed.delete(orders, _tied(spark, sf_dir), KEYS, ["seq"]), orders)
+
+
 @query("keyed_insert_ignore", f"""
 WITH {_C} SELECT o_orderkey, o_totalprice, o_orderdate, o_orderpriority FROM orders
 UNION ALL SELECT o_orderkey, o_totalprice, o_orderdate, NULL FROM c
@@ -374,14 +410,15 @@ query("jdbc_delete", _STAGED.format("DISTINCT", ""))(_staged("DELETE"))
 
 # ------------------------------------------------------------------------ counts
 @query("errors_by_file", """
-SELECT source, count(*) AS rejected, list_extract(list(lang || ' not accepted' ORDER BY doc_id), 1) AS first_reason,
-  least(count(*), 3) AS kept FROM documents WHERE lang <> 'en' GROUP BY source""")
+WITH per AS (SELECT source, lang || ' not accepted' AS reason, count(*) AS n, min(doc_id) AS place FROM documents WHERE lang <> 'en' GROUP BY 1, 2)
+SELECT source, CAST(sum(n) AS BIGINT) AS rejected, string_agg(reason || ': ' || CAST(n AS VARCHAR), '; ' ORDER BY place) AS reasons
+FROM per GROUP BY source""")
 def errors_by_file(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang").filter(F.col("lang") != "en")
     bad = docs.withColumn(keyed.REASON, F.concat("lang", F.lit(" not accepted")))
-    out = keyed.errors_by_file(bad, "source", ["doc_id"], keep=3)
-    return out.select("source", "rejected", F.get("first_reasons", F.lit(0)).alias("first_reason"),
-                      F.size("first_reasons").cast("bigint").alias("kept"))
+    out = keyed.errors_by_file(bad, "source", ["doc_id"])
+    text = F.transform("reasons", lambda r: F.concat_ws(": ", r["reason"], r["row_count"].cast("string")))
+    return out.select("source", "rejected", F.array_join(text, "; ").alias("reasons"))
 
 
 @query("counts_by_op", f"SELECT upper({_OP}) AS operation, count(*) AS row_count FROM lineitem GROUP BY 1")

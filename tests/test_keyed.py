@@ -148,8 +148,34 @@ def test_partial_failures_by_file(spark):
     rows = spark.createDataFrame([(f, i, n) for f, ns in names.items() for i, n in enumerate(ns)], "file string, seq int, name string")
     good, bad = keyed.required_not_null(rows, ["name"])
     assert {r["file"]: r["count"] for r in good.groupBy("file").count().collect()} == {"f1": 2, "f2": 2, "f3": 3, "f4": 2}
-    errors = {r["file"]: (r["rejected"], r["first_reasons"]) for r in keyed.errors_by_file(bad, "file", ["seq"]).collect()}
-    assert errors == {f: (1, ["name must not be null"]) for f in ("f1", "f2", "f4")}
+    errors = {r["file"]: (r["rejected"], r["reasons"]) for r in keyed.errors_by_file(bad, "file", ["seq"]).collect()}
+    assert errors == {f: (1, [("name must not be null", 1)]) for f in ("f1", "f2", "f4")}
+
+
+def test_every_reason_of_a_file_is_listed(spark):
+    rows = spark.createDataFrame([("f", 40 - i, f"reason {i % 15:02d}") for i in range(40)] + [("g", 1, None)], "file string, seq int, _reason string")
+    found = {r["file"]: (r["rejected"], r["reasons"]) for r in keyed.errors_by_file(rows, "file", ["seq"]).collect()}
+    firsts = {}
+    for seq, why in sorted((40 - i, f"reason {i % 15:02d}") for i in range(40)):
+        firsts[why] = firsts.get(why, 0) + 1
+    assert found == {"f": (40, list(firsts.items())), "g": (1, [(None, 1)])} and len(firsts) == 15
+
+
+@pytest.mark.parametrize("stored", [True, False])
+def test_tied_rows_are_stored_or_rejected(spark, stored):
+    """Rows equal in key and order: one applies, each other one is a reject, copies too."""
+    target = spark.createDataFrame([(1, 0, "t", "")] if stored else [], TARGET)
+    rows = [(1, 0, 5), (1, 0, 6), (1, 0, 6), (1, 0, 5), (1, 1, 7), (2, 3, 8), (2, 3, 8), (2, 3, 8)]
+    changes = spark.createDataFrame([(seq, k, a) for k, seq, a in rows], "seq int, id bigint, a bigint").repartition(3)
+    for done, applied in ((keyed.insert(target, changes, KEYS, ORDER), 1 if stored else 2), (keyed.delete(target, changes, KEYS, ORDER), int(stored))):
+        assert abs(done.table.count() - target.count()) == applied
+        assert done.rejects.count() == len(rows) - applied
+        assert set(done.rejects.columns) == {"seq", "id", "a", keyed.REASON}
+    inserted = keyed.insert(target, changes, KEYS, ORDER)
+    kept = {(r["id"], r["a"]) for r in inserted.table.collect() if not (stored and r["id"] == 1)}
+    left = sorted((r["id"], r["seq"], r["a"]) for r in inserted.rejects.collect())
+    seq = {5: 0, 6: 0, 7: 1, 8: 3}
+    assert sorted([*left, *((k, seq[a], a) for k, a in kept)]) == sorted(rows)
 
 
 def test_all_or_nothing(spark):
