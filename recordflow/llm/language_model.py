@@ -46,8 +46,10 @@ ROWS_BITS = (13, 14)
 HOT, LONGEST_HOT = 1 << 19, 64
 #: Passes over the learned documents, tokens of a step, rate, and the sum of squares each weight starts with, so that
 #: rare rows move little.
-ROUNDS, STEP, RATE, CAUTION = 1, 4096, 0.5, 4.0
+ROUNDS, STEP, RATE, CAUTION = 1, 8192, 0.5, 4.0
 GROUP_WORDS, BLOCK = 1 << 18, 8192
+#: Logits are held within this, so that their exponentials are neither 0 nor infinite in floats.
+SPAN = 60.0
 END, START = b"", np.uint64(0x2545F4914F6CDD1D)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -171,12 +173,15 @@ class Weights:
 
     def logits(self, level: int, rows: list[np.ndarray], prior: np.ndarray) -> np.ndarray:
         table = self.tables[level]
-        out = table[rows[0]]
+        out = table.take(rows[0], axis=0)
         for r in rows[1:]:
-            out += table[r]
+            out += table.take(r, axis=0)
         out += prior
-        out -= out.max(axis=1, keepdims=True)
-        return out
+        return np.clip(out, -SPAN, SPAN, out=out)
+
+
+def row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)
 
 
 def log_probabilities(known: Vocabulary, weights: Weights, leaves: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -187,9 +192,9 @@ def log_probabilities(known: Vocabulary, weights: Weights, leaves: np.ndarray, h
     for start in range(0, len(leaves), BLOCK):
         cut = slice(start, start + BLOCK)
         for level, aim in enumerate((classes[cut], slots[cut])):
-            prior = known.slot_prior[classes[cut]] if level else known.class_prior
+            prior = known.slot_prior.take(classes[cut], axis=0) if level else known.class_prior
             z = weights.logits(level, [r[cut] for r in rows[level]], prior)
-            out[cut] += z[np.arange(len(aim)), aim] - np.log(np.exp(z).sum(axis=1))
+            out[cut] += z[np.arange(len(aim)), aim] - np.log(row_sums(np.exp(z)))
     return out / math.log(10)
 
 
@@ -209,22 +214,29 @@ class Trainer:
             cut = slice(start, start + STEP)
             for level, aim in enumerate((classes[cut], slots[cut])):
                 own = [r[cut] for r in rows[level]]
-                prior = self.known.slot_prior[classes[cut]] if level else self.known.class_prior
-                slope = np.exp(self.now.logits(level, own, prior))
-                slope /= slope.sum(axis=1, keepdims=True)
+                prior = self.known.slot_prior.take(classes[cut], axis=0) if level else self.known.class_prior
+                slope = self.now.logits(level, own, prior)
+                np.exp(slope, out=slope)
+                slope /= row_sums(slope)[:, None]
                 slope[np.arange(len(aim)), aim] -= 1
-                for r in own:
-                    self._step(level, r, slope)
+                self._step(level, np.concatenate(own), slope)
 
     def _step(self, level: int, rows: np.ndarray, slope: np.ndarray) -> None:
-        order = np.argsort(rows)
+        """A step by ``slope``, a row per token; ``rows`` names the weight rows of all tokens, feature by feature."""
+        order = np.argsort(rows.astype(np.uint16), kind="stable")  # sorted by radix; tables have at most 2^16 rows
         sorted_rows = rows[order]
+        order %= len(slope)
         first = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
-        g = np.add.reduceat(slope[order], first, axis=0)
+        # two choices are one complex number, so that a sum takes half as many additions
+        g = np.add.reduceat(slope.take(order, axis=0).view(np.complex64), first, axis=0).view(np.float32)
         at = sorted_rows[first]
-        squares = self.squares[level][at] + g * g
+        squares = self.squares[level].take(at, axis=0)
+        squares += g * g
         self.squares[level][at] = squares
-        self.now.tables[level][at] -= RATE * g / np.sqrt(squares)
+        np.sqrt(squares, out=squares)
+        g *= RATE
+        g /= squares
+        self.now.tables[level][at] = self.now.tables[level].take(at, axis=0) - g
         self.met[level][at] += np.diff(np.append(first, len(rows)))
 
     def moves(self) -> list[np.ndarray]:
@@ -235,7 +247,9 @@ class Trainer:
         return out
 
 
-def _sum(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+def _sum(a: list[np.ndarray] | None, b: list[np.ndarray] | None) -> list[np.ndarray] | None:
+    if a is None or b is None:
+        return b if a is None else a
     return [x + y for x, y in zip(a, b)]
 
 
@@ -261,9 +275,9 @@ def train(rows: DataFrame, known: Vocabulary) -> Weights:
                 yield pa.RecordBatch.from_pydict({"moves": [b"".join(a.tobytes() for a in trainer.moves())]})
 
         moved = source.mapInArrow(run, "moves binary").rdd.map(lambda r: _arrays(bytes(r.moves)))
-        if moved.isEmpty():
+        parts = moved.treeAggregate(None, _sum, _sum, depth=3)
+        if parts is None:
             break
-        parts = moved.treeReduce(_sum, depth=3)
         weights = Weights([
             old + total / np.maximum(met, 1)[:, None] for old, total, met in zip(weights.tables, parts[::2], parts[1::2])
         ])

@@ -452,6 +452,44 @@ def test_language_model_is_a_distribution():
     assert math.isclose(total, 1, rel_tol=1e-3)
 
 
+def test_language_model_step_equals_a_scalar_one():
+    random, size = np.random.default_rng(3), language_model.OWN + language_model.SHARED
+    log_shares = lambda x: np.log(x / x.sum(axis=-1, keepdims=True)).astype(np.float32)
+    priors = log_shares(random.random(32)), log_shares(random.random((32, 32)))
+    known = language_model.Vocabulary(10, 3, {b"": 3}, {b"": 0}, np.zeros(size), *priors)
+    leaves, counts = random.integers(0, size, 90), np.array([40, 1, 49])
+    hashes = random.integers(0, 1 << 63, 20).astype(np.uint64)[random.integers(0, 20, 90)]
+    trainer = language_model.Trainer(known, language_model.Weights.zero())
+    for t in trainer.now.tables:
+        t[:] = random.normal(size=t.shape)
+    tables = [t.astype(float) for t in trainer.now.tables]
+    trainer.learn(leaves, hashes, counts)
+    rows = language_model.features(hashes, counts, leaves // 32)
+    for level, (table, now) in enumerate(zip(tables, trainer.now.tables)):
+        asked = {}
+        for k, leaf in enumerate(leaves.tolist()):
+            prior = priors[1][leaf // 32] if level else priors[0]
+            own = [int(r[k]) for r in rows[level]]
+            logits = [sum(table[r][j] for r in own) + float(prior[j]) for j in range(32)]
+            mass = sum(math.exp(z) for z in logits)
+            aim = leaf % 32 if level else leaf // 32
+            for r in own:
+                asked.setdefault(r, [0.0] * 32)
+                for j, z in enumerate(logits):
+                    asked[r][j] += math.exp(z) / mass - (j == aim)
+        for r, g in asked.items():
+            for j in range(32):
+                table[r][j] -= language_model.RATE * g[j] / math.sqrt(language_model.CAUTION + g[j] ** 2)
+        assert np.allclose(table, now, atol=1e-4)
+        assert trainer.met[level].sum() == 3 * len(leaves)
+
+
+def test_language_model_gains_on_held_out_texts(spark):
+    found = language_model.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out")
+    base, own = found.agg(F.sum("base_score"), F.sum("score")).first()
+    assert own > base
+
+
 def test_pipeline_stages(spark, tmp_path):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
