@@ -12,9 +12,13 @@ pass.  Only links that join something new in the bucket leave a task.
 
 ``keep_distinct`` takes documents by similarity instead.  Documents of one set
 of five-word shingles (by a hash of 128 bits) stand for each other; a SimHash of
-256 bits over the distinct shingles proposes pairs that agree on one of
-``TABLES`` random sets of bits, and inside what the proposals connect the exact
-share of shingles in common decides for every pair.
+256 bits over the distinct shingles proposes pairs that agree on one of many
+random sets of bits, compared by the same bit planes and counters; inside what
+the proposals connect the exact share of shingles in common decides for every
+pair.  The random sets work in waves: rows that an earlier wave has joined carry
+one label, and a wave only links different labels, so a family of copies gives
+about a link a row.  Bits of a set grow with the logarithm of the rows, so that
+buckets stay small, and the number of sets grows to keep the recall.
 
 Edge cases: null and empty texts have fingerprint zero and are linked like any
 other; rows with equal texts share a fingerprint; repeated ids count as rows;
@@ -24,6 +28,7 @@ an empty result.  Casing is folded for A-Z alone.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -39,14 +44,19 @@ SHINGLE, RADIUS, SEED = 4, 4, 42
 #: For documents by similarity: words of a shingle, least share of shingles in common, words of a fingerprint, those that
 #: are compared and bits they may differ in, tables of so many random bits.  Sets of equal size that share 0.8 differ in
 #: 15.15 % of the bits; such a pair is proposed with probability 0.998.
-SIMILAR_SHINGLE, SIMILARITY, WIDE, SENT, WIDE_RADIUS, TABLES, TABLE_BITS = 5, 0.8, 4, 2, 36, 96, 14
+SIMILAR_SHINGLE, SIMILARITY, WIDE, SENT, WIDE_RADIUS = 5, 0.8, 4, 2, 36
+#: Least bits of a table, rows a bucket has on average at most beyond those, share of bits in which such sets differ, and
+#: the share of such pairs that no table proposes.
+TABLE_BITS, BUCKET, DIFFER, MISSED = 14, 8, 0.1515, 0.002
+#: Tables of the first waves, and of each later one.
+WAVES = (6, 24, 96)
 #: Rows of a component that are compared exactly at once, and rows of a large one that every block gets.
 BLOCK, SHOWN = 512, 8
 _SALTS = np.random.default_rng(42).integers(0, 1 << 64, WIDE, np.uint64)
 #: Rows compared at once, and the size from which a bucket is searched by blocks of reached rows.
 CHUNK, LARGE, QUERIES = 1 << 17, 192, 64
 #: Bit planes after which rows that are too far are left out.
-CHECKS = (20, 28, 36, 48)
+CHECKS = {64: (20, 28, 36, 48), 64 * SENT: (80, 96, 112)}
 HASHES = 1 << 16
 
 
@@ -79,7 +89,9 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
 
 
 def planes(values: np.ndarray) -> np.ndarray:
-    """64 bit planes of ``values``: word w of plane b holds bit b of rows 64w to 64w+63."""
+    """64 bit planes of ``values`` (of each of its columns): word w of plane b holds bit b of rows 64w to 64w+63."""
+    if values.ndim == 2:
+        return np.concatenate([planes(column) for column in values.T])
     n = len(values)
     padded = np.zeros(-(-n // 64) * 64, "<u8")
     padded[:n] = values
@@ -92,8 +104,8 @@ def lanes(word: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(np.ascontiguousarray(word).view(np.uint8), bitorder="little"))
 
 
-def within(diff, shape: tuple, valid: np.ndarray, radius: int) -> np.ndarray:
-    """Bits of ``valid`` whose rows differ in at most ``radius`` planes; ``diff(b, alive)`` gives plane b of the words alive.
+def within(diff, shape: tuple, valid: np.ndarray, radius: int, bits: int = 64) -> np.ndarray:
+    """Bits of ``valid`` whose rows differ in at most ``radius`` of ``bits`` planes; ``diff(b, alive)`` gives plane b of the words alive.
 
     Differences are added up in bit-sliced counters, least bit first, that
     carry into ``over``; the counters are compared with the radius bit by bit.
@@ -113,8 +125,8 @@ def within(diff, shape: tuple, valid: np.ndarray, radius: int) -> np.ndarray:
                 equal &= ~counters[k]
         return flat[alive] & ~more
 
-    for b in range(64):
-        if b in CHECKS:
+    for b in range(bits):
+        if b in CHECKS[bits]:
             keep = np.flatnonzero(near())
             alive, over, counters = alive[keep], over[keep], [c[keep] for c in counters]
         if not len(alive):
@@ -128,8 +140,10 @@ def within(diff, shape: tuple, valid: np.ndarray, radius: int) -> np.ndarray:
     return out.reshape(shape)
 
 
-def _small(fps: np.ndarray, sizes: np.ndarray, starts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Linked rows of buckets, largest bucket first, by lag."""
+def _small(
+    fps: np.ndarray, sizes: np.ndarray, starts: np.ndarray, radius: int, labels: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Linked rows of buckets, largest bucket first, by lag; rows of one label aren't compared."""
     sliced = planes(fps)
     size_of = np.repeat(sizes, sizes)
     ends = np.repeat(starts + sizes, sizes)
@@ -140,6 +154,8 @@ def _small(fps: np.ndarray, sizes: np.ndarray, starts: np.ndarray, radius: int)
         words = -(-n // 64)
         valid = np.zeros(words * 64, np.uint8)
         valid[:n] = rows[:n] + lag < ends[:n]
+        if labels is not None:
+            valid[:n] &= labels[:n] != labels[np.minimum(rows[:n] + lag, len(fps) - 1)]
         valid = np.packbits(valid, bitorder="little").view("<u8")
         skip, turn = divmod(lag, 64)
         edge = sliced.shape[1]
@@ -151,14 +167,17 @@ def _small(fps: np.ndarray, sizes: np.ndarray, starts: np.ndarray, radius: int)
                 low = (low >> np.uint64(turn)) | (sliced[b, np.minimum(at + 1, edge - 1)] << np.uint64(64 - turn))
             return sliced[b, alive] ^ low
 
-        found = lanes(within(diff, valid.shape, valid, radius))
+        found = lanes(within(diff, valid.shape, valid, radius, len(sliced)))
         left.append(found)
         right.append(found + lag)
     return np.concatenate(left), np.concatenate(right)
 
 
-def _large(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning set of links of one bucket: reached rows are compared with rows not yet reached."""
+def _large(fps: np.ndarray, radius: int, labels: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning set of links of one bucket: reached rows are compared with rows not yet reached.
+
+    Rows of the label of a reached one are reached without a link.
+    """
     left, right = [], []
     rest = np.arange(1, len(fps))
     todo = [0]
@@ -168,14 +187,20 @@ def _large(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
             rest = rest[1:]
             continue
         block, todo = todo[:QUERIES], todo[QUERIES:]
+        if labels is not None:
+            joined = np.isin(labels[rest], labels[block])
+            todo += rest[joined].tolist()
+            rest = rest[~joined]
+            if not len(rest):
+                break
         sliced = planes(fps[rest])
-        marks = ((fps[block][:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).astype(bool)
-        full = np.where(marks, np.uint64(2**64 - 1), np.uint64(0))
+        marks = np.unpackbits(fps[block].astype("<u8").view(np.uint8).reshape(len(block), -1), axis=1, bitorder="little")
+        full = np.where(marks.astype(bool), np.uint64(2**64 - 1), np.uint64(0))
         words = sliced.shape[1]
         valid = np.zeros(words * 64, np.uint8)
         valid[: len(rest)] = 1
         valid = np.tile(np.packbits(valid, bitorder="little").view("<u8"), (len(block), 1))
-        near = within(lambda b, alive: sliced[b, alive % words] ^ full[alive // words, b], valid.shape, valid, radius)
+        near = within(lambda b, alive: sliced[b, alive % words] ^ full[alive // words, b], valid.shape, valid, radius, len(sliced))
         reached = np.zeros(len(rest), bool)
         for k, q in enumerate(block):
             found = lanes(near[k])
@@ -336,72 +361,71 @@ def wide_fingerprints(rows: DataFrame) -> DataFrame:
     return rows.select("at", "doc_id", "text").mapInArrow(run, ddl)
 
 
-def random_masks() -> list[list[int]]:
-    """``TABLES`` sets of ``TABLE_BITS`` bits, each as ``WIDE`` signed words."""
+def tables_for(bits: int) -> int:
+    """How many random sets of ``bits`` bits leave out at most ``MISSED`` of the pairs that differ in each bit with ``DIFFER``."""
+    all_bits = 64 * WIDE
+    agree = [math.comb(all_bits - d, bits) / math.comb(all_bits, bits) for d in range(all_bits + 1)]
+    share = [math.comb(all_bits, d) * DIFFER**d * (1 - DIFFER) ** (all_bits - d) for d in range(all_bits + 1)]
+    tables = 1
+    while sum(s * (1 - a) ** tables for s, a in zip(share, agree)) > MISSED:
+        tables += 1
+    return tables
+
+
+def random_masks(rows: int = 0) -> list[list[int]]:
+    """Random sets of bits for so many rows, each as ``WIDE`` signed words."""
+    n_bits = max(TABLE_BITS, math.ceil(math.log2(max(rows, 1) / BUCKET)))
     random, masks = np.random.default_rng(9), []
-    for _ in range(TABLES):
+    for _ in range(tables_for(n_bits)):
         bits = np.zeros(64 * WIDE, np.uint8)
-        bits[random.choice(64 * WIDE, TABLE_BITS, replace=False)] = 1
+        bits[random.choice(64 * WIDE, n_bits, replace=False)] = 1
         masks.append(np.packbits(bits, bitorder="little").view("<i8").tolist())
     return masks
 
 
-def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.uint16) <= WIDE_RADIUS
-
-
-def wide_links(keys: np.ndarray, ats: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of near rows that connect what is near inside each bucket; ``fps`` has ``SENT`` words a row.
+def wide_links(keys: np.ndarray, labels: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of labels that connect those of near rows inside each bucket; ``fps`` has ``SENT`` words a row.
 
-    Rows are sorted by ``keys``, then ``ats``.  The least row of what is near is
-    the hub of its links, so tables whose buckets share a family mostly name the
-    same links.
+    Rows are sorted by ``keys``, then ``labels``.  The least label of what is
+    near is the hub of its links, so tables whose buckets share a family mostly
+    name the same links.
     """
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(first, len(keys)))
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for k in np.flatnonzero(sizes >= LARGE):
-        rest, todo = first[k] + np.arange(sizes[k]), []
-        while len(rest):
-            if not todo:
-                todo, rest = [int(rest[0])], rest[1:]
-            at = todo.pop(0)
-            near = _near(fps[rest], fps[at])
-            left.append(np.full(int(near.sum()), at))
-            right.append(rest[near])
-            todo += rest[near].tolist()
-            rest = rest[~near]
+        own = slice(first[k], first[k] + sizes[k])
+        a, b = _large(fps[own], WIDE_RADIUS, labels[own])
+        left.append(first[k] + a)
+        right.append(first[k] + b)
     small = np.flatnonzero((sizes > 1) & (sizes < LARGE))
     if len(small):
         small = small[np.argsort(-sizes[small], kind="stable")]
         size = sizes[small]
         starts = np.cumsum(size) - size
         rows = np.repeat(first[small] - starts, size) + np.arange(int(size.sum()))
-        own, size_of, ends = fps[rows], np.repeat(size, size), np.repeat(starts + size, size)
-        for lag in range(1, int(size[0])):
-            at = np.arange(int(np.searchsorted(-size_of, -lag)))  # rows of buckets larger than the lag come first
-            at = at[at + lag < ends[: len(at)]]
-            at = at[_near(own[at], own[at + lag])]
-            left.append(rows[at])
-            right.append(rows[at + lag])
-    a, b = np.concatenate(left), np.concatenate(right)
-    least_first = np.lexsort((b, a))
-    a, b = a[least_first], b[least_first]
-    new = _forest(len(keys), a, b) if len(a) else np.zeros(0, bool)
-    return ats[a[new]], ats[b[new]]
-
-
-def near_links(sets: DataFrame) -> DataFrame:
-    """a, b: links between rows ``at`` of ``sets`` (at, f0 to f3) that are near and agree on a mask; same components as all such links."""
+        a, b = _small(fps[rows], size, starts, WIDE_RADIUS, labels[rows])
+        left.append(rows[a])
+        right.append(rows[b])
+    names, group = np.unique(labels, return_inverse=True)
+    a, b = group[np.concatenate(left)], group[np.concatenate(right)]
+    a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    new = _forest(len(names), a, b)
+    return names[a[new]], names[b[new]]
+
+
+def near_links(sets: DataFrame, masks: list[list[int]]) -> DataFrame:
+    """a, b: links between labels of rows of ``sets`` (label, f0 to f3) that are near and agree on a mask.
+
+    With rows of one label joined, they have the same components as all such links.
+    """
     sent = [f"f{i}" for i in range(SENT)]
-    keys = [
-        F.xxhash64(F.lit(i), *[F.col(f"f{w}").bitwiseAND(F.lit(m)) for w, m in enumerate(mask)]) for i, mask in enumerate(random_masks())
-    ]
-    dealt = sets.select("at", *sent, F.explode(F.array(*keys)).alias("key")).repartition("key").sortWithinPartitions("key", "at")
+    keys = [F.xxhash64(F.lit(i), *[F.col(f"f{w}").bitwiseAND(F.lit(m)) for w, m in enumerate(mask)]) for i, mask in enumerate(masks)]
+    dealt = sets.select("label", *sent, F.explode(F.array(*keys)).alias("key")).repartition("key").sortWithinPartitions("key", "label")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def links(keys: np.ndarray, ats: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
-        a, b = wide_links(keys, ats, fps)
+    def links(keys: np.ndarray, labels: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+        a, b = wide_links(keys, labels, fps)
         return output({"a": a, "b": b}, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,7 +433,7 @@ def near_links(sets: DataFrame) -> DataFrame:
         rows = 0
         for batch in batches:
             fps = np.stack([batch.column(n).to_numpy() for n in sent], axis=1).view(np.uint64)
-            held.append((batch.column("key").to_numpy(), batch.column("at").to_numpy(), fps))
+            held.append((batch.column("key").to_numpy(), batch.column("label").to_numpy(), fps))
             rows += batch.num_rows
             if rows >= CHUNK and held[-1][0][0] != held[-1][0][-1]:
                 full = [np.concatenate(x) for x in zip(*held)]
@@ -419,7 +443,20 @@ def near_links(sets: DataFrame) -> DataFrame:
         if held:
             yield links(*[np.concatenate(x) for x in zip(*held)])
 
-    return dealt.select("key", "at", *sent).mapInArrow(run, "a long, b long").distinct()
+    return dealt.select("key", "label", *sent).mapInArrow(run, "a long, b long").distinct()
+
+
+def near_groups(sets: DataFrame) -> DataFrame:
+    """``sets`` (at, f0 to f3; saved) with label, the least ``at`` of what nearness connects."""
+    masks = random_masks(sets.count())
+    labelled, wave = sets.withColumn("label", F.col("at")), 0
+    while masks:
+        now, masks = masks[: WAVES[wave]], masks[WAVES[wave] :]
+        wave = min(wave + 1, len(WAVES) - 1)
+        found = components(near_links(labelled, now))
+        joined = labelled.join(found, F.col("label") == F.col("node"), "left").withColumn("label", F.coalesce("root", "label"))
+        labelled = saved(joined.drop("node", "root"), narrow=True)
+    return labelled
 
 
 def shared_enough(sets: list[np.ndarray], labels: np.ndarray) -> list[tuple[int, int]]:
@@ -488,7 +525,7 @@ def similar_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     rows of the component go as well; if that leaves more than one group, the
     blocks of all but the largest group are compared with all blocks.
     """
-    near = components(near_links(sets)).select(F.col("node").alias("at"), "root")
+    near = near_groups(sets).filter(F.col("label") != F.col("at")).select("at", F.col("label").alias("root"))
     near = near.union(near.select(F.col("root").alias("at"), "root")).distinct()  # roots are no nodes of their own there
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:

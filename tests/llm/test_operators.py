@@ -512,14 +512,47 @@ def test_pipeline_stages_on_messy_rows(spark, messy):
             stage(spark, frame, sf_dir).count()
 
 
-def test_tables_name_the_same_links_of_a_family():
+def family(n, most):
     draw = np.random.default_rng(1)
-    n = 1000
     bits = np.tile(draw.integers(0, 2, 64 * simhash.WIDE).astype(np.uint8), (n, 1))
     for row in bits:
-        row[draw.choice(len(row), draw.integers(1, 12), replace=False)] ^= 1
-    words = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
-    links = set()
+        row[draw.choice(len(row), draw.integers(1, most + 1), replace=False)] ^= 1
+    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+
+
+@pytest.mark.parametrize("most", [11, 22])
+def test_waves_leave_few_links_of_a_family(spark, monkeypatch, most):
+    n, links = 1000, []
+    rows = [(k, *map(int, row)) for k, row in enumerate(family(n, most).view(np.int64))]
+    sets = spark.createDataFrame(rows, "at long, f0 long, f1 long, f2 long, f3 long").checkpoint()
+    connect = simhash.components
+    monkeypatch.setattr(simhash, "components", lambda found: links.append(found.count()) or connect(found))
+    found = simhash.near_groups(sets).collect()
+    assert len(found) == n and {r.label for r in found} == {0}
+    assert sum(links) < 3 * n and len(links) == 3
+
+
+def test_tables_keep_the_recall_as_rows_grow():
+    assert len(simhash.random_masks()) == len(simhash.random_masks(100_000)) == simhash.tables_for(14)
+    masks = np.array(simhash.random_masks(1 << 24), np.int64).view(np.uint64)
+    assert {int(n) for n in np.bitwise_count(masks).sum(axis=1)} == {21} and len(masks) == simhash.tables_for(21)
+
+
+def test_wide_links_equal_brute_force():
+    words = np.concatenate([family(250, 30), family(3, 60), np.random.default_rng(4).integers(0, 1 << 63, (40, simhash.WIDE)).astype(np.uint64)])
+    fps, keys = words[:, : simhash.SENT], np.repeat(np.arange(3), [230, 43, 20])
+    labels = np.arange(len(keys)) // 2 * 2  # every other row carries the label of the one before
+    a, b = simhash.wide_links(keys, labels, fps)
+    near = lambda x, y: keys[x] == keys[y] and np.bitwise_count(fps[x] ^ fps[y]).sum() <= simhash.WIDE_RADIUS
+    expected = brute_roots(range(len(keys)), lambda x, y: labels[x] == labels[y] or near(x, y))
+    pairs = set(zip(a.tolist(), b.tolist()))
+    found = brute_roots(range(len(keys)), lambda x, y: labels[x] == labels[y] or (labels[x], labels[y]) in pairs or (labels[y], labels[x]) in pairs)
+    assert found == expected
+
+
+def test_tables_name_the_same_links_of_a_family():
+    n, links = 1000, set()
+    words = family(n, 11)
     for mask in np.array(simhash.random_masks(), np.int64).view(np.uint64):
         _, keys = np.unique(words & mask, axis=0, return_inverse=True)
         order = np.lexsort((np.arange(n), keys.ravel()))
