@@ -31,10 +31,11 @@ def packed(df: DataFrame, *names: str) -> DataFrame:
 
 
 def unpacked(df: DataFrame, like: DataFrame, *more: Column) -> DataFrame:
-    """The columns of ``like`` out of ``row``, and further ones."""
-    fields = [F.col(f"row._{i}") for i in range(len(like.columns))]
+    """The columns of ``like`` out of ``row``, and further ones, which replace columns of ``like`` of their name in any case."""
     names = [df.select(c).columns[0] for c in more]
-    return df.select(*fields, *more).toDF(*like.columns, *names)
+    taken = {n.lower() for n in names}
+    kept = [(F.col(f"row._{i}"), n) for i, n in enumerate(like.columns) if n.lower() not in taken]
+    return df.select(*[c for c, _ in kept], *more).toDF(*[n for _, n in kept], *names)
 
 
 def saved(df: DataFrame, narrow: bool = False) -> DataFrame:

@@ -321,6 +321,13 @@ def test_mixing_targets_and_copies(docs, messy):
     assert mixing.mix(empty(messy)).count() == 0
 
 
+def test_mixing_replaces_columns_of_its_own_names(docs):
+    plain = mixing.mixed_documents(docs)
+    found = mixing.mixed_documents(docs.withColumn("Mix_Copies", F.lit("old")).withColumn("mix_target", F.lit(0)))
+    assert found.columns == plain.columns
+    assert sorted((r.doc_id, r.mix_copies) for r in found.collect()) == sorted((r.doc_id, r.mix_copies) for r in plain.collect())
+
+
 def test_url_rules_and_mined_rules(spark):
     urls = [
         (1, "http://a.Example.COM/en/1"), (2, "https://www.example.com/en/1?x=1"), (3, "https://b.net/es/9#top"), (4, "http://net/fr/"),
