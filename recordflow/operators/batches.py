@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import tempfile
 import uuid
@@ -95,24 +96,51 @@ def batched_sql_render(df: DataFrame, table: str, columns: list[str], order: lis
 
 
 # ------------------------------------------------------------ limits and pages
+# rows that are looked at to guess where a page lies; the guess never changes which rows it holds
+GUESS_ROWS = 20_000
+
+
 def limit_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-# pages that reach further than this are cut by exact row numbers instead of a top-k
-TOP_ROWS = 100_000
+def _around(page: DataFrame, order: list[str], rows: int, first: int, last: int) -> tuple[Column, Column]:
+    """Conditions that hold from a little before position ``first`` and to a little behind ``last``, by a sample."""
+    at = F.struct(*[F.col(f"`{c}`") for c in order])
+    share = min(1.0, GUESS_ROWS / max(rows, 1))
+    places = page.select(at.alias("at"))
+    # without a checkpoint each of the two bounds would come from a sample of its own
+    places = (places.sample(share, 7) if share < 1 else places).checkpoint()
+    sample = places.agg(F.sort_array(F.collect_list("at")).alias("s"))
+    # six deviations of a sampled rank, and a little for ranks near the start
+    slack = lambda rank: 6 * math.sqrt(rank) + 10
+    low, high = int(first * share - slack(first * share)), int(last * share + slack(last * share))
+    above = at >= sample.select(F.get("s", F.lit(low))).scalar() if low >= 0 else F.lit(True)
+    below = at <= sample.select(F.get("s", F.lit(high))).scalar()
+    return F.coalesce(above, F.lit(True)), F.coalesce(below, F.lit(True))
 
 
 def select_page(df: DataFrame, columns: list[str], where: Column | None, order: list[str], limit: int,
-                offset: int = 0, top_rows: int = TOP_ROWS) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` in order.
-
-    A page near the top is a distributed top-k.  A page further down numbers
-    the rows over all partitions, so no task ever holds everything before it.
+                offset: int = 0) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` in order, by the same plan at every depth.
+
+    A sample of the order columns gives bounds around the page; one pass counts
+    the rows before the lower bound and up to the upper one.  Only rows between
+    the bounds are ordered, over all partitions, so neither the rows before a
+    deep page nor a long page meet in one task.  A bound that turns out to cut
+    the page is not used.
     """
     page = df if where is None else df.filter(where)
-    if offset + limit <= top_rows:
-        return page.orderBy(*order).offset(offset).limit(limit).select(*columns)
     page = page.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, *order])])
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = page.count()
+    above, below = _around(page, order, rows, offset, offset + limit)
+    seen = page.agg(F.count_if(~above).alias("before"), F.count_if(below).alias("up_to")).first()
+    before = seen["before"] if seen["before"] <= offset else 0
+    if before:
+        page = page.filter(above)
+    if seen["up_to"] >= min(offset + limit, rows):
+        page = page.filter(below)
     numbered = number_rows(page, order)
-    return numbered.filter(F.col(ROW).between(offset, offset + limit - 1)).orderBy(ROW).select(*columns)
+    start = offset - before
+    return numbered.filter(F.col(ROW).between(start, start + limit - 1)).orderBy(ROW).select(*columns)

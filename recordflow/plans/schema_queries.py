@@ -113,7 +113,7 @@ def select_page(spark, sf_dir):
 @query("select_page_deep", """
 SELECT event_id, ts FROM events ORDER BY ts, event_id LIMIT 500 OFFSET 300""")
 def select_page_deep(spark, sf_dir):
-    return batches.select_page(table(spark, sf_dir, "events"), ["event_id", "ts"], None, ["ts", "event_id"], 500, 300, top_rows=0)
+    return batches.select_page(table(spark, sf_dir, "events"), ["event_id", "ts"], None, ["ts", "event_id"], 500, 300)
 
 
 # ------------------------------------------------------------ numbered batches

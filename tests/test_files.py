@@ -181,7 +181,36 @@ def test_ties_and_copies_do_not_share_one_partition(spark):
     assert largest <= 1500
 
 
-def test_deep_and_shallow_pages_agree(spark):
-    df = spark.range(2000).select((F.col("id") * 37 % 2000).alias("v"))
-    page = lambda **kw: [r["v"] for r in batches.select_page(df, ["v"], F.col("v") >= 100, ["v"], 50, 1000, **kw).collect()]
-    assert page() == page(top_rows=0) == list(range(1100, 1150))
+@pytest.mark.parametrize("guess", [20_000, 400])
+def test_pages_at_every_depth(spark, monkeypatch, guess):
+    monkeypatch.setattr(batches, "GUESS_ROWS", guess)
+    df = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("v"), F.lit(1).alias("same"))
+    page = lambda offset, limit, where=None: [r["v"] for r in batches.select_page(df, ["v"], where, ["same", "v"], limit, offset).collect()]
+    assert page(1000, 50, F.col("v") >= 100) == list(range(1100, 1150))
+    assert page(0, 3) == [0, 1, 2] and page(12_345, 700) == list(range(12_345, 13_045))
+    assert page(19_990, 100) == list(range(19_990, 20_000)) and page(30_000, 5) == [] and page(5, 0) == []
+    assert batches.select_page(df.filter("false"), ["v"], None, ["v"], 10).count() == 0
+
+
+def test_pages_where_the_guess_fails(spark, monkeypatch):
+    wrong = lambda page, order, rows, first, last: (F.col("v") >= 50, F.col("v") <= 60)
+    monkeypatch.setattr(batches, "_around", wrong)
+    df = spark.range(200).select(F.col("id").alias("v"))
+    page = lambda offset: [r["v"] for r in batches.select_page(df, ["v"], None, ["v"], 5, offset).collect()]
+    assert page(10) == list(range(10, 15)) and page(100) == list(range(100, 105)) and page(52) == list(range(52, 57))
+
+
+def test_pages_with_nulls_come_first(spark):
+    df = spark.createDataFrame([(None,), (3,), (None,), (1,)], "v int")
+    assert [r["v"] for r in batches.select_page(df, ["v"], None, ["v"], 2, 1).collect()] == [None, 1]
+
+
+def test_pages_order_only_what_surrounds_them(spark, monkeypatch):
+    monkeypatch.setattr(batches, "GUESS_ROWS", 1000)
+    ordered = []
+    number = batches.number_rows
+    monkeypatch.setattr(batches, "number_rows", lambda df, order: (ordered.append(df.count()), number(df, order))[1])
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_000).alias("v"))
+    assert [r["v"] for r in batches.select_page(df, ["v"], None, ["v"], 10, 150_000).collect()] == list(range(150_000, 150_010))
+    assert batches.select_page(df, ["v"], None, ["v"], 10).count() == 10
+    assert ordered[0] < 100_000 and ordered[1] < 10_000
