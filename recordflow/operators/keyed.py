@@ -9,6 +9,7 @@ operation that set or cleared the key".
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -74,7 +75,15 @@ def match_existing(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataF
 
 
 def match_absent(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.join(target.select(*_cols(keys)), keys, "left_anti")
+    """Rows whose key the target lacks; a null key matches nothing.
+
+    Rows with a null key have nothing to meet, so they are spread over the
+    tasks by their content instead of sharing the one that nulls hash to.
+    """
+    plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    away = F.when(null_key(keys), F.xxhash64(*_cols(plain))).otherwise(F.lit(0))
+    stored = target.select(*_cols(keys), F.lit(0).cast("bigint").alias("_away"))
+    return rows.withColumn("_away", away).join(stored, [*keys, "_away"], "left_anti").select(*_cols(rows.columns))
 
 
 def match_all_columns(rows: DataFrame, target: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -90,53 +99,28 @@ def match_all_columns(rows: DataFrame, target: DataFrame, how: str = "left_semi"
     return rows.alias("l").join(right.alias("r"), cond, how)
 
 
-def _plan_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def _broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    text = text.strip().lower()
-    for suffix, factor in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("k", 1 << 10), ("m", 1 << 20), ("g", 1 << 30), ("b", 1)):
-        if text.endswith(suffix):
-            return int(text[: -len(suffix)]) * factor
-    return int(text)
-
-
 def merge_by_key(target: DataFrame, changes: DataFrame, keys: list[str], ignore_null: bool = False,
-                 insert_missing: bool = True, small_changes: bool | None = None) -> DataFrame:
-    """Stored rows with the columns of ``changes`` (one row per key) laid over them.
+                 insert_missing: bool = True) -> DataFrame:
+    """Stored rows with the columns of ``changes`` (one row per key) laid over them, in one join on the keys.
 
-    When Spark's own size estimate says the changes fit a broadcast, the
-    target is neither shuffled nor sorted; otherwise one full outer join on
-    the keys does all the work.
+    Spark picks the join: updates alone leave the target in place when the
+    changes fit a broadcast; with new keys both sides are shuffled once.
     """
     supplied = [c for c in changes.columns if c in target.columns and c not in keys]
-    changes = changes.select(*_cols(keys), *_cols(supplied))
-    if small_changes is None:
-        small_changes = _plan_bytes(changes) <= _broadcast_limit(changes)
     renamed = changes.select(
         *_cols(keys), *[F.col(f"`{c}`").alias(f"_n_{c}") for c in supplied], F.lit(True).alias("_changed")
     )
 
     def overlay(c: str) -> Column:
         old, new = F.col(f"`{c}`"), F.col(f"`_n_{c}`")
-        if c in keys:
-            return old
         if c not in supplied:
             return old
         if ignore_null:
             return F.coalesce(new, old).alias(c)
         return F.when(F.col("_changed"), new).otherwise(old).alias(c)
 
-    if insert_missing and not small_changes:
-        return target.join(renamed, keys, "full").select(*[overlay(c) for c in target.columns])
-    updated = target.join(renamed, keys, "left").select(*[overlay(c) for c in target.columns])
-    if not insert_missing:
-        return updated
-    known = target.select(*_cols(keys)).join(changes.select(*_cols(keys)), keys, "left_semi")
-    new_rows = changes.join(known, keys, "left_anti")
-    return updated.unionByName(new_rows, allowMissingColumns=True)
+    joined = target.join(renamed, keys, "full" if insert_missing else "left")
+    return joined.select(*[overlay(c) for c in target.columns])
 
 
 # ------------------------------------------------------------------ routing
@@ -144,7 +128,7 @@ def _with_reason(df: DataFrame, reason: str) -> DataFrame:
     return df.withColumn(REASON, F.lit(reason))
 
 
-def _null_key(keys: list[str]) -> Column:
+def null_key(keys: list[str]) -> Column:
     cond = F.lit(False)
     for k in _cols(keys):
         cond = cond | k.isNull()
@@ -160,7 +144,7 @@ def required_not_null(df: DataFrame, columns: list[str]) -> tuple[DataFrame, Dat
 
 
 def _split_null_keys(changes: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    bad = _null_key(keys)
+    bad = null_key(keys)
     return changes.filter(~bad), _with_reason(changes.filter(bad), NULL_KEY)
 
 
@@ -229,7 +213,7 @@ def insert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[s
 
 def insert_ignore(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Add only new keys; the first row of a repeated key wins, the rest are skipped."""
-    rows = changes.filter(~_null_key(keys))
+    rows = changes.filter(~null_key(keys))
     new_rows = match_absent(first_per_key(rows, keys, order), target, keys)
     return target.unionByName(project_to_target(new_rows, target), allowMissingColumns=True)
 
@@ -241,18 +225,17 @@ def _last_changes(rows: DataFrame, target: DataFrame, keys: list[str], order: li
     return latest_values_per_key(rows, keys, order, values)
 
 
-def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], ignore_null: bool = False,
-           small_changes: bool | None = None) -> Applied:
+def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], ignore_null: bool = False) -> Applied:
     """Insert or overwrite the supplied columns; the last row of a key wins."""
     rows, null_keys = _split_null_keys(changes, keys)
     last = _last_changes(rows, target, keys, order, ignore_null)
-    return Applied(merge_by_key(target, last, keys, ignore_null, small_changes=small_changes), null_keys)
+    return Applied(merge_by_key(target, last, keys, ignore_null), null_keys)
 
 
 def update_ignore(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str],
                   ignore_null: bool = False) -> DataFrame:
     """Overwrite the supplied columns of stored keys; other rows are skipped."""
-    last = _last_changes(changes.filter(~_null_key(keys)), target, keys, order, ignore_null)
+    last = _last_changes(changes.filter(~null_key(keys)), target, keys, order, ignore_null)
     return merge_by_key(target, last, keys, ignore_null, insert_missing=False)
 
 
@@ -269,7 +252,7 @@ def update(target: DataFrame, changes: DataFrame, keys: list[str], order: list[s
 
 def delete_ignore(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Remove the listed keys."""
-    gone = changes.select(*_cols(keys)).filter(~_null_key(keys)).distinct()
+    gone = changes.select(*_cols(keys)).filter(~null_key(keys)).distinct()
     return target.join(gone, keys, "left_anti")
 
 
@@ -316,11 +299,12 @@ def classify_mixed(target: DataFrame, changes: DataFrame, keys: list[str], order
 
 def apply_mixed(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], op: str,
                 ignore_null: bool = False, operations: tuple[str, ...] = ALL_OPERATIONS,
-                ranges: Ranges | None = None) -> Applied:
+                ranges: Ranges | None = None, watch: Callable[[DataFrame], DataFrame] | None = None) -> Applied:
     """Rows that each carry their own operation, applied in order.
 
     The final row of a key is its last effective write after its last delete,
     so one aggregate per key gives the result for any number of changes.
+    ``watch`` may observe the marked change rows on their way into the table.
     """
     rows, null_keys = _split_null_keys(changes, keys)
     rows, unknown = op_from_column(rows, op, operations)
@@ -343,7 +327,8 @@ def apply_mixed(target: DataFrame, changes: DataFrame, keys: list[str], order: l
     else:
         row = F.struct(at.alias("at"), *[F.col(f"`{c}`").alias(c) for c in supplied])
         aggregates.append(F.max_by(row, F.when(writes, at)).alias("_w"))
-    summary = marked.groupBy(*_cols(keys)).agg(*aggregates).withColumn("_changed", F.lit(True))
+    seen = marked if watch is None else watch(marked)
+    summary = seen.groupBy(*_cols(keys)).agg(*aggregates).withColumn("_changed", F.lit(True))
 
     stored = target.withColumn("_stored", F.lit(True))
     both = stored.join(summary, keys, "full")

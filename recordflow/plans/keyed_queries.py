@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from recordflow.functions import casts, timestamps as ts
 from recordflow.operators import keyed
+from recordflow.operators.batches import shared_dir
 from recordflow.operators.ingest import to_target_rows
+from recordflow.operators.load import load_whole
 from recordflow.plans.registry import query, table
-from recordflow.sources import jdbc
+from recordflow.sources import jdbc, parquet
 
 KEYS = ["o_orderkey"]
 ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -190,25 +192,26 @@ def keyed_delete_ignore(spark, sf_dir):
 # ----------------------------------------------------------- all or nothing
 @query("all_or_nothing", f"""
 WITH {_C}, last AS (SELECT * FROM c WHERE rn = n AND o_orderkey IS NOT NULL)
-SELECT 'refused' AS part, o_orderkey, o_totalprice, o_orderdate, o_orderpriority FROM orders
-UNION ALL SELECT 'accepted', coalesce(l.o_orderkey, o.o_orderkey),
+SELECT 'insert' AS part, o_orderkey, o_totalprice, o_orderdate, o_orderpriority,
+  (SELECT count(*) FROM c WHERE o_orderkey IS NULL OR rn > 1 OR o_orderkey IN (SELECT o_orderkey FROM orders)) AS rejected FROM orders
+UNION ALL SELECT 'upsert', o_orderkey, o_totalprice, o_orderdate, o_orderpriority, (SELECT count(*) FROM c WHERE o_orderkey IS NULL) FROM orders
+UNION ALL SELECT 'upsert of good rows', coalesce(l.o_orderkey, o.o_orderkey),
   CASE WHEN l.o_orderkey IS NOT NULL THEN l.o_totalprice ELSE o.o_totalprice END,
-  CASE WHEN l.o_orderkey IS NOT NULL THEN l.o_orderdate ELSE o.o_orderdate END, o.o_orderpriority
+  CASE WHEN l.o_orderkey IS NOT NULL THEN l.o_orderdate ELSE o.o_orderdate END, o.o_orderpriority, 0
 FROM orders o FULL JOIN last l ON l.o_orderkey = o.o_orderkey""")
 def all_or_nothing(spark, sf_dir):
-    """An insert with rejects leaves the table as it was; an upsert without any goes through."""
-    stored = _orders(spark, sf_dir)
-    rows = changes(spark, sf_dir).filter(F.col("o_orderkey").isNotNull())
-
-    def outcome(applied: keyed.Applied) -> tuple[str, DataFrame]:
-        try:
-            return "accepted", keyed.all_or_nothing(applied)
-        except keyed.RejectedRows:
-            return "refused", stored
-
-    parts = [outcome(keyed.insert(stored, rows, KEYS, ORDER)), outcome(keyed.upsert(stored, rows, KEYS, ORDER))]
-    return parts[0][1].select(F.lit(parts[0][0]).alias("part"), *_OUT).unionByName(
-        parts[1][1].select(F.lit(parts[1][0]).alias("part"), *_OUT))
+    """Loads with rejects leave the stored table as it was; one without any goes through."""
+    rows = changes(spark, sf_dir)
+    good, _ = keyed.required_not_null(rows, KEYS)
+    path = shared_dir(spark)
+    parts = []
+    for name, operation, sent in (("insert", keyed.INSERT, rows), ("upsert", keyed.UPSERT, rows), ("upsert of good rows", keyed.UPSERT, good)):
+        # each load meets a table of its own, as the query shows all three afterwards
+        own = f"{path}/{len(parts)}"
+        parquet.parquet_write(_orders(spark, sf_dir).select(*_OUT), own)
+        loaded = load_whole(spark, own, sent, KEYS, ORDER, operation)
+        parts.append(spark.read.parquet(own).select(F.lit(name).alias("part"), *_OUT, F.lit(loaded.rejected).cast("bigint").alias("rejected")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 # ------------------------------------------------------------ mixed operations

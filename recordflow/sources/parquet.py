@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
@@ -92,10 +93,12 @@ def replace_folder(spark: SparkSession, new: str, path: str) -> None:
 
 
 def parquet_write(df: DataFrame, path: str, overwrite: bool = True, legacy_lists: bool = False,
-                  partition_by: list[str] | None = None, max_records_per_file: int = 0, **options) -> None:
+                  partition_by: list[str] | None = None, max_records_per_file: int = 0,
+                  check: Callable[[], None] | None = None, **options) -> None:
     """Write Parquet files.  An overwrite fills a folder beside the target, then swaps them.
 
     So a write that fails leaves the old files, and ``df`` may read what it replaces.
+    ``check`` runs between filling and swapping; if it raises, the old files stay.
     """
     spark = df.sparkSession
     parent, slash, name = path.rstrip("/").rpartition("/")
@@ -109,6 +112,8 @@ def parquet_write(df: DataFrame, path: str, overwrite: bool = True, legacy_lists
     try:
         with session_setting(spark, "spark.sql.parquet.writeLegacyFormat", str(legacy_lists).lower()):
             writer.parquet(aside)
+        if check is not None:
+            check()
         if overwrite:
             replace_folder(spark, aside, path)
     except Exception:

@@ -108,11 +108,10 @@ def test_single_operations_equal_the_fold(spark, hot):
 
 
 @pytest.mark.parametrize("ignore_null", [False, True])
-@pytest.mark.parametrize("small", [True, False])
-def test_upsert_both_join_forms(spark, small, ignore_null):
+def test_upsert_equals_a_fold(spark, ignore_null):
     target, rows, t, c = make(spark, 6)
     want, rejected = fold(target, rows, ignore_null, op=UPSERT)
-    done = keyed.upsert(t, c.drop("op"), KEYS, ORDER, ignore_null, small_changes=small)
+    done = keyed.upsert(t, c.drop("op"), KEYS, ORDER, ignore_null)
     assert table_of(done.table) == want and seqs(done.rejects) == rejected
 
 
