@@ -15,6 +15,8 @@ no rule is mined; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -63,35 +65,78 @@ def tokens() -> Column:
     return F.array_distinct(named)
 
 
+def _token_table(baskets: DataFrame, least: int) -> DataFrame:
+    """token, n (pages), sure (its only verdict, else null), group (least token on just the same pages): tokens on enough pages of a verdict."""
+    at = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "id"))
+    per = baskets.select("id", "verdict", F.explode("tokens").alias("token")).groupBy("token", "verdict").agg(
+        F.count(F.lit(1)).alias("n"), at(1).alias("x"), at(2).alias("y"))
+    whole = per.groupBy("token").agg(
+        F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("verdict", F.struct("n", "verdict")).alias("verdict"),
+        F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    often = saved(whole.filter(F.col("most") >= least))
+    same = ["n", "x", "y"]
+    groups = often.groupBy(*same).agg(F.min("token").alias("group"))
+    return saved(often.join(groups, same).select("token", "n", F.when(F.col("most") == F.col("n"), F.col("verdict")).alias("sure"), "group"))
+
+
+def _rarest(rules: DataFrame, known: DataFrame) -> DataFrame:
+    """The rules with ``rarest``, their token on the fewest pages, by which others look them up."""
+    spread = rules.select("*", F.explode("rule_tokens").alias("token")).join(known.select("token", "n"), "token")
+    return spread.groupBy(*rules.columns).agg(F.min_by("token", F.struct("n", "token")).alias("rarest"))
+
+
+def _spelled_out(rules: DataFrame, known: DataFrame) -> DataFrame:
+    """Each rule of group names as all rules with one token of each of its groups."""
+    members = known.groupBy("group").agg(F.collect_list("token").alias("members"))
+    parts = rules.select("*", F.explode("rule_tokens").alias("group")).join(members, "group")
+    lists = parts.groupBy(*rules.columns).agg(F.collect_list("members").alias("lists"))
+    longer = lambda made, more: F.flatten(F.transform(made, lambda m: F.transform(more, lambda t: F.array_append(m, t))))
+    nothing = F.expr("array(cast(array() as array<string>))")
+    combined = lists.withColumn("one", F.explode(F.aggregate("lists", nothing, longer)))
+    return combined.select(F.array_sort("one").alias("rule_tokens"), *[c for c in rules.columns if c != "rule_tokens"])
+
+
 def mine(labelled: DataFrame) -> DataFrame:
-    """rule_tokens, verdict, confidence, support, rarest of the rules kept; ``labelled`` has tokens and verdict."""
+    """rule_tokens, verdict, confidence, support, rarest of the rules kept; ``labelled`` has tokens and verdict.
+
+    Two kinds of tokens would fill FP-growth's table with combinations that are
+    redundant anyway, and are taken out first.  A token that all its pages of
+    one verdict share is a rule of confidence 1, so no longer rule needs it.
+    Tokens on the very same pages (by 128 bits of hash) add nothing to each
+    other: one stands for them all, and its rules are spelled out afterwards.
+    """
     spark = labelled.sparkSession
-    baskets = saved(labelled.select(F.array_append("tokens", F.concat(F.lit("verdict:"), "verdict")).alias("items")))
+    baskets = saved(labelled.select("tokens", "verdict", F.monotonically_increasing_id().alias("id")))
     ddl = "rule_tokens array<string>, verdict string, confidence double, support double, rarest string"
-    if baskets.isEmpty():
+    pages = baskets.count()
+    if not pages:
         return spark.createDataFrame([], ddl)
-    model = FPGrowth(itemsCol="items", minSupport=SUPPORT, minConfidence=CONFIDENCE).fit(baskets)
+    known = _token_table(baskets, math.ceil(SUPPORT * pages))
+    sure = known.filter("sure is not null").select(
+        F.array("token").alias("rule_tokens"), F.col("sure").alias("verdict"), F.lit(1.0).alias("confidence"),
+        (F.col("n") / pages).alias("support"), F.col("token").alias("rarest"))
+    unsure = known.filter("sure is null")
+    rows = baskets.select("id", "verdict", F.explode_outer("tokens").alias("token")).join(
+        unsure.select("token", "group"), "token", "left")
+    items = F.array_append(F.collect_set("group"), F.concat(F.lit("verdict:"), "verdict"))
+    model = FPGrowth(itemsCol="items", minSupport=SUPPORT, minConfidence=CONFIDENCE).fit(
+        saved(rows.groupBy("id", "verdict").agg(items.alias("items"))))
     implied = model.associationRules.filter(
         F.col("consequent")[0].startswith("verdict:") & ~F.exists("antecedent", lambda x: x.startswith("verdict:"))
     )
-    rules = saved(implied.select(
+    rules = saved(_rarest(implied.select(
         F.array_sort("antecedent").alias("rule_tokens"), F.substring(F.col("consequent")[0], len("verdict:") + 1, 20).alias("verdict"),
         "confidence", "support",
-    ))
-    # a rule is redundant when some of its tokens imply the same as surely; such a smaller rule is found by its first token
-    shorter = rules.select(F.col("rule_tokens").alias("sub"), F.col("verdict").alias("v"), F.col("confidence").alias("c"))
-    shorter = shorter.withColumn("part", F.col("sub")[0])
+    ), unsure))
+    # a rule is redundant when some of its tokens imply the same as surely; such a smaller rule is found by its rarest token
+    shorter = rules.select(F.col("rule_tokens").alias("sub"), F.col("verdict").alias("v"), F.col("confidence").alias("c"), F.col("rarest").alias("part"))
     less = rules.filter(F.size("rule_tokens") > 1).select("*", F.explode("rule_tokens").alias("part"))
     redundant = less.join(shorter, "part").filter(
         (F.col("verdict") == F.col("v")) & (F.col("c") >= F.col("confidence")) & (F.size("sub") < F.size("rule_tokens"))
         & (F.size(F.array_except("sub", "rule_tokens")) == 0)
     )
     kept = rules.join(redundant.select("rule_tokens", "verdict").distinct(), ["rule_tokens", "verdict"], "left_anti")
-    single = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    spread = kept.select("*", F.explode("rule_tokens").alias("token")).join(single, "token")
-    return saved(
-        spread.groupBy("rule_tokens", "verdict", "confidence", "support").agg(F.min_by("token", F.struct("freq", "token")).alias("rarest"))
-    )
+    return saved(_rarest(_spelled_out(kept.drop("rarest"), unsure), unsure).unionByName(sure))
 
 
 def judge(pages: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:

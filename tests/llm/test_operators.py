@@ -1,7 +1,9 @@
 """The operators for training text against brute force, and on messy tables."""
 
 import hashlib
+import itertools
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -355,6 +357,46 @@ def test_url_rules_of_four_tokens(spark):
     assert ["a", "b", "c", "d"] in [r.rule_tokens for r in found if r.verdict == "block"]
 
 
+def brute_rules(rows):
+    """Kept rules by counting every set of tokens that some page holds."""
+    held = Counter()
+    for tokens, verdict in rows:
+        for k in range(1, len(tokens) + 1):
+            for part in itertools.combinations(sorted(tokens), k):
+                held[part, verdict] += 1
+                held[part, None] += 1
+    least = math.ceil(url_filters.SUPPORT * len(rows))
+    rules = {(p, v): n / held[p, None] for (p, v), n in held.items() if v and n >= least and n / held[p, None] >= url_filters.CONFIDENCE}
+    redundant = lambda p, v, c: any(
+        rules.get((q, v), -1) >= c for k in range(1, len(p)) for q in itertools.combinations(p, k))
+    return {(p, v, c, held[p, v] / len(rows)) for (p, v), c in rules.items() if not redundant(p, v, c)}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_mined_rules_equal_brute_force(spark, monkeypatch, seed):
+    monkeypatch.setattr(url_filters, "SUPPORT", 0.03)
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(120):
+        tokens = {t for t in "abcdef" if rng.random() < 0.5}
+        tokens |= {"same1", "same2"} if "a" in tokens else set()       # on the very pages of a
+        tokens |= {"all1", "all2"} | ({"sure"} if {"b", "c"} <= tokens else set())
+        block = {"b", "c"} <= tokens or ({"a", "d"} <= tokens and rng.random() < 0.9)
+        rows.append((sorted(tokens), "block" if block else "allow"))
+    rows.append(([], "allow"))
+    found = url_filters.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string")).collect()
+    assert {(tuple(r.rule_tokens), r.verdict, r.confidence, r.support) for r in found} == brute_rules(rows)
+    assert len(found) == len(brute_rules(rows)) and all(r.rarest in r.rule_tokens for r in found)
+
+
+def test_many_tokens_that_all_pages_share(spark):
+    many = [f"t{i}" for i in range(30)]
+    rows = [(many, "block") for _ in range(400)] + [([*many, "odd"], "allow") for _ in range(40)]
+    found = url_filters.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string")).collect()
+    assert sorted((r.rule_tokens, r.verdict, r.confidence) for r in found) == sorted(
+        [([t], "block", 400 / 440) for t in many] + [(["odd"], "allow", 1.0)])
+
+
 def brute_repeats(words):
     windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
     hit = {i + d for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for d in range(3)}
