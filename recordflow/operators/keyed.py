@@ -124,7 +124,7 @@ def merge_by_key(target: DataFrame, changes: DataFrame, keys: list[str], ignore_
 
 
 # ------------------------------------------------------------------ routing
-def _with_reason(df: DataFrame, reason: str) -> DataFrame:
+def with_reason(df: DataFrame, reason: str) -> DataFrame:
     return df.withColumn(REASON, F.lit(reason))
 
 
@@ -143,16 +143,16 @@ def required_not_null(df: DataFrame, columns: list[str]) -> tuple[DataFrame, Dat
     return marked.filter(F.col(REASON).isNull()).drop(REASON), marked.filter(F.col(REASON).isNotNull())
 
 
-def _split_null_keys(changes: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+def split_null_keys(changes: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     bad = null_key(keys)
-    return changes.filter(~bad), _with_reason(changes.filter(bad), NULL_KEY)
+    return changes.filter(~bad), with_reason(changes.filter(bad), NULL_KEY)
 
 
 def op_from_column(df: DataFrame, column: str, operations: tuple[str, ...] = ROW_OPERATIONS) -> tuple[DataFrame, DataFrame]:
     """Upper-case the operation column; rows with any other value are rejected."""
     up = df.withColumn(column, F.upper(F.col(f"`{column}`")))
     ok = F.coalesce(F.col(f"`{column}`").isin(list(operations)), F.lit(False))
-    return up.filter(ok), _with_reason(up.filter(~ok), BAD_OPERATION)
+    return up.filter(ok), with_reason(up.filter(~ok), BAD_OPERATION)
 
 
 def project_to_target(df: DataFrame, target: DataFrame) -> DataFrame:
@@ -197,13 +197,13 @@ def _winner_verdict(rows: DataFrame, target: DataFrame, keys: list[str], order:
         F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
     applied = verdict.filter(is_stored if apply_if_stored else ~is_stored).join(copies, [*keys, "_first"])
     repeated = applied.withColumn("_copy", F.explode(F.sequence(F.lit(2), "_copies")))
-    return later.unionByName(_with_reason(repeated, again).select(*columns, REASON))
+    return later.unionByName(with_reason(repeated, again).select(*columns, REASON))
 
 
 # --------------------------------------------------------------- operations
 def insert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], hot: Hot | None = None) -> Applied:
     """Add rows; a row whose key is stored or was already inserted is rejected."""
-    rows, null_keys = _split_null_keys(changes, keys)
+    rows, null_keys = split_null_keys(changes, keys)
     rows, order = _ties_parted(rows, order)
     table = insert_ignore(target, rows, keys, order)
     hot = as_hot(rows, keys, hot)
@@ -227,7 +227,7 @@ def _last_changes(rows: DataFrame, target: DataFrame, keys: list[str], order: li
 
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], ignore_null: bool = False) -> Applied:
     """Insert or overwrite the supplied columns; the last row of a key wins."""
-    rows, null_keys = _split_null_keys(changes, keys)
+    rows, null_keys = split_null_keys(changes, keys)
     last = _last_changes(rows, target, keys, order, ignore_null)
     return Applied(merge_by_key(target, last, keys, ignore_null), null_keys)
 
@@ -242,11 +242,11 @@ def update_ignore(target: DataFrame, changes: DataFrame, keys: list[str], order:
 def update(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], ignore_null: bool = False,
            hot: Hot | None = None) -> Applied:
     """Overwrite the supplied columns of stored keys; a row with an absent key is rejected."""
-    rows, null_keys = _split_null_keys(changes, keys)
+    rows, null_keys = split_null_keys(changes, keys)
     table = update_ignore(target, rows, keys, order, ignore_null)
     stored = target.select(*_cols(keys))
     hot = as_hot(rows, keys, hot)
-    absent = _with_reason(salted_lookup(rows, stored, keys, order, hot, "left_anti"), KEY_ABSENT)
+    absent = with_reason(salted_lookup(rows, stored, keys, order, hot, "left_anti"), KEY_ABSENT)
     return Applied(table, absent.select(*_cols(rows.columns), REASON).unionByName(null_keys))
 
 
@@ -258,7 +258,7 @@ def delete_ignore(target: DataFrame, changes: DataFrame, keys: list[str]) -> Dat
 
 def delete(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], hot: Hot | None = None) -> Applied:
     """Remove the listed keys; an absent (or already removed) key is rejected."""
-    rows, null_keys = _split_null_keys(changes, keys)
+    rows, null_keys = split_null_keys(changes, keys)
     rows, order = _ties_parted(rows, order)
     hot = as_hot(rows, keys, hot)
     rejects = _winner_verdict(rows, target, keys, order, hot, True, KEY_ABSENT, KEY_ABSENT)
@@ -306,7 +306,7 @@ def apply_mixed(target: DataFrame, changes: DataFrame, keys: list[str], order: l
     so one aggregate per key gives the result for any number of changes.
     ``watch`` may observe the marked change rows on their way into the table.
     """
-    rows, null_keys = _split_null_keys(changes, keys)
+    rows, null_keys = split_null_keys(changes, keys)
     rows, unknown = op_from_column(rows, op, operations)
     marked = classify_mixed(target, rows, keys, order, op, ranges)
 

@@ -290,6 +290,18 @@ def parquet_write_int96(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+@query("parquet_write_int96_columns", "SELECT event_id, ts, ts + INTERVAL 1 HOUR AS later FROM events")
+def parquet_write_int96_columns(spark, sf_dir):
+    """One zoned column stored as INT96, the other not; both come back as the instants they were."""
+    path = shared_dir(spark)
+    ts_column = F.col("ts").cast("timestamp")
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", ts_column.alias("ts"), (ts_column + F.expr("INTERVAL 1 HOUR")).alias("later"))
+    parquet.parquet_write_int96(rows, path, columns=["ts"])
+    back = parquet.read_zoned(spark, path)
+    return back.select("event_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("ts", "later")])
+
+
 def _parts(spark, sf_dir) -> str:
     """Customers and suppliers as files of two folders, with different columns."""
     path = shared_dir(spark)

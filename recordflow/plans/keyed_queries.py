@@ -392,23 +392,26 @@ def null_safe_match(spark, sf_dir):
 
 
 # ------------------------------------------------ rows staged for a database write
-# The database half is one statement; what Spark computes is the staged rows.
+# The database half is one statement; what Spark computes is the staged rows and the rejects.
 def _staged(operation: str):
     def run(spark, sf_dir):
         info = jdbc.TableInfo(["O_ORDERKEY", "O_TOTALPRICE", "O_ORDERDATE"], ["O_ORDERKEY"], ["O_ORDERKEY"])
-        rows = changes(spark, sf_dir).filter(F.col("o_orderkey").isNotNull())
-        db = jdbc.Database("jdbc:none:")
-        return jdbc.plan_write(rows, db, '"ORDERS"', info, operation, ORDER).rows
+        plan = jdbc.plan_write(changes(spark, sf_dir), jdbc.Database("jdbc:none:"), '"ORDERS"', info, operation, ORDER)
+        return plan.rows.withColumn("reason", F.lit(None).cast("string")).unionByName(
+            plan.rejects.withColumnRenamed(keyed.REASON, "reason"))
 
     return run
 
 
-_STAGED = f"WITH {_C} SELECT {{}} o_orderkey AS \"O_ORDERKEY\", o_totalprice AS \"O_TOTALPRICE\", o_orderdate AS \"O_ORDERDATE\" FROM c WHERE o_orderkey IS NOT NULL {{}}"
-query("jdbc_insert", _STAGED.format("", ""))(_staged("INSERT"))
-query("jdbc_update", _STAGED.format("", "AND rn = n"))(_staged("UPDATE"))
-query("jdbc_upsert", _STAGED.format("", "AND rn = n"))(_staged("UPSERT"))
-query("jdbc_insert_ignore", _STAGED.format("", "AND rn = 1"))(_staged("INSERT_IGNORE"))
-query("jdbc_delete", _STAGED.format("DISTINCT", ""))(_staged("DELETE"))
+_ROW = 'o_orderkey AS "O_ORDERKEY", o_totalprice AS "O_TOTALPRICE", o_orderdate AS "O_ORDERDATE"'
+_ALL_STAGED = f"WITH {_C} SELECT {{}} {_ROW}, NULL AS reason FROM c"
+_WINNERS_STAGED = f"""WITH {_C} SELECT {_ROW}, NULL AS reason FROM c WHERE o_orderkey IS NOT NULL AND {{}}
+UNION ALL SELECT {_ROW}, 'key must not be null' FROM c WHERE o_orderkey IS NULL"""
+query("jdbc_insert", _ALL_STAGED.format(""))(_staged("INSERT"))
+query("jdbc_update", _WINNERS_STAGED.format("rn = n"))(_staged("UPDATE"))
+query("jdbc_upsert", _WINNERS_STAGED.format("rn = n"))(_staged("UPSERT"))
+query("jdbc_insert_ignore", _WINNERS_STAGED.format("rn = 1"))(_staged("INSERT_IGNORE"))
+query("jdbc_delete", _ALL_STAGED.format("DISTINCT"))(_staged("DELETE"))
 
 
 # ------------------------------------------------------------------------ counts

@@ -241,17 +241,24 @@ def resolve_keys(info: TableInfo, update_keys: list[str] | None) -> list[str]:
 
 @dataclass
 class WritePlan:
-    """Rows to stage and the one statement that applies them."""
+    """Rows to stage, the one statement that applies them, and the rows that cannot be matched by key."""
 
     rows: DataFrame
     staging: str
     statement: str
+    rejects: DataFrame
 
 
 def plan_write(df: DataFrame, db: Database, target: str, info: TableInfo, operation: str, order: list[str] = (),
                update_keys: list[str] | None = None, extra: str = "ignore", missing: str = "fail",
                staging: str | None = None) -> WritePlan:
-    """Check columns, keep the row of each key that wins, and build the set statement."""
+    """Check columns, keep the row of each key that wins, and build the set statement.
+
+    Operations that pick a winner per key reject rows with a null key, which
+    would otherwise count as rows of one key.  Rows of ``INSERT`` and ``DELETE``
+    are all staged: the table's constraints decide about the former, and the
+    latter matches null with null where the table allows nulls.
+    """
     d, op = db.dialect, operation.upper()
     if op not in d.operations:
         raise ValueError(f"{op} is not supported by {d.name}")
@@ -265,19 +272,21 @@ def plan_write(df: DataFrame, db: Database, target: str, info: TableInfo, operat
     columns = [known[match_name(c)] for c in kept]
     staging = staging or f"RF_{uuid.uuid4().hex[:16].upper()}"
     staged = d.table(staging)
+    none = keyed.with_reason(rows.select(*columns).limit(0), keyed.NULL_KEY)
     if op == INSERT:
-        return WritePlan(rows.select(*columns), staging, d.insert(target, staged, columns))
+        return WritePlan(rows.select(*columns), staging, d.insert(target, staged, columns), none)
     if op == DELETE:
-        return WritePlan(rows.select(*columns).distinct(), staging, d.delete(target, staged, columns, info.nullable or None))
+        return WritePlan(rows.select(*columns).distinct(), staging, d.delete(target, staged, columns, info.nullable or None), none)
     keys = resolve_keys(info, update_keys)
     absent = [k for k in keys if k not in columns]
     if absent:
         raise ValueError(f"the input lacks the key columns {absent}")
+    rows, rejects = keyed.split_null_keys(rows, keys)
     if order:
         pick = keyed.first_per_key if op == INSERT_IGNORE else keyed.latest_per_key
         rows = pick(rows, keys, list(order))
     build = {UPDATE: d.update, UPSERT: d.upsert, INSERT_IGNORE: d.insert_ignore}[op]
-    return WritePlan(rows.select(*columns), staging, build(target, staged, columns, keys))
+    return WritePlan(rows.select(*columns), staging, build(target, staged, columns, keys), rejects.select(*columns, keyed.REASON))
 
 
 def _connect(spark: SparkSession, db: Database):

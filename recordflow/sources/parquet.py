@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from recordflow.functions.timestamps import parse_timestamp_columns
 from recordflow.functions.values import data_size_bytes
@@ -123,13 +123,52 @@ def parquet_write(df: DataFrame, path: str, overwrite: bool = True, legacy_lists
         raise
 
 
-def parquet_write_int96(df: DataFrame, path: str, int96: bool = True, **kw) -> None:
-    """Zoned timestamps stored as INT96 (or as microseconds); the layout holds for the whole write."""
+# marks a column that was zoned before it was stored as UTC wall clock
+STORED_ZONED = "recordflow.zoned"
+
+
+def parquet_write_int96(df: DataFrame, path: str, int96: bool = True, columns: list[str] | None = None, **kw) -> None:
+    """Zoned timestamps stored as INT96: all of them, the named ``columns`` alone, or none.
+
+    Spark sets the layout of zoned timestamps for a whole write.  So with
+    ``columns`` the others are stored as INT64 wall clock in UTC, with a mark in
+    the column's metadata, by which :func:`read_zoned` turns them back.
+    """
     kind = "INT96" if int96 else "TIMESTAMP_MICROS"
+    if int96 and columns is not None:
+        zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
+        unknown = [c for c in columns if c not in zoned]
+        if unknown:
+            raise ValueError(f"not zoned timestamp columns: {unknown}")
+        df = df.select(*[
+            _utc_wall_clock(F.col(f"`{f.name}`")).alias(f.name, metadata={**(f.metadata or {}), STORED_ZONED: True})
+            if f.name in zoned and f.name not in columns else F.col(f"`{f.name}`")
+            for f in df.schema.fields
+        ])
     with session_setting(df.sparkSession, "spark.sql.parquet.outputTimestampType", kind):
         parquet_write(df, path, **kw)
 
 
+def _utc_wall_clock(c: Column) -> Column:
+    """The instant as wall clock in UTC, whatever the session's zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+def read_zoned(spark: SparkSession, *paths: str) -> DataFrame:
+    """A Parquet scan in which marked UTC wall-clock columns are zoned timestamps again."""
+    df = spark.read.parquet(*paths)
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+    def back(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if not (f.metadata or {}).get(STORED_ZONED):
+            return c
+        plain = {k: v for k, v in f.metadata.items() if k != STORED_ZONED}
+        return F.timestamp_micros(F.timestamp_diff("MICROSECOND", start, c)).alias(f.name, metadata=plain)
+
+    return df.select(*[back(f) for f in df.schema.fields])
+
+
 def parquet_write_ts_format(df: DataFrame, path: str, columns: list[str], patterns: dict[str, str] | None = None,
                             props: dict[str, str] | None = None, hours: int = 0, **kw) -> DataFrame:
     """Parse text columns by their patterns, shift by whole hours, write; returns the rejected rows.

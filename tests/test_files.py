@@ -214,3 +214,24 @@ def test_pages_order_only_what_surrounds_them(spark, monkeypatch):
     assert [r["v"] for r in batches.select_page(df, ["v"], None, ["v"], 10, 150_000).collect()] == list(range(150_000, 150_010))
     assert batches.select_page(df, ["v"], None, ["v"], 10).count() == 10
     assert ordered[0] < 100_000 and ordered[1] < 10_000
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_int96_by_column(spark, tmp_path, zone):
+    times = [0, 1_710_052_200_123_456, 1_730_610_000_000_001, -7_000_000_000_000_000, None]  # around both changes of the clock
+    df = spark.createDataFrame([(t,) for t in times], "t long").select(
+        F.timestamp_micros("t").alias("a"), F.timestamp_micros("t").alias("b", metadata={"format": "x"}), "t")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        parquet.parquet_write_int96(df.coalesce(1), str(tmp_path / "z"), columns=["a"])
+        back = parquet.read_zoned(spark, str(tmp_path / "z"))
+        assert dict(back.dtypes) == {"a": "timestamp", "b": "timestamp", "t": "bigint"} and back.schema["b"].metadata == {"format": "x"}
+        assert back.filter(~(F.unix_micros("a").eqNullSafe(F.col("t")) & F.unix_micros("b").eqNullSafe(F.col("t")))).count() == 0
+        assert back.count() == len(times)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    schema = pq.ParquetFile(first_file(tmp_path / "z")).schema
+    assert [schema.column(i).physical_type for i in range(2)] == ["INT96", "INT64"]
+    with pytest.raises(ValueError, match="not zoned"):
+        parquet.parquet_write_int96(df, str(tmp_path / "y"), columns=["t"])

@@ -107,3 +107,19 @@ def test_bad_parameters(spark):
             jdbc.bound_args(attributes)
     with pytest.raises(ValueError, match="does not fit"):
         jdbc.sql_bound_params(spark, "SELECT ?", {"sql.args.1.type": "4", "sql.args.1.value": "many"})
+
+
+@pytest.mark.parametrize("op", ["UPDATE", "UPSERT", "INSERT_IGNORE"])
+def test_rows_with_a_null_key_are_rejects_where_a_winner_is_picked(spark, op):
+    info = jdbc.TableInfo(["K", "V"], ["K"])
+    rows = spark.createDataFrame([(1, "a", 0), (None, "b", 1), (None, "c", 2), (1, "d", 3)], "K int, V string, seq int")
+    done = jdbc.plan_write(rows, DB, "T", info, op, ["seq"], staging="S")
+    assert [tuple(r) for r in done.rows.collect()] == [(1, "a" if op == "INSERT_IGNORE" else "d")]
+    assert sorted(tuple(r) for r in done.rejects.collect()) == [(None, "b", "key must not be null"), (None, "c", "key must not be null")]
+
+
+@pytest.mark.parametrize("op", ["INSERT", "DELETE"])
+def test_rows_with_a_null_key_are_staged_elsewhere(spark, op):
+    rows = spark.createDataFrame([(1, "a"), (None, "b")], "K int, V string")
+    done = jdbc.plan_write(rows, DB, "T", jdbc.TableInfo(["K", "V"], ["K"]), op, staging="S")
+    assert done.rows.count() == 2 and done.rejects.count() == 0
