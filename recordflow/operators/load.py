@@ -55,6 +55,7 @@ def load_whole(spark: SparkSession, path: str, changes: DataFrame, keys: list[st
     """
     if operation not in keyed.ALL_OPERATIONS:
         raise ValueError(f"unknown operation {operation!r}")
+    parquet.finish_swap(spark, path)
     stored = spark.read.parquet(path)
     needed = [c for c in changes.columns if c in stored.columns or c in order]
     came, failed = Observation(), Observation()

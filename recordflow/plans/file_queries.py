@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, functions as F
 
 from recordflow.operators.batches import shared_dir
@@ -353,6 +355,19 @@ def parquet_write_atomic(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("parquet_write_atomic_failed", "SELECT c_custkey, c_name FROM customer")
+def parquet_write_atomic_failed(spark, sf_dir):
+    """A write that fails in its tasks leaves the stored rows."""
+    path = shared_dir(spark)
+    parquet.parquet_write(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), path)
+    spoilt = table(spark, sf_dir, "supplier").withColumn("s_name", F.raise_error(F.lit("no such supplier")).cast("string"))
+    try:
+        parquet.parquet_write(spoilt, path)
+    except (PySparkException, Py4JJavaError):
+        return spark.read.parquet(path)
+    raise AssertionError("the write did not fail")
+
+
 @query("parquet_write_ts_format", "SELECT event_id, date_trunc('milliseconds', ts) + INTERVAL 9 HOUR AS at FROM events WHERE event_type <> 'error'")
 def parquet_write_ts_format(spark, sf_dir):
     path = shared_dir(spark)

@@ -92,6 +92,27 @@ def replace_folder(spark: SparkSession, new: str, path: str) -> None:
         fs.delete(aside, True)
 
 
+def finish_swap(spark: SparkSession, path: str) -> bool:
+    """Mend what a driver lost inside :func:`replace_folder` left behind; true if there was anything to mend.
+
+    A swap begins once its new folder is whole.  So without a target the new
+    folder takes its place, or else the old one does; old files beside a target
+    are left over.  Folders still being filled are not touched.  One writer at a time.
+    """
+    fs, target = _fs(spark, path)
+    parent, _, name = path.rstrip("/").rpartition("/")
+    left = fs.globStatus(_fs(spark, f"{parent}/_{name}.new-*-old")[1]) or []
+    asides = [s.getPath() for s in sorted(left, key=lambda s: s.getModificationTime())]
+    if asides and not fs.exists(target):
+        last = asides[-1]
+        filled = _fs(spark, last.toString().removesuffix("-old"))[1]
+        if not fs.rename(filled if fs.exists(filled) else last, target):
+            raise OSError(f"cannot restore {path!r}")
+    for old in asides:
+        fs.delete(old, True)
+    return bool(asides)
+
+
 def parquet_write(df: DataFrame, path: str, overwrite: bool = True, legacy_lists: bool = False,
                   partition_by: list[str] | None = None, max_records_per_file: int = 0,
                   check: Callable[[], None] | None = None, **options) -> None:
@@ -99,8 +120,11 @@ def parquet_write(df: DataFrame, path: str, overwrite: bool = True, legacy_lists
 
     So a write that fails leaves the old files, and ``df`` may read what it replaces.
     ``check`` runs between filling and swapping; if it raises, the old files stay.
+    An overwrite first mends what a driver lost inside an earlier swap left behind.
     """
     spark = df.sparkSession
+    if overwrite:
+        finish_swap(spark, path)
     parent, slash, name = path.rstrip("/").rpartition("/")
     # scans of the parent folder pass over names that begin with an underscore
     aside = f"{parent}{slash}_{name}.new-{uuid.uuid4().hex}" if overwrite else path

@@ -235,3 +235,22 @@ def test_int96_by_column(spark, tmp_path, zone):
     assert [schema.column(i).physical_type for i in range(2)] == ["INT96", "INT64"]
     with pytest.raises(ValueError, match="not zoned"):
         parquet.parquet_write_int96(df, str(tmp_path / "y"), columns=["t"])
+
+
+@pytest.mark.parametrize("filled", [True, False])
+def test_a_swap_cut_between_its_renames_is_mended(spark, tmp_path, filled):
+    target, aside, new = tmp_path / "t", tmp_path / "_t.new-1-old", tmp_path / "_t.new-1"
+    parquet.parquet_write(spark.range(3), str(aside))
+    if filled:
+        parquet.parquet_write(spark.range(5), str(new))
+    parquet.parquet_write(spark.range(9), str(tmp_path / "_t.new-2"))   # another write, still being filled
+    assert parquet.finish_swap(spark, str(target))
+    assert spark.read.parquet(str(target)).count() == (5 if filled else 3)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["_t.new-2", "t"]
+    assert not parquet.finish_swap(spark, str(target))
+
+
+def test_an_overwrite_mends_first(spark, tmp_path):
+    parquet.parquet_write(spark.range(3), str(tmp_path / "_t.new-1-old"))
+    parquet.parquet_write(spark.range(7), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 7 and [p.name for p in tmp_path.iterdir()] == ["t"]
