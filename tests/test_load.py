@@ -65,3 +65,14 @@ def test_plain_form_still_raises(spark, stored):
     sent = spark.createDataFrame([(0, None, 5)], SCHEMA)
     with pytest.raises(keyed.RejectedRows):
         keyed.all_or_nothing(keyed.upsert(spark.read.parquet(stored), sent, ["id"], ["seq"]))
+
+
+def test_a_hot_key(spark, stored):
+    sent = spark.range(0, 30_000, 1, 8).select(
+        F.col("id").cast("int").alias("seq"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") + 10).alias("id"),
+        F.col("id").alias("a"))
+    done = load.load_whole(spark, stored, sent, ["id"], ["seq"], "INSERT")
+    assert (done.rows, done.rejected) == (30_000, 10_000 + 9_999) and rows(spark, stored) == BEFORE
+    done = load.load_whole(spark, stored, sent.filter("id is not null"), ["id"], ["seq"], "UPSERT")
+    assert (done.rows, done.rejected) == (20_000, 0)
+    assert spark.read.parquet(stored).filter("id = 7").first()["a"] == 29_997 and spark.read.parquet(stored).count() == 10_003
