@@ -347,10 +347,22 @@ DOUBLE_EXACT = 2 ** 53
 FLOAT_MAX = 3.4028234663852886e38
 
 
-def fits_exactly(number: Column, target: str) -> Column:
-    """Whole number fits the significand of ``float``/``double`` without loss."""
+def fits_exactly(number: Column, target: str, *factors: Column | int) -> Column:
+    """Whole number, times any ``factors``, fits the significand of ``float``/``double`` without loss.
+
+    The limit is divided instead of the number multiplied, so no product can overflow.
+    """
     limit = {"float": FLOAT_EXACT, "double": DOUBLE_EXACT}[target]
-    return number.between(-limit, limit)
+    room, zero, known = F.lit(limit).cast("bigint"), F.lit(False), number.isNotNull()
+    for f in factors:
+        f = (f if isinstance(f, Column) else F.lit(f)).cast("bigint")
+        room = F.call_function("div", room, F.nullif(f, F.lit(0).cast("bigint")))
+        zero, known = zero | (f == 0), known & f.isNotNull()
+    if not factors:
+        return number.between(-limit, limit)
+    room = F.abs(room)
+    # a zero factor leaves no quotient; its product is zero, unless a part is null
+    return F.when(zero & known, F.lit(True)).otherwise(number.between(-room, room))
 
 
 def within_float_range(number: Column) -> Column:

@@ -424,10 +424,10 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, n BETWEEN -16777216 AND 1
   l_extendedprice * 1e34 <= 3.4028234663852886e38 AS double_in_float_range
 FROM (SELECT *, l_orderkey * l_partkey AS n FROM lineitem)""")
 def fits_exactly(spark, sf_dir):
-    n = F.col("l_orderkey") * F.col("l_partkey")
+    order, part = F.col("l_orderkey"), F.col("l_partkey")
     return _lines(spark, sf_dir).select(
-        *_LINE_ID, casts.fits_exactly(n, "float").alias("in_float"),
-        casts.fits_exactly(n * 1000000000, "double").alias("in_double"),
+        *_LINE_ID, casts.fits_exactly(order, "float", part).alias("in_float"),
+        casts.fits_exactly(order, "double", part, 1000000000).alias("in_double"),
         casts.within_float_range(F.col("l_extendedprice") * F.lit(1e34)).alias("double_in_float_range"),
     )
 

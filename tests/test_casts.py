@@ -307,3 +307,13 @@ def test_record_rules(spark):
     want = T.StructType([T.StructField("name", T.StringType(), False), T.StructField("codes", T.ArrayType(T.IntegerType()))])
     got = rows.select(nested.record_compatible(F.col("r"), rows.schema["r"].dataType, want).alias("v")).collect()
     assert [r["v"] for r in got] == [True, False, False]
+
+
+def test_products_beyond_bigint_fit_nothing(spark):
+    big = 2 ** 62
+    rows = [(3, 4), (900_000, 120_000), (big, big), (-big, big), (big, 0), (0, big), (9, 1_000_000), (None, big), (big, None)]
+    a, b = F.col("a"), F.col("b")
+    got = spark.createDataFrame(rows, "a bigint, b bigint").select(
+        casts.fits_exactly(a, "float", b), casts.fits_exactly(a, "double", b, 1000000000)).collect()
+    want = [(None, None) if None in r else (abs(r[0] * r[1]) <= 2 ** 24, abs(r[0] * r[1] * 10 ** 9) <= 2 ** 53) for r in rows]
+    assert [tuple(r) for r in got] == want
