@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from recordflow.operators.skew import Hot, Ranges, as_hot, carry_last, find_ranges, range_lookup, salted_lookup
+from recordflow.operators.skew import SALT, Hot, Ranges, as_hot, carry_last, find_ranges, range_lookup, salted, salted_lookup
 
 REASON = "_reason"
 NULL_KEY = "key must not be null"
@@ -179,25 +179,25 @@ def _ties_parted(rows: DataFrame, order: list[str]) -> tuple[DataFrame, list[str
 
 def _winner_verdict(rows: DataFrame, target: DataFrame, keys: list[str], order: list[str], hot: Hot,
                     apply_if_stored: bool, miss: str, again: str) -> DataFrame:
-    """Rejects where only the first row of a key may apply, and only if the key is (not) stored.
+    """All rows with a ``_reason`` unless they apply: only the first row of a key may, and only if the key is (not) stored.
 
-    Of copies that tie even in content one applies; the others are rejected,
-    which takes a count of the copies, so that it holds whatever order they come in.
+    One shuffle of the rows numbers them within their key and meets the stored
+    keys.  Of copies that tie even in content one is numbered first, whichever.
+    Rows of hot keys are numbered by salt, and the least first row of their
+    salts (one small row per hot key) is broadcast.
     """
-    columns = _cols([c for c in rows.columns if c != TIE])
-    winner = first_per_key(rows, keys, order).withColumn("_first", F.struct(*_cols(order)))
+    columns = [c for c in rows.columns if c != TIE]
     stored = target.select(*_cols(keys), F.lit(True).alias("_stored"))
-    verdict = winner.join(stored, keys, "left")
+    placed, stored, by = salted(rows, stored, keys, order, hot)
+    numbered = placed.withColumn("_rn", F.row_number().over(Window.partitionBy(*_cols(by)).orderBy(*[c.asc() for c in _cols(order)])))
+    seen, first = numbered.join(stored, by, "left"), F.col("_rn") == 1
+    if hot:
+        least = placed.filter(hot.test(keys)).groupBy(*_cols(keys)).agg(F.min(F.struct(*_cols(order), SALT))[SALT].alias("_least"))
+        seen = seen.join(F.broadcast(least), keys, "left")
+        first = first & (F.coalesce("_least", SALT) == F.col(SALT))
     is_stored = F.coalesce(F.col("_stored"), F.lit(False))
-    seen = salted_lookup(rows, verdict.select(*_cols(keys), "_first", "_stored"), keys, order, hot)
-    applies = (is_stored if apply_if_stored else ~is_stored) & (F.struct(*_cols(order)) == F.col("_first"))
-    reason = F.when(is_stored != F.lit(apply_if_stored), F.lit(miss)).otherwise(F.lit(again))
-    later = seen.filter(~applies).withColumn(REASON, reason).select(*columns, REASON)
-    copies = rows.select(*_cols(keys), F.struct(*_cols(order)).alias("_first")).groupBy(*_cols(keys), "_first").agg(
-        F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
-    applied = verdict.filter(is_stored if apply_if_stored else ~is_stored).join(copies, [*keys, "_first"])
-    repeated = applied.withColumn("_copy", F.explode(F.sequence(F.lit(2), "_copies")))
-    return later.unionByName(with_reason(repeated, again).select(*columns, REASON))
+    reason = F.when(is_stored != F.lit(apply_if_stored), F.lit(miss)).when(~first, F.lit(again))
+    return seen.select(*_cols(columns), reason.alias(REASON))
 
 
 # --------------------------------------------------------------- operations
@@ -205,10 +205,11 @@ def insert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[s
     """Add rows; a row whose key is stored or was already inserted is rejected."""
     rows, null_keys = split_null_keys(changes, keys)
     rows, order = _ties_parted(rows, order)
-    table = insert_ignore(target, rows, keys, order)
     hot = as_hot(rows, keys, hot)
-    rejects = _winner_verdict(rows, target, keys, order, hot, False, KEY_EXISTS, KEY_EXISTS)
-    return Applied(table, rejects.unionByName(null_keys))
+    marked = _winner_verdict(rows, target, keys, order, hot, False, KEY_EXISTS, KEY_EXISTS)
+    new_rows = project_to_target(marked.filter(F.col(REASON).isNull()).drop(REASON), target)
+    table = target.unionByName(new_rows, allowMissingColumns=True)
+    return Applied(table, marked.filter(F.col(REASON).isNotNull()).unionByName(null_keys))
 
 
 def insert_ignore(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -261,8 +262,8 @@ def delete(target: DataFrame, changes: DataFrame, keys: list[str], order: list[s
     rows, null_keys = split_null_keys(changes, keys)
     rows, order = _ties_parted(rows, order)
     hot = as_hot(rows, keys, hot)
-    rejects = _winner_verdict(rows, target, keys, order, hot, True, KEY_ABSENT, KEY_ABSENT)
-    return Applied(delete_ignore(target, rows, keys), rejects.unionByName(null_keys))
+    marked = _winner_verdict(rows, target, keys, order, hot, True, KEY_ABSENT, KEY_ABSENT)
+    return Applied(delete_ignore(target, rows, keys), marked.filter(F.col(REASON).isNotNull()).unionByName(null_keys))
 
 
 # --------------------------------------------------------- mixed operations

@@ -87,19 +87,26 @@ def _repeated(table: DataFrame, keys: list[str], hot: Hot, first: int, last: int
     return table.withColumn(name, F.explode(pieces))
 
 
-def salted_lookup(rows: DataFrame, table: DataFrame, keys: list[str], salt_by: list[str], hot: Hot,
-                  how: str = "left") -> DataFrame:
-    """Join rows to a table that has one row per key, spreading hot keys over many tasks.
+def salted(rows: DataFrame, table: DataFrame, keys: list[str], salt_by: list[str],
+           hot: Hot) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Rows, a table that has one row per key, and the columns to join them on, which spread hot keys over many tasks.
 
     Rows of a hot key get a salt from their ordering columns; the table's few
     hot rows (one per key) are repeated once per salt.  Other keys keep salt 0.
     """
     if not hot:
-        return rows.join(table, keys, how)
+        return rows, table, list(keys)
     n = spread(rows.sparkSession)
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in salt_by]), F.lit(n))
-    salted = rows.withColumn(SALT, F.when(hot.test(keys), salt).otherwise(0).cast("int"))
-    return salted.join(_repeated(table, keys, hot, 0, n - 1, SALT), [*keys, SALT], how).drop(SALT)
+    marked = rows.withColumn(SALT, F.when(hot.test(keys), salt).otherwise(0).cast("int"))
+    return marked, _repeated(table, keys, hot, 0, n - 1, SALT), [*keys, SALT]
+
+
+def salted_lookup(rows: DataFrame, table: DataFrame, keys: list[str], salt_by: list[str], hot: Hot,
+                  how: str = "left") -> DataFrame:
+    """Join rows to a table that has one row per key, spreading hot keys over many tasks."""
+    marked, repeated, by = salted(rows, table, keys, salt_by, hot)
+    return marked.join(repeated, by, how).drop(SALT)
 
 
 @dataclass(frozen=True)
