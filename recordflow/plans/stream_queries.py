@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from recordflow.functions import casts
@@ -59,6 +61,16 @@ def _in_slices(rows: DataFrame, by: str, keys: list[str], path: str, slices: lis
         part.repartition(*keys).write.mode("append").parquet(path)
 
 
+#: A micro-batch costs a round of the state or of the stored table, so there are at most so many, whatever the number of files.
+BATCHES = 6
+
+
+def _in_batches(spark, rows: DataFrame, path: str) -> DataFrame:
+    """Written files as a stream: the oldest first, one or a share of them a micro-batch."""
+    files = len(spark.read.schema(rows.schema).parquet(path).inputFiles())
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, math.ceil(files / BATCHES))).parquet(path)
+
+
 @query("stream_keyed_apply", mixed_fold_table())
 def stream_keyed(spark, sf_dir):
     path = shared_dir(spark)
@@ -67,7 +79,7 @@ def stream_keyed(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     target = BucketedTable(spark, f"{path}/table", orders.schema, KEYS, buckets=8)
     target.load(orders)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    stream = _in_batches(spark, rows, f"{path}/in")
     _finish(stream_keyed_apply(stream, target, ORDER, "op", f"{path}/rejects", f"{path}/check"))
     return target.read().select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
 
@@ -80,7 +92,7 @@ def stream_alerts(spark, sf_dir):
     for low, high in ((-100_000, 10), (10, 20), (20, 100_000)):
         part = rows.filter((F.col("at") >= day(low)) & (F.col("at") < day(high)))
         part.repartition("user_id").write.mode("append").parquet(f"{path}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    stream = _in_batches(spark, rows, f"{path}/in")
     found = stream_alert_events(stream, "user_id", "at", "event_id", F.col("value") > 300.0, 6 * 3600)
     _finish(found.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/check"))
     return spark.read.parquet(f"{path}/out").select("event_id", "user_id", "event")

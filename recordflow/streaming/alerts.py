@@ -25,10 +25,16 @@ def stream_alert_events(stream: DataFrame, series: str, ts: str, value: str, exc
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         flag, last = state.get if state.exists else (False, None)
-        rows = pd.concat(list(frames)).sort_values(["_t", value])
+        parts = list(frames)
+        # without a breach or an alert to recover from there is no event, and the state stays
+        if not flag and not any(f["_x"].any() for f in parts):
+            return
+        rows = (pd.concat(parts) if len(parts) > 1 else parts[0]).sort_values(["_t", value])
         where, kinds, flag, last = walk(rows["_t"].to_numpy(), rows["_x"].to_numpy(), interval, flag, last)
         if last is not None:
             state.update((flag, last))
+        if not where:
+            return
         out = rows.iloc[where]
         yield pd.DataFrame({
             series: [key[0]] * len(out), "_t": out["_t"].to_numpy(), value: out[value].to_numpy(),

@@ -74,3 +74,16 @@ def test_a_version_without_its_manifest_does_not_count(spark, tmp_path):
     table = loaded(spark, tmp_path, [(1, 1, "", "")])
     spark.createDataFrame([(2, 2, "", "")], TARGET).withColumn("bucket", table.bucket()).write.partitionBy("bucket").parquet(f"{table.path}/data/v=5")
     assert table.versions() == [-1] and table_of(table.read()) == [(1, 1, "", "")]
+
+
+def test_many_files_come_in_few_batches_in_their_order(spark, tmp_path):
+    from recordflow.plans.stream_queries import BATCHES, _in_batches
+
+    rows = spark.range(40).repartition(20, "id")
+    for _ in range(2):
+        rows.write.mode("append").parquet(f"{tmp_path}/in")
+    seen = []
+    stream = _in_batches(spark, rows, f"{tmp_path}/in")
+    note = lambda batch, n: seen.append(batch.count())
+    stream.writeStream.foreachBatch(note).option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start().awaitTermination()
+    assert 1 < len(seen) <= BATCHES and sum(seen) == 80
