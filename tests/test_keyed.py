@@ -227,3 +227,10 @@ def test_salted_lookup_equals_a_join(spark, how):
     want = rows.join(table, ["k"], how)
     assert got.columns == want.columns
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_insert_and_delete_shuffle_the_changes_once(spark):
+    target, _, t, c = make(spark, 5)
+    for done in (keyed.insert(t, c, KEYS, ORDER, skew.NO_HOT), keyed.delete(t, c, KEYS, ORDER, skew.NO_HOT)):
+        plan = done.rejects._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Window [") == 1 and "WindowGroupLimit" not in plan and "HashAggregate" not in plan
