@@ -13,7 +13,7 @@ the groups are put together by name.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -128,7 +128,7 @@ def read_lines(spark: SparkSession, path, d: Dialect, encoding: str = "UTF-8", s
         lines = spark.read.text(path)
     where = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")]
     where = where if skip_header else [F.col("_metadata.file_path").alias(file), F.col("_metadata.file_size").alias("_size")] if file else []
-    lines = lines.select(F.regexp_replace("value", "^\ufeff", "").alias("line"), *where)
+    lines = lines.select(records.without_mark("value").alias("line"), *where)
     lines = _with_content(lines, d)
     return lines.mapInArrow(_drop_headers, "line string") if skip_header else lines
 
@@ -184,17 +184,25 @@ def _unescape(text: Column, d: Dialect) -> Column:
     if not e:
         return text
     if e == d.quote:
-        return F.replace(text, F.lit(e + e), F.lit(e))
+        return F.when(text.contains(e + e), F.replace(text, F.lit(e + e), F.lit(e))).otherwise(text)
     meta = "".join(re.escape(c) for c in {d.sep, d.quote, d.comment} if c)
+    # split() would read the literal as a pattern, so it is quoted
+    pieces = F.when(text.contains(e + e), F.split(text, re.escape(e + e), -1)).otherwise(F.array(text))
 
-    def piece(p: Column) -> Column:
-        for letter, value in (("n", "\n"), ("r", "\r"), ("t", "\t"), ("b", "\b"), ("f", "\f")):
-            p = F.replace(p, F.lit(e + letter), F.lit(value))
-        return F.regexp_replace(p, f"{re.escape(e)}([{meta}\\r\\n])", "$1")
+    def replaced(found: str, value: str) -> Callable[[Column], Column]:
+        # looking for a sequence costs far less than replacing it
+        return lambda p: F.when(p.contains(found), F.replace(p, F.lit(found), F.lit(value))).otherwise(p)
+
+    for letter, value in (("n", "\n"), ("r", "\r"), ("t", "\t"), ("b", "\b"), ("f", "\f")):
+        pieces = F.transform(pieces, replaced(e + letter, value))
+    pieces = F.transform(pieces, lambda p: F.when(
+        p.contains(e), F.regexp_replace(p, f"{re.escape(e)}([{meta}\\r\\n])", "$1")).otherwise(p))
+    return F.when(text.contains(e), F.array_join(pieces, e)).otherwise(text)
 
-    # split() would read the literal as a pattern, so it is quoted
-    pieces = F.split(text, re.escape(e + e), -1)
-    return F.array_join(F.transform(pieces, piece), e)
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def parse_cells(line: Column, d: Dialect) -> Column:
@@ -212,22 +220,41 @@ def parse_cells(line: Column, d: Dialect) -> Column:
     # a leading separator gives every cell, the first included, one separator to match
     cells = F.regexp_extract_all(F.concat(F.lit(d.sep), line), F.lit(f"(?s){cell}"), F.lit(1))
 
-    def build(c: Column) -> Column:
-        if q:
-            t = F.btrim(c, F.lit(" \t" if d.sep != "\t" else " "))
-            is_quoted = (F.length(t) > 1) & t.startswith(d.quote) & t.endswith(d.quote) & t.rlike(f"(?s)\\A{whole}\\z")
+    def quoted_body(c: Column) -> Column:
+        """What a quoted cell holds between its quotes; null where the cell is not quoted."""
+        blanks = F.lit(" \t" if d.sep != "\t" else " ")
+
+        def inner(t: Column) -> Column:
             body = F.substring(t, F.lit(2), F.length(t) - 2)
-            if d.escape != d.quote:
-                body = F.replace(body, F.lit(d.quote * 2), F.lit(d.quote))
-            value = F.when(is_quoted, _unescape(body, d)).otherwise(_unescape(c, d) if d.escape != d.quote else c)
-        else:
-            is_quoted, value = F.lit(False), _unescape(c, d)
-        if d.trim:
-            value = F.btrim(value, F.lit(casts.BLANKS))
-        if d.null is not None:
-            marked = (value == d.null) & (~is_quoted if strict_null(d) else F.lit(True))
-            value = F.when(~marked, value)
-        return F.struct(value.alias("value"), is_quoted.alias("quoted"))
+            is_quoted = (F.length(t) > 1) & t.startswith(d.quote) & t.endswith(d.quote)
+            return F.when(is_quoted, _bound(body, lambda b: F.when(plain_body(b) | F.concat(F.lit(d.quote), b, F.lit(d.quote)).rlike(f"(?s)\\A{whole}\\z"), b)))
+
+        def plain_body(b: Column) -> Column:
+            # without a quote or an escape inside there is nothing to match
+            return ~b.contains(d.quote) & ~b.contains(d.escape) if e else ~b.contains(d.quote)
+
+        bare = c.startswith(d.quote) & c.endswith(d.quote)
+        return F.when(c.contains(d.quote), _bound(F.when(bare, c).otherwise(F.btrim(c, blanks)), inner))
+
+    def undoubled(b: Column) -> Column:
+        if d.escape == d.quote:
+            return _unescape(b, d)
+        pair = d.quote * 2
+        single = F.when(b.contains(pair), F.replace(b, F.lit(pair), F.lit(d.quote))).otherwise(b)
+        return _bound(single, lambda x: _unescape(x, d)) if d.escape else single
+
+    def finish(raw: Column, is_quoted: Column) -> Column:
+        value = F.btrim(raw, F.lit(casts.BLANKS)) if d.trim else raw
+        if d.null is None:
+            return F.struct(value.alias("value"), is_quoted.alias("quoted"))
+        free = ~is_quoted if strict_null(d) else F.lit(True)
+        return _bound(value, lambda v: F.struct(F.when(~((v == d.null) & free), v).alias("value"), is_quoted.alias("quoted")))
+
+    def build(c: Column) -> Column:
+        outside = c if d.escape == d.quote else _unescape(c, d)
+        if not q:
+            return finish(outside, F.lit(False))
+        return _bound(quoted_body(c), lambda b: finish(F.when(b.isNotNull(), undoubled(b)).otherwise(outside), b.isNotNull()))
 
     return F.transform(cells, build)
 
@@ -544,8 +571,9 @@ def render_cell(text: Column, d: Dialect, mode: str, numeric: bool, first: bool)
     if mode == NONE or d.quote is None:
         return F.coalesce(_escaped(text, d), null)
     q, e = d.quote, d.escape or d.quote
-    body = F.replace(text, F.lit(e), F.lit(e + e)) if e != q else text
-    body = F.replace(body, F.lit(q), F.lit(e + q))
+    # looking for a character costs far less than replacing it
+    body = F.when(text.contains(e), F.replace(text, F.lit(e), F.lit(e + e))).otherwise(text) if e != q else text
+    body = F.when(text.contains(q), F.replace(body, F.lit(q), F.lit(e + q))).otherwise(body)
     quoted = F.concat(F.lit(q), body, F.lit(q))
     if mode == ALL:
         # a null is quoted too: as its marker, or as an empty cell

@@ -256,3 +256,13 @@ def test_every_file_has_a_header(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
     tops = [p.read_text().splitlines()[0] for p in (tmp_path / "o").glob("part-*")]
     assert tops == ["id"]
+
+
+def test_a_cell_is_matched_once(spark):
+    # whatever a cell's value is used for, its quotes are looked at once, and a doubled quote is undone once
+    rows = spark.createDataFrame([('1,"a ""b"" c",x',)], "line string")
+    for name in ("mongodb-csv", "postgresql-csv", "rfc-4180"):
+        parsed = csv.parse_lines(rows, csv.dialect(name))
+        assert parsed.first()["cells"] == ["1", 'a "b" c', "x"]
+        plan = parsed._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert plan.count("rlike(") + plan.count(" rlike ") == 1 and plan.count("trim(") == 1

@@ -124,3 +124,31 @@ def test_states_after_single_lines(spark):
     out, in_ = records.states_after(F.col("t"), ",", '"', None)
     found = [(r[0], int(r[1]), int(r[2])) for r in frame.select("t", out, in_).collect()]
     assert found == cases
+
+
+def test_only_the_lines_of_crossing_records_are_cut_again(spark, tmp_path):
+    # short records in front of and behind each long one; splits begin inside and outside quotes
+    body = "".join(f'{i},"' + "x\n" * (400 if i % 50 == 0 else 2) + '"\n' for i in range(600))
+    (tmp_path / "a.csv").write_text("id,text\n" + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        out = records.quoted_records(spark, str(tmp_path), ",", '"', None, None, True)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "_head" in plan and "_tail" in plan
+        assert sorted(r["line"] for r in out.collect()) == sorted(f'{i},"' + "x\n" * (400 if i % 50 == 0 else 2) + '"' for i in range(600))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_invalid_bytes_in_a_record_that_crosses_splits(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'\xef\xbb\xbfid,text\n1,"' + b"\xe9x\n" * 900 + b'"\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        out = records.quoted_records(spark, str(tmp_path), ",", '"', None, None, True)
+        assert [r["line"] for r in out.collect()] == ['1,"' + "�x\n" * 900 + '"']
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
