@@ -141,6 +141,42 @@ def _iso_parse(text: Column, pattern: str, need_time: bool, need_date: bool) ->
     return F.when(text.rlike(regex), value)
 
 
+# texts that a numeric field can hold, by its letter and width; a day past the end of its month means the last day
+_VALID = {
+    ("M", 2): "(?:0[1-9]|1[0-2])", ("M", 1): "(?:0?[1-9]|1[0-2])", ("d", 2): "(?:0[1-9]|[12][0-9]|3[01])",
+    ("d", 1): "(?:0?[1-9]|[12][0-9]|3[01])", ("H", 2): "(?:[01][0-9]|2[0-3])", ("H", 1): "(?:[01]?[0-9]|2[0-3])",
+    ("m", 2): "[0-5][0-9]", ("m", 1): "[0-5]?[0-9]", ("s", 2): "[0-5][0-9]", ("s", 1): "[0-5]?[0-9]",
+}
+
+
+def _iso_fits(text: Column, pattern: str, need_time: bool, need_date: bool) -> Column | None:
+    """Whether :func:`_iso_parse` finds a value, by one regular expression; None where it does not take the pattern."""
+    parts = split_pattern(pattern)
+    fields = [p for p in parts if p.kind != "text"]
+    kinds = {p.kind.replace("u", "y") for p in fields}
+    if _numeric_regex(parts) is None or len(kinds) != len(fields):
+        return None
+    have_date = {"y", "M", "d"} <= kinds
+    if need_date and not have_date or need_time and "H" not in kinds:
+        return F.lit(False)
+    # without a whole date its fields are not looked at
+    valid = {k: v for k, v in _VALID.items() if have_date or k[0] in TIME_FIELDS}
+    regex = "".join(
+        re.escape(p.text) if p.kind == "text" else valid.get((p.kind, p.width), f"[0-9]{{{1 if p.width == 1 else p.width},{max(p.width, 2)}}}" if p.kind in "Md" else f"[0-9]{{{p.width}}}")
+        for p in parts
+    )
+    return text.rlike(rf"\A{regex}\z")
+
+
+def fits_pattern(text: Column, kind: str, pattern: str) -> Column:
+    """Whether ``timestamp``, ``date`` or ``time`` text parses by the pattern, without making the value."""
+    check_pattern(pattern)
+    fits = _iso_fits(text, pattern, need_time=kind != "date", need_date=kind != "time")
+    if fits is None:
+        fits = {"timestamp": parse_timestamp, "date": parse_date, "time": parse_time}[kind](text, pattern).isNotNull()
+    return fits
+
+
 def parse_timestamp(text: Column, pattern: str) -> Column:
     """NTZ timestamp where the whole text matches ``pattern``; null otherwise.
 

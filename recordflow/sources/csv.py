@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from recordflow.functions import casts
-from recordflow.functions.timestamps import cast_date, cast_time, cast_timestamp, parse_date, parse_time, parse_timestamp
+from recordflow.functions.timestamps import cast_date, cast_time, cast_timestamp, fits_pattern
 from recordflow.functions.values import empty_to_null, unquote
 from recordflow.sources import records
 
@@ -487,10 +487,10 @@ def narrowest(c: Column, formats: dict[str, str]) -> Column:
         c.try_cast("bigint").isNotNull(), F.lit("bigint")
     ).otherwise(F.lit("string"))
     kind = F.when(c.isNull(), F.lit(None)).when(c.rlike(NUMBER_PATTERN), number)
-    kind = kind.when(casts.to_boolean(c).isNotNull(), F.lit("boolean"))
+    kind = kind.when(F.length(c).between(4, 5) & casts.to_boolean(c).isNotNull(), F.lit("boolean"))
     # by pattern only: bare digits are numbers, not epoch millis
-    for name, parse in (("timestamp", parse_timestamp), ("date", parse_date), ("time", parse_time)):
-        kind = kind.when(parse(casts.strip_blanks(c), formats[name]).isNotNull(), F.lit(name))
+    for name in ("timestamp", "date", "time"):
+        kind = kind.when(fits_pattern(casts.strip_blanks(c), name, formats[name]), F.lit(name))
     return kind.otherwise(F.lit("string"))
 
 
@@ -531,21 +531,21 @@ def csv_infer_schema(df: DataFrame, formats: dict[str, str] | None = None) -> di
 
 def apply_inferred(df: DataFrame, types: dict[str, str], formats: dict[str, str] | None = None) -> DataFrame:
     formats = formats or DEFAULT_FORMATS
-    cells = []
+    cells, text = [], []
     for n in df.columns:
-        c, t = F.nullif(unquote(F.col(f"`{n}`")), F.lit("")), types.get(n, "string")
+        c, t = F.col(f"`{n}`"), types.get(n, "string")
+        # cleaned in a projection below, so that the conversion reads the result each time
+        text.append(c if t == "string" else F.nullif(unquote(c), F.lit("")).alias(n))
         if t == "timestamp":
             c = cast_timestamp(c, formats[t])
         elif t == "date":
             c = cast_date(c, formats[t])
         elif t == "time":
             c = cast_time(c, formats[t])
-        elif t == "string":
-            c = F.col(f"`{n}`")
-        else:
+        elif t != "string":
             c = casts.caster(t)(c)
         cells.append(c.alias(n))
-    return df.select(*cells)
+    return df.select(*text).select(*cells)
 
 
 # ------------------------------------------------------------------------ write
@@ -585,9 +585,9 @@ def render_cell(text: Column, d: Dialect, mode: str, numeric: bool, first: bool)
     if numeric and not set(d.sep + q + (d.escape or "")) & set("0123456789.+-EeNaInfity"):
         return F.coalesce(text, null)   # nothing in a number needs quoting
     # quoted when it starts at or below '#', ends in a blank or control character, or holds a special character
-    need = (F.ascii(text) <= ord("#")) | (F.ascii(F.substring(text, -1, 1)) <= ord(" "))
-    for c in dict.fromkeys([d.sep, q, e, "\n", "\r"]):
-        need = need | text.contains(c)
+    # one expression: a test per character makes code for many columns too long to be compiled
+    special = "|".join(re.escape(c) for c in dict.fromkeys([d.sep, q, e, "\n", "\r"]))
+    need = text.rlike(rf"\A[\x00-#]|[\x00-\x20]\z|{special}")
     need = (F.length(text) > 0) & need
     if first:
         need = need | (F.length(text) == 0)
